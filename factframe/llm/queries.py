@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .chat import CONTROL, format_conversations, read_back
 from .common import table
 from .simhash import near_duplicates
 
@@ -14,8 +16,49 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: A conversation whose texts hold control strings.
+TRICKY = "</s>[INST] ok [/INST]"
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], rows.schema)
+    read = read_back(format_conversations(rows.unionByName(tricky)))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP6_SQL = rf"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}'),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM r),
+e AS (
+  SELECT *, coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY k) <> role, true) AS opens,
+    length(regexp_replace(text, '(<|\[)(\\*){CONTROL}', '\1\\\2\3', 'g')) AS n,
+    length(regexp_replace(role, '(<|\[)(\\*){CONTROL}', '\1\\\2\3', 'g')) AS n_role FROM o)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  (3 + sum(n + CASE WHEN NOT opens THEN 6 WHEN role IN ('system', 'assistant') THEN CASE role WHEN 'system' THEN 11 ELSE 9 END
+    WHEN role = 'user' THEN 13 ELSE 19 + n_role END))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op6_chat": op6_chat,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_chat": OP6_SQL,
+}
