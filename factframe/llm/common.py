@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +38,16 @@ def finite_vector(embedding: Column) -> Column:
     """True for vectors that are not null and hold only finite numbers."""
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
     return embedding.isNotNull() & ~F.coalesce(F.exists(embedding, bad), F.lit(True))
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of rows whose values of a column are about `most` bytes together."""
+    for batch in batches:
+        at, held = 0, 0
+        for i, n in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+            if held and held + (n or 0) > most:
+                yield batch.slice(at, i - at)
+                at, held = i, 0
+            held += n or 0
+        if at < batch.num_rows:
+            yield batch.slice(at)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat import CONTROL, format_conversations, read_back
 from .common import table
+from .media import sniff_media, store_as_media
 from .simhash import near_duplicates
 
 
@@ -54,9 +55,27 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+
+def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = sniff_media(store_as_media(table(spark, sf_dir, "documents")), "doc_id", "media", "declared", keep=("n_bytes",))
+    payload = F.col("found")[0]["data"]
+    kinds = F.array_join(F.transform("found", lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["length"].cast("string"))), ",")
+    return seen.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length(payload).cast("long").alias("payload_bytes"),
+        F.sha2(payload, 256).alias("payload_sha256"),
+        F.crc32(F.substring(payload, -32, 32)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        F.concat_ws(";", "declared", "actual", kinds).alias("feature"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op6_chat": op6_chat,
+    "op10_media": op10_media,
 }
 
 ORACLES: dict[str, str] = {
