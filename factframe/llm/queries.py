@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .chat import CONTROL, format_conversations, read_back
 from .common import table
 from .media import sniff_media, store_as_media
+from .pii import KINDS, detect_pii
 from .simhash import near_duplicates
 
 
@@ -72,8 +73,17 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = detect_pii(table(spark, sf_dir, "documents"))
+    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_pii": op4_pii,
     "op6_chat": op6_chat,
     "op10_media": op10_media,
 }
