@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .chat import CONTROL, format_conversations, read_back
 from .common import table
 from .media import sniff_media, store_as_media
+from .packing import pack_documents
 from .pii import KINDS, detect_pii
 from .simhash import near_duplicates
 
@@ -81,10 +82,23 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_pii": op4_pii,
     "op6_chat": op6_chat,
+    "op7_packing": op7_packing,
     "op10_media": op10_media,
 }
 
