@@ -13,6 +13,7 @@ from .media import sniff_media, store_as_media
 from .packing import pack_documents
 from .pii import KINDS, detect_pii
 from .simhash import near_duplicates
+from .topk import top_k_inner
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,15 +94,33 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return top_k_inner(rows, rows.where("vec_id % 100 = 0"))
+
+
+OP8_SQL = """
+WITH c AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM c q JOIN c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_pii": op4_pii,
     "op6_chat": op6_chat,
     "op7_packing": op7_packing,
+    "op8_topk": op8_topk,
     "op10_media": op10_media,
 }
 
 ORACLES: dict[str, str] = {
     "op6_chat": OP6_SQL,
+    "op8_topk": OP8_SQL,
 }
