@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat import CONTROL, format_conversations, read_back
 from .common import table
+from .langid import fit, held_out, identify
 from .media import sniff_media, store_as_media
 from .packing import pack_documents
 from .pii import KINDS, detect_pii
@@ -110,10 +111,16 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
 """
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out(F.col("doc_id")))
+    found = identify(docs.select("doc_id", "text", "held_out"), fit(docs.where(~F.col("held_out"))))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_pii": op4_pii,
+    "op5_langid": op5_langid,
     "op6_chat": op6_chat,
     "op7_packing": op7_packing,
     "op8_topk": op8_topk,
