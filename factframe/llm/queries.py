@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .chat import CONTROL, format_conversations, read_back
 from .common import table
 from .langid import fit, held_out, identify
+from .licenses import scan_licenses, templates
 from .media import sniff_media, store_as_media
 from .packing import pack_documents
 from .pii import KINDS, detect_pii
@@ -116,8 +117,37 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify(docs.select("doc_id", "text", "held_out"), fit(docs.where(~F.col("held_out"))))
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_matches", "licenses", "best_license", F.round("best_dice", 6).alias("best_dice"))
+
+
+def _op2_sql() -> str:
+    rows = ", ".join(f"({i}, '{name}', ['{"', '".join(grams)}'])" for i, (name, grams) in enumerate(templates()))
+    return rf"""
+WITH t(id, license, grams) AS (VALUES {rows}),
+l AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+u AS (
+  SELECT doc_id, unnest(lines) AS text, unnest(range(1, len(lines) + 1)) AS unit FROM l
+  UNION ALL SELECT doc_id, text, 0 FROM l WHERE len(lines) > 1),
+w AS (SELECT doc_id, unit, string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ') AS words FROM u),
+g AS (
+  SELECT doc_id, unit, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS grams
+  FROM w WHERE len(words) > 1),
+m AS (
+  SELECT doc_id, unit, license, 2.0::DOUBLE * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)) AS dice
+  FROM g JOIN t ON len(g.grams) BETWEEN len(t.grams) * 0.8 / 1.2 AND len(t.grams) * 1.2 / 0.8),
+b AS (
+  SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+    arg_min(license, (-dice, unit, license)) AS best_license, round(max(dice), 6) AS best_dice
+  FROM m WHERE dice >= 0.8 GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_matches, coalesce(licenses, '') AS licenses, best_license, best_dice
+FROM documents LEFT JOIN b USING (doc_id)
+"""
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_licenses": op2_licenses,
     "op3_simhash": op3_simhash,
     "op4_pii": op4_pii,
     "op5_langid": op5_langid,
@@ -128,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_licenses": _op2_sql(),
     "op6_chat": OP6_SQL,
     "op8_topk": OP8_SQL,
 }
