@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
+import operator
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,27 +58,32 @@ def templates() -> list[tuple[str, list[str]]]:
     return [(name, _bigrams(text)) for name, texts in TEMPLATES.items() for text in texts]
 
 
-def _anchors(grams: list[str], dice: float) -> list[str]:
-    """Bigrams of a template of which any text within `dice` holds one at least.
+def _anchors(known: list[tuple[str, list[str]]], dice: float) -> list[str]:
+    """Words of which any text within `dice` of a template holds one at least.
 
     Such a text shares s bigrams with s >= dice (n + m) / 2 and m >= s, so
-    s >= dice n / (2 - dice): it lacks at most n - s of them, and among any
-    n - s + 1 there is one that it has. The longest, that is the rarest, do.
+    s >= dice n / (2 - dice): it lacks at most n - s of a template's n. Words
+    that lie in n - s + 1 of them, whichever those are, can't all be missing.
+    Long words that lie in many bigrams are taken first.
     """
-    need = -int(-dice * len(grams) / (2 - dice) // 1)
-    return sorted(grams, key=lambda g: (-len(g), g))[: len(grams) - need + 1]
+    chosen: list[str] = []
+    open_ = [(grams, len(grams) - math.ceil(dice * len(grams) / (2 - dice) - 1e-9) + 1) for _, grams in known]
+    while left := [[g for g in grams if not any(w in g for w in chosen)] for grams, need in open_ if sum(any(w in g for w in chosen) for g in grams) < need]:
+        words = sorted({w for grams in left for g in grams for w in g.split()})
+        chosen.append(max(words, key=lambda w: (len(w) >= 6, len(w) >= 4, sum(w in g for grams in left for g in grams), len(w))))
+    return chosen
 
 
 def normalised(text: Column) -> Column:
-    """Lower-case ASCII words and numbers, one space between."""
-    return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
+    """ASCII words and numbers of a lower-case text, one space between."""
+    return F.trim(F.regexp_replace(text, "[^a-z0-9]+", " "))
 
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", dice: float = 0.8) -> DataFrame:
     """One row a document: (key, n_matches, licenses, best_license, best_dice, matches).
 
     A document's units are its lines and, where it has more than one, the
-    whole of it. A unit is normalised; only one with an anchor bigram and a
+    whole of it. A unit is normalised; only one with an anchor word and a
     bigram count m within some template's size bounds, n dice / (2 - dice) to
     n (2 - dice) / dice, is compared, and only with the templates whose bounds
     hold: others can't reach the coefficient. matches has (unit, license,
@@ -88,24 +96,25 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", dice
     known = templates()
     low = min(len(g) for _, g in known) * dice / (2 - dice)
     high = max(len(g) for _, g in known) * (2 - dice) / dice
-    anchors = sorted({a for _, grams in known for a in _anchors(grams, dice)})
-    anchored = "(?<![a-z0-9])(?:" + "|".join(a.replace(" ", "[^a-z0-9]+") for a in anchors) + ")(?![a-z0-9])"
+    anchors = _anchors(known, dice)
+    anchored = lambda lowered: reduce(operator.or_, [F.contains(lowered, F.lit(a)) for a in anchors])
     library = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(len(grams)).alias("n"), F.array(*map(F.lit, grams)).alias("grams")) for name, grams in known])
 
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
+    lines = F.split(F.col("__low"), "\n", -1)
     units = F.transform(lines, lambda line, i: F.struct((i + 1).alias("unit"), line.alias("text")))
-    whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(0).alias("unit"), F.col(text).alias("text"))))
-    # The pattern runs over a text once; only lines and short texts that it is found in go on.
-    likely = F.lower(F.coalesce(F.col(text), F.lit(""))).rlike(anchored)
-    parts = F.when(likely, F.concat(F.coalesce(whole, F.slice(units, 1, 0)), F.filter(units, lambda u: F.lower(u["text"]).rlike(anchored))))
-    found = docs.select(F.col(key).alias("__key"), F.coalesce(parts, F.slice(units, 1, 0)).alias("units"))
+    whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(0).alias("unit"), F.col("__low").alias("text"))))
+    # Most texts hold no anchor at all, and are done with here.
+    low_text = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("__low"))
+    parts = F.when(anchored(F.col("__low")), F.concat(F.coalesce(whole, F.slice(units, 1, 0)), F.filter(units, lambda u: anchored(u["text"]))))
+    found = low_text.select("__key", F.coalesce(parts, F.slice(units, 1, 0)).alias("units"))
 
     def grams(u: Column) -> Column:
-        words = F.split(normalised(u["text"]), " ", -1)
-        pairs = F.transform(F.slice(words, 1, F.size(words) - 1), lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1)))
+        pairs = F.transform(F.slice(u["words"], 1, F.size(u["words"]) - 1), lambda w, i: F.concat(w, F.lit(" "), F.get(u["words"], i + 1)))
         return F.struct(u["unit"].alias("unit"), F.array_distinct(pairs).alias("grams"))
 
-    sized = F.filter(F.transform("units", grams), lambda u: F.size(u["grams"]).between(low, high))
+    # Words first, in a step of their own: inside a lambda they would be split anew for every pair.
+    worded = F.transform("units", lambda u: F.struct(u["unit"].alias("unit"), F.split(normalised(u["text"]), " ", -1).alias("words")))
+    sized = F.filter(F.transform(worded, grams), lambda u: F.size(u["grams"]).between(low, high))
 
     def against(u: Column) -> Column:
         m = F.size(u["grams"])
