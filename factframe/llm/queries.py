@@ -15,6 +15,7 @@ from .media import sniff_media, store_as_media
 from .packing import pack_documents
 from .pii import KINDS, detect_pii
 from .simhash import near_duplicates
+from .substrings import drop_repeats
 from .topk import top_k_inner
 
 
@@ -145,6 +146,10 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_matches, coalesce(licenses, '') AS li
 FROM documents LEFT JOIN b USING (doc_id)
 """
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licenses": op2_licenses,
@@ -154,6 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_chat": op6_chat,
     "op7_packing": op7_packing,
     "op8_topk": op8_topk,
+    "op9_substrings": op9_substrings,
     "op10_media": op10_media,
 }
 
