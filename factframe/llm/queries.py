@@ -13,6 +13,7 @@ from .langid import fit, held_out, identify
 from .licenses import scan_licenses, templates
 from .media import sniff_media, store_as_media
 from .packing import pack_documents
+from .pieces import sample_pieces
 from .pii import KINDS, detect_pii
 from .simhash import near_duplicates
 from .substrings import drop_repeats
@@ -23,6 +24,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = sample_pieces(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return drawn.select("doc_id", "sample", "n_pieces", F.crc32("ids").alias("ids_crc32"), "log_prob", "log_inclusion", "restored")
+
+
 #: A conversation whose texts hold control strings.
 TRICKY = "</s>[INST] ok [/INST]"
 
@@ -152,6 +158,7 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pieces": op1_pieces,
     "op2_licenses": op2_licenses,
     "op3_simhash": op3_simhash,
     "op4_pii": op4_pii,
