@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import fact_queries, media_queries, text_queries
+
+QUERIES: dict = {**fact_queries.QUERIES, **text_queries.QUERIES, **media_queries.QUERIES}
+ORACLES: dict = {**fact_queries.ORACLES, **text_queries.ORACLES, **media_queries.ORACLES}
