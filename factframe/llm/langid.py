@@ -184,17 +184,19 @@ class _Words:
 
 def _label(texts: list[str], words: _Words) -> list[tuple[str, float, list[dict]]]:
     """(language, score, spans) of each text of a group."""
+    names = words.model.languages
+    if not names:
+        return [(UNKNOWN, 0.0, [])] * len(texts)
     split = [t.lower().split() for t in texts]
     order = sorted(range(len(texts)), key=lambda i: -len(split[i]))
     sizes = np.array([len(split[i]) for i in order], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
     rows = words.look_up([w for i in order for w in split[i]])
     labels, letters = viterbi(words.scores[rows], starts, sizes), words.letters[rows]
-    names = words.model.languages
     out: list = [None] * len(texts)
     for i, start, size in zip(order, starts, sizes):
         own, weight = labels[start : start + size], letters[start : start + size]
-        if not (total := int(weight.sum())) or not names:
+        if not (total := int(weight.sum())):
             out[i] = (UNKNOWN, 0.0, [])
             continue
         share = np.bincount(own, weights=weight, minlength=len(names))

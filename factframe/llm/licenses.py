@@ -94,8 +94,8 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", dice
     are ignored. Nothing is shuffled.
     """
     known = templates()
-    low = min(len(g) for _, g in known) * dice / (2 - dice)
-    high = max(len(g) for _, g in known) * (2 - dice) / dice
+    least, most = dice / (2 - dice) - 1e-9, (2 - dice) / dice + 1e-9  # room for rounding: a bound may be met exactly
+    low, high = min(len(g) for _, g in known) * least, max(len(g) for _, g in known) * most
     anchors = _anchors(known, dice)
     anchored = lambda lowered: reduce(operator.or_, [F.contains(lowered, F.lit(a)) for a in anchors])
     library = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(len(grams)).alias("n"), F.array(*map(F.lit, grams)).alias("grams")) for name, grams in known])
@@ -118,12 +118,12 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", dice
 
     def against(u: Column) -> Column:
         m = F.size(u["grams"])
-        near = F.filter(library, lambda t: m.between(t["n"] * (dice / (2 - dice)), t["n"] * ((2 - dice) / dice)))
+        near = F.filter(library, lambda t: m.between(t["n"] * least, t["n"] * most))
         scored = F.transform(
             near,
             lambda t: F.struct(u["unit"].alias("unit"), t["license"].alias("license"), (2.0 * F.size(F.array_intersect(u["grams"], t["grams"])) / (m + t["n"])).alias("dice")),
         )
-        return F.filter(scored, lambda s: s["dice"] >= dice)
+        return F.filter(scored, lambda s: s["dice"] >= dice - 1e-12)
 
     out = found.select("__key", sized.alias("units")).select("__key", F.flatten(F.transform("units", against)).alias("matches"))
     best = F.array_min(F.transform("matches", lambda s: F.struct((-s["dice"]).alias("less"), s["unit"].alias("unit"), s["license"].alias("license"))))

@@ -15,8 +15,8 @@ from .common import SPACES, tasks
 
 #: Bytes of text that a task handles at a time, on average. Larger ones on
 #: larger executors make fewer and longer messages between tasks.
-GROUP_BYTES = 8 << 20
-_CHUNK_BYTES = 1 << 20
+GROUP_BYTES = 3 << 20
+_CHUNK_BYTES = 1 << 18
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 _IS_SPACE = np.isin(np.arange(256), list(SPACES))
 
@@ -74,9 +74,9 @@ def _read(texts: list[bytes]) -> _Text:
     sums, down = _sums(_BYTE[raw], _ODD[1])
     words = _mix((sums[end] - sums[start]) * down[start])
     edges = np.cumsum([0] + [len(t) + 1 for t in texts])
-    text = np.searchsorted(edges, start, side="right") - 1
+    text = (np.searchsorted(edges, start, side="right") - 1).astype(np.int32)
     count = np.bincount(text, minlength=len(texts))
-    place = np.arange(len(start)) - np.repeat(np.cumsum(count) - count, count)
+    place = (np.arange(len(start)) - np.repeat(np.cumsum(count) - count, count)).astype(np.int32)
     return _Text(data, start, end, words, text, place, count)
 
 
@@ -101,7 +101,7 @@ class _Group:
         if held:
             self.parts.append(_read(held))
         firsts = np.cumsum([0] + [len(p.count) for p in self.parts])
-        self.doc = np.concatenate([p.text + f for p, f in zip(self.parts, firsts)])
+        self.doc = np.concatenate([p.text + np.int32(f) for p, f in zip(self.parts, firsts)])
         self.place = np.concatenate([p.place for p in self.parts])
         self.count = np.concatenate([p.count for p in self.parts])
 
