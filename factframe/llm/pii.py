@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import give_back
+
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -73,12 +75,18 @@ _TAIL = rf"[A-Za-z0-9-]+(?:(?:{_SPOKEN}|{_BOXED_DOT}|\.)[A-Za-z0-9-]+)*?(?:{_BOX
 #: What is rewritten: zero-width characters; at and dot in brackets or as words inside an address; digit words in a row.
 _REWRITE = re.compile(
     r"(?P<gone>[\u00ad\u200b-\u200d\u2060\ufeff]+)"
-    rf"|(?P<at>[ \t]*{_OPEN}[ \t]*(?:at|@|arroba|klammeraffe)[ \t]*{_CLOSE}[ \t]*|(?<=[A-Za-z0-9])[ \t]+(?:at|arroba)[ \t]+(?={_TAIL}))"
-    rf"|(?P<dot>{_BOXED_DOT}|(?<=[A-Za-z0-9]){_SPOKEN}(?=(?:[A-Za-z0-9-]+{_SPOKEN})*(?:{_LAST})\b|(?:{_WORD}|[0-9])))"
+    rf"|(?P<at>[ \t]*{_OPEN}[ \t]*(?:at|@|arroba|klammeraffe)[ \t]*{_CLOSE}[ \t]*|&#0*64;|&commat;|(?<=[A-Za-z0-9])[ \t]+(?:at|arroba)[ \t]+(?={_TAIL}))"
+    rf"|(?P<spoken>(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?=(?:[A-Za-z0-9-]+\.)+(?:{_LAST})\b))"
+    r"|(?P<like>(?<=[0-9])[OoIl](?=[0-9])|(?<![A-Za-z0-9])[OoIl](?=[0-9]{2})|(?<=[0-9]{2})[OoIl](?![A-Za-z0-9]))"
+    rf"|(?P<dot>{_BOXED_DOT}|(?<=[A-Za-z0-9]){_SPOKEN}(?=(?:[A-Za-z0-9-]+{_SPOKEN})*(?:{_LAST})\b|[A-Za-z0-9_-]+(?:{_SPOKEN}[A-Za-z0-9_-]+)*[ \t]+(?:at|arroba)[ \t]+{_TAIL}|(?:{_WORD}|[0-9]))|&#0*46;)"
     rf"|(?P<plus>\bplus[ \t]+(?=(?:{_WORD}|[0-9])\b))"
     rf"|(?P<digits>\b(?:{_WORD})(?:{_SEP}(?:{_WORD}|[0-9]))*\b(?![A-Za-z]))",
     re.IGNORECASE,
 )
+#: A word before a plain `at` and a written domain that reads like a mailbox, not like prose.
+_NAMED = re.compile(r"(?<![A-Za-z0-9._%+-])(?=[A-Za-z0-9%+-]*[0-9._])[A-Za-z0-9._%+-]*[A-Za-z0-9]$")
+_AT_DOMAIN = re.compile(rf"[ \t]at[ \t]+(?:[a-z0-9-]+\.)+(?:{_LAST})\b")
+_LIKE = re.compile("[0-9][OoIl][0-9]|[OoIl][0-9]{2}|[0-9]{2}[OoIl]")
 _DIGIT_WORD = re.compile(rf"{_WORD}|[0-9]", re.IGNORECASE)
 _BOXED = re.compile(rf"{_OPEN}[ \t]*(?:at|@|arroba|klammeraffe|{_DOTS}|\.)[ \t]*{_CLOSE}")
 _GONE = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff]")
@@ -99,6 +107,10 @@ def _hinted(text: str) -> bool:
     low = text.lower()
     if any(w in low for w in ("dot", "punto", "punkt", "point")) and re.search(rf"[ \t](?:{_DOTS})[ \t]", low):
         return True
+    if "&#" in low or "&commat;" in low or " at " in low and any(f".{t}" in low for t in ("com", "org", "net")) and _AT_DOMAIN.search(low):
+        return True
+    if any(d in text for d in "0123456789") and _LIKE.search(text):
+        return True
     if any(b in low for b in "[({<") and _BOXED.search(low):
         return True
     if not text.isascii() and ("\xad" in text or not _latin(text) and _GONE.search(text)):
@@ -165,12 +177,16 @@ def rewrite(text: str) -> _Tape:
     """Undo at and dot disguises and spelled digits; lookalikes must be undone before."""
     tape, done = _Tape(), 0
     for m in _REWRITE.finditer(text):
+        if m.lastgroup == "spoken" and not _NAMED.search(text, max(0, m.start() - 64), m.start()):
+            continue
         tape.put(text[done : m.start()], done, m.start(), True)
         if m.lastgroup == "digits":
             for d in _DIGIT_WORD.finditer(m[0]):
                 tape.put(DIGITS.get(d[0].lower(), d[0]), m.start() + d.start(), m.start() + d.end(), False)
+        elif m.lastgroup == "like":
+            tape.put("0" if m[0] in "Oo" else "1", m.start(), m.end(), False)
         else:
-            tape.put({"gone": "", "at": "@", "dot": ".", "plus": "+"}[m.lastgroup], m.start(), m.end(), False)
+            tape.put({"spoken": "@", "gone": "", "at": "@", "dot": ".", "plus": "+"}[m.lastgroup], m.start(), m.end(), False)
         done = m.end()
     tape.put(text[done:], done, len(text), True)
     return tape
@@ -232,6 +248,7 @@ def detect_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: t
                 flat = [[{"kind": k, "start": a, "end": b} for k in KINDS for a, b in found[k]] for found in (base, both)]
                 rows.append((*flat, masked(value, both) if redact else None))
             yield pd.DataFrame(rows, columns=["base", "spans", "redacted"])
+        give_back()
 
     out = docs.select(F.col(key), *keep, look(F.col(text)).alias("__found"))
     return out.select(key, *keep, "__found.base", "__found.spans", *(["__found.redacted"] if redact else []))
