@@ -191,10 +191,9 @@ def joined(one: Lattice, two: Lattice) -> Lattice:
 def _walk(lat: Lattice, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ancestral samples from nodes to their atoms' ends, side by side: edges in a row, and how many each has."""
     steps: list[tuple[np.ndarray, np.ndarray]] = []
-    live, count = np.arange(len(node)), np.zeros(len(node), np.int64)
-    while len(live := live[lat.first[node + 1] > lat.first[node]] if len(steps) == 0 else live):
-        here = node[live] if len(steps) == 0 else here  # noqa: F821
-        edge = lat.first[here]
+    live, here, count = np.arange(len(node)), node, np.zeros(len(node), np.int64)
+    while len(live := live[more := lat.first[here + 1] > lat.first[here]]):
+        edge = lat.first[here[more]]
         u = _unit(_mix(seed[live] + np.uint64((len(steps) + 1) * int(_STEP) % 2**64)))
         late = np.flatnonzero(u >= lat.cum[edge])
         while len(late):
@@ -203,10 +202,6 @@ def _walk(lat: Lattice, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray,
         steps.append((live, edge))
         count[live] += 1
         here = lat.end[edge]
-        more = lat.first[here + 1] > lat.first[here]
-        live, here = live[more], here[more]
-        if not len(live):
-            break
     at = np.cumsum(count) - count
     out = np.empty(int(count.sum()), np.int64)
     for t, (own, edge) in enumerate(steps):
