@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -51,3 +53,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 16 << 20)
             held += n or 0
         if at < batch.num_rows:
             yield batch.slice(at)
+
+
+def give_back() -> None:
+    """Return a worker's freed memory to the system: workers live on between stages and share an executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library; nothing to do
+        pass

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import give_back
+
 UNKNOWN = "und"
 #: At most about so many documents of a language are learned from: the bound of the sample.
 SAMPLE_PER_LANGUAGE = 1000
@@ -22,7 +24,7 @@ BUCKET_BITS = 15
 #: Log-score a change of language costs, that of a letter's script being foreign, the weight of overlapping n-grams.
 SWITCH, FOREIGN, WEIGHT = 8.0, 60.0, 0.4
 #: Words whose scores a worker remembers; words that are labelled together.
-MEMORY_WORDS, GROUP_WORDS = 300_000, 400_000
+MEMORY_WORDS, GROUP_WORDS = 150_000, 200_000
 
 #: First code points of script ranges and their scripts: fixed values of Unicode's blocks.
 RANGES = [
@@ -246,6 +248,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             for j, found in zip(group, _label([texts[g] for g in group], words)):
                 done[j] = found
             yield pd.DataFrame(done, columns=["lang_pred", "score", "lang_spans"])
+        give_back()
 
     out = docs.withColumn("__label", label(F.col(text)))
     return out.withColumns({c: F.col(f"__label.{c}") for c in ("lang_pred", "score", "lang_spans")}).drop("__label")

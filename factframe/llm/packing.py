@@ -13,12 +13,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import give_back, slices
 
 #: Token ids held before a group is packed and released: bounds a task's memory, whatever its size.
 GROUP_TOKENS = 4_000_000
-#: Words whose ids a worker remembers.
-MEMORY_WORDS = 400_000
+#: Words whose ids a worker remembers, in each of two generations.
+MEMORY_WORDS = 120_000
 
 #: Characters for which the split below equals the tokenizer's own.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
@@ -49,24 +49,30 @@ class WordTokens(dict):
         super().__init__()
         self.tokenizer, self.model = (t := Tokenizer.from_file(path)), t.model
         self.parts: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
         self.letters = _byte_letters()
 
     def __missing__(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word) and "<|" not in word:
+        ids = self.old.get(word)
+        if ids is not None:
+            pass
+        elif _PLAIN.fullmatch(word) and "<|" not in word:
             ids = b"".join([self.parts.get(p) or self._part(p) for p in _PARTS.findall(word.lower())])
         else:
             ids = self.whole(word)
         if len(word) <= 64:
-            if len(self) >= MEMORY_WORDS:
+            if len(self) >= MEMORY_WORDS:  # words in use move on to the new generation, others go with the old one
+                self.old = self.copy()
                 self.clear()
             self[word] = ids
         return ids
 
     def _part(self, part: str) -> bytes:
-        ids = array("I", [t.id for t in self.model.tokenize(part.translate(self.letters))]).tobytes()
+        ids = self.old_parts.get(part) or array("I", [t.id for t in self.model.tokenize(part.translate(self.letters))]).tobytes()
         if len(part) <= 64:
             if len(self.parts) >= MEMORY_WORDS:
-                self.parts.clear()
+                self.old_parts, self.parts = self.parts, {}
             self.parts[part] = ids
         return ids
 
@@ -188,6 +194,7 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int
                     yield flush()
         if held:
             yield flush()
+        give_back()
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hex64, with_checkpoint_dir
+from .common import give_back, hex64, with_checkpoint_dir
 from .components import connected_components
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -50,6 +50,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3, to:
     def simhash(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
             yield pd.Series([fingerprint(x, shingle) for x in part], dtype="int64")
+        give_back()
 
     return docs.withColumn(to, simhash(F.col(text)))
 

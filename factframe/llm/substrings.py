@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, tasks
+from .common import SPACES, give_back, tasks
 
 #: Bytes of text that a task handles at a time, on average. Larger ones on
 #: larger executors make fewer and longer messages between tasks.
@@ -282,14 +282,17 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
         np.add.at(change, gone, 1)
         np.add.at(change, gone + window, -1)
         covered = np.cumsum(change)[: len(group.doc)] > 0
-        removed = np.bincount(group.doc[covered], minlength=len(group.count))
+        count = group.count
+        removed = np.bincount(group.doc[covered], minlength=len(count))
         kept, done = [], 0
         for part in group.parts:
             n_words = len(part.start)
             kept += _kept(part, ~covered[done : done + n_words])
             done += n_words
         own = table.take(pa.array(group.order))
-        return pa.table([*[own.column(c) for c in ("__key", *("__text" if c == text else f"__{i}" for i, c in enumerate(keep)))], pa.array(group.count, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=[f"c{i}" for i in range(len(names))])
+        del group, hashes, at, whose, start, one, least, entry, earlier, gone, change, covered
+        give_back()
+        return pa.table([*[own.column(c) for c in ("__key", *("__text" if c == text else f"__{i}" for i, c in enumerate(keep)))], pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=[f"c{i}" for i in range(len(names))])
 
     kinds = ["bigint", *(docs.schema[c].dataType.simpleString() for c in keep), "bigint", "bigint", "string"]
     result = ", ".join(f"c{i} {k}" for i, k in enumerate(kinds))
