@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as fn
+from ..functions import titles
 from ..operators import narration
 from ..operators.islands import sentences
 from .adapters import micros, read
@@ -113,11 +114,45 @@ def title_words(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "part").withColumn("before", F.lag("p_name").over(over)).where(F.col("before").isNotNull()).select("p_partkey", fn.labels_match(F.col("p_name"), F.col("before")).alias("same"))
 
 
-QUERIES = {f.__name__: f for f in (numeric_values, tick_labels, parse_times, video_ids, format_times, entity_slugs, document_units, context_intervals, sentence_boundaries, sentence_select, overlap_words, subtitle_text, alias_mentions, greedy_numbers, json_flatten, title_words)}
+def title_status(spark: SparkSession, d: str) -> DataFrame:
+    over = Window.partitionBy("p_brand").orderBy("p_partkey")
+    seen = read(spark, d, "part").withColumn("lines", F.filter(F.array("p_type", F.lag("p_name").over(over)), lambda x: x.isNotNull()))
+    return seen.select("p_partkey", titles.status(F.col("p_name"), F.col("lines")).alias("status"), titles.preferred(F.col("p_name"), F.col("lines")).alias("title"))
+
+
+def render_titles(spark: SparkSession, d: str) -> DataFrame:
+    rows = [("Sales 1990-2000", "Sales 2001"), ("Sales", "Sales 2001"), ("Sales 1990", "All of 1990"), ("", "x")]
+    made = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id bigint, a string, b string")
+    return made.select("id", titles.resolved(F.col("a"), F.col("b")).alias("title"))
+
+
+def value_labels(spark: SparkSession, d: str) -> DataFrame:
+    unit = F.when(F.col("l_linenumber") % 2 == 0, "$").otherwise("%")
+    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", titles.value_label(F.col("l_quantity"), unit).alias("label"))
+
+
+def transcript_slice(spark: SparkSession, d: str) -> DataFrame:
+    told, shown = _orders(spark, d)
+    met = told.join(shown, "clip_id")
+    return narration.sliced(met, "s_start", "s_end", F.col("r_start"), F.col("r_end")).select("clip_id", "l_linenumber", "s_start", "s_end")
+
+
+def snapped_intervals(spark: SparkSession, d: str) -> DataFrame:
+    told, shown = _orders(spark, d)
+    return narration.snapped(shown, told, ["clip_id"], 0.25, 20.0)
+
+
+QUERIES = {f.__name__: f for f in (numeric_values, tick_labels, parse_times, video_ids, format_times, entity_slugs, document_units, context_intervals, sentence_boundaries, sentence_select, overlap_words, subtitle_text, alias_mentions, greedy_numbers, json_flatten, title_words, title_status, render_titles, value_labels, transcript_slice, snapped_intervals)}
 
 _ORDERS = """WITH s AS (SELECT l_orderkey AS clip_id, l_linenumber, date_diff('day', DATE '1970-01-01', l_shipdate::DATE)::DOUBLE AS s_start, date_diff('day', DATE '1970-01-01', l_shipdate::DATE) + l_quantity AS s_end FROM lineitem),
 r AS (SELECT o_orderkey AS clip_id, date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::DOUBLE AS r_start, date_diff('day', DATE '1970-01-01', o_orderdate::DATE) + 365.0::DOUBLE AS r_end FROM orders),
 m AS (SELECT *, greatest(s_start, r_start) AS a, least(s_end, r_end) AS z FROM s JOIN r USING (clip_id) WHERE least(s_end, r_end) > greatest(s_start, r_start))"""
+
+
+def _words(x: str) -> str:
+    return f"list_distinct(list_filter(string_split(trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g')), ' '), lambda y: y <> ''))"
+
+
 _UNITS = " ".join(f"WHEN regexp_matches(lower(t), '{pattern}') THEN '{unit}'" for unit, pattern in fn.UNITS)
 
 ORACLES = {
@@ -137,4 +172,13 @@ ORACLES = {
     "greedy_numbers": "SELECT * FROM (VALUES (0::BIGINT, 'boeing-747', 28.0::DOUBLE), (0, 'spaceship', 2.0), (1, 'car', NULL), (2, 'spaceship', 4.0), (2, 'car', 3.0), (3, 'car', 7.0)) AS t(id, entity, value)",
     "json_flatten": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, lag(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k_before FROM events",
     "title_words": "WITH w AS (SELECT p_partkey, list_filter(list_distinct(string_split_regex(lower(p_name), '[^a-z0-9]+')), lambda x: x <> '') AS a, lag(list_filter(list_distinct(string_split_regex(lower(p_name), '[^a-z0-9]+')), lambda x: x <> '')) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS b FROM part) SELECT p_partkey, list_has_all(a, b) OR list_has_all(b, a) AS same FROM w WHERE b IS NOT NULL",
+    "title_status": f"""WITH p AS (SELECT p_partkey, p_name, list_filter([p_type, lag(p_name) OVER (PARTITION BY p_brand ORDER BY p_partkey)], lambda x: x IS NOT NULL) AS lines FROM part),
+w AS (SELECT *, {_words("p_name")} AS own, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS t FROM p),
+s AS (SELECT *, CASE WHEN len(own) = 0 THEN 'none' WHEN len(list_filter(lines, lambda x: contains(trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g')), t))) > 0 THEN 'visible'
+  WHEN len(list_filter(lines, lambda x: len({_words("x")}) >= 3 AND 2 * len(list_intersect(own, {_words("x")})) >= len(own))) > 0 THEN 'candidate' ELSE 'none' END AS status FROM w)
+SELECT p_partkey, status, CASE WHEN status = 'candidate' THEN CASE WHEN len(lines) > 1 AND length(lines[2]) > length(lines[1]) THEN lines[2] ELSE lines[1] END ELSE p_name END AS title FROM s""",
+    "render_titles": "SELECT * FROM (VALUES (0::BIGINT, 'Sales 2001'), (1, 'Sales'), (2, 'Sales 1990'), (3, '')) AS t(id, title)",
+    "value_labels": "SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN '$' || l_quantity::BIGINT ELSE l_quantity::BIGINT || '%' END AS label FROM lineitem",
+    "transcript_slice": f"{_ORDERS} SELECT clip_id, l_linenumber, round(greatest(s_start, r_start) - r_start, 3) AS s_start, round(least(s_end, r_end) - r_start, 3) AS s_end FROM s JOIN r USING (clip_id) WHERE s_end > r_start AND s_start < r_end",
+    "snapped_intervals": f"{_ORDERS}, g AS (SELECT clip_id, r_start, r_end, greatest(min(s_start) FILTER (WHERE r_start BETWEEN s_start AND s_end) - 0.25, 0)::DOUBLE AS a, (max(s_end) FILTER (WHERE r_end BETWEEN s_start AND s_end) + 0.25)::DOUBLE AS z FROM r LEFT JOIN s USING (clip_id) GROUP BY 1, 2, 3) SELECT clip_id, r_start, r_end, round(CASE WHEN r_start - a <= 20 THEN a ELSE r_start END, 3) AS new_start, round(CASE WHEN z - r_end <= 20 THEN z ELSE r_end END, 3) AS new_end FROM g",
 }
