@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fact_queries, media_queries, text_queries
+from . import fact_queries, media_queries, series_queries, text_queries
 
-QUERIES: dict = {**fact_queries.QUERIES, **text_queries.QUERIES, **media_queries.QUERIES}
-ORACLES: dict = {**fact_queries.ORACLES, **text_queries.ORACLES, **media_queries.ORACLES}
+QUERIES: dict = {**fact_queries.QUERIES, **text_queries.QUERIES, **media_queries.QUERIES, **series_queries.QUERIES}
+ORACLES: dict = {**fact_queries.ORACLES, **text_queries.ORACLES, **media_queries.ORACLES, **series_queries.ORACLES}

@@ -57,8 +57,8 @@ def entity_slugs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def document_units(spark: SparkSession, d: str) -> DataFrame:
-    """Units that the last sentence of each document shows."""
-    return read(spark, d, "documents").select("doc_id", fn.infer_unit(F.substring_index("text", "\n", -1)).alias("unit"))
+    """The first unit of the list that each whole document shows."""
+    return read(spark, d, "documents").select("doc_id", fn.infer_unit(F.col("text")).alias("unit"))
 
 
 def context_intervals(spark: SparkSession, d: str) -> DataFrame:
@@ -162,7 +162,7 @@ ORACLES = {
     "video_ids": _sql(URLS, "video"),
     "format_times": "WITH e AS (SELECT event_id, epoch_us(ts) // 1000 % 86400000 AS ms FROM events) SELECT event_id, printf('%02d:%02d:%02d', ms // 3600000, ms % 3600000 // 60000, ms % 60000 // 1000) AS hms, printf('%02d:%02d:%02d,%03d', ms // 3600000, ms % 3600000 // 60000, ms % 60000 // 1000, ms % 1000) AS srt FROM e",
     "entity_slugs": "SELECT p_partkey, coalesce(nullif(trim(regexp_replace(lower(p_name || ' / ' || p_brand), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'unknown') AS entity_id FROM part",
-    "document_units": f"SELECT doc_id, CASE {_UNITS} ELSE '' END AS unit FROM (SELECT doc_id, string_split(text, chr(10))[-1] AS t FROM documents)",
+    "document_units": f"SELECT doc_id, CASE {_UNITS} ELSE '' END AS unit FROM (SELECT doc_id, text AS t FROM documents)",
     "context_intervals": "SELECT l_orderkey, l_linenumber, round(a, 3) AS context_start, round(greatest(least(z + 5, 50), a), 3) AS context_end, round(l_quantity - round(a, 3), 3) AS visual_start FROM (SELECT *, greatest(l_quantity - 5, 0) AS a, l_quantity + l_linenumber AS z FROM lineitem)",
     "sentence_boundaries": "WITH e AS (SELECT *, epoch_us(ts) AS t FROM events), g AS (SELECT *, CASE WHEN lag(event_type) OVER w = 'purchase' OR t - lag(t) OVER w >= 21600000000 OR lag(t) OVER w IS NULL THEN 1 ELSE 0 END AS o FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id)), i AS (SELECT *, (sum(o) OVER (PARTITION BY user_id ORDER BY t, event_id))::BIGINT AS sentence FROM g) SELECT user_id, sentence, min(t) AS start, max(t) AS \"end\", count(*) AS n_words, round(avg(value), 4) AS confidence FROM i GROUP BY 1, 2",
     "sentence_select": f"{_ORDERS} SELECT clip_id, l_linenumber, s_start < r_start AS starts_before, s_end > r_end AS ends_after FROM m",
