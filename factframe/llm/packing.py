@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -17,13 +17,13 @@ from .common import give_back, slices
 
 #: Token ids held before a group is packed and released: bounds a task's memory, whatever its size.
 GROUP_TOKENS = 4_000_000
-#: Words whose ids a worker remembers, in each of two generations.
+#: Words, and parts of words, whose ids a worker remembers, in each of two generations.
 MEMORY_WORDS = 120_000
 
-#: Characters for which the split below equals the tokenizer's own.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-#: The tokenizer's own split of lower-case text of those characters: a fixed value of its file.
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: Texts for which the split below equals the tokenizer's own.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ\t-\r ]*")
+#: The tokenizer's own split of lower-case text of those characters, white space dropped: a fixed value of its file.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\t-\r ]+")
 
 
 @cache
@@ -34,56 +34,61 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letters[b] for b in chr(c).encode()) for c in range(33, 256)}
 
 
-class WordTokens(dict):
-    """White-space separated words to their ids as little-endian unsigned 32-bit numbers.
+class _Memory(dict):
+    """What `make` gives for strings, remembered for short ones."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.old.get(text)
+        if ids is None:
+            ids = self.make(text)
+        if len(text) <= 64:
+            if len(self) >= MEMORY_WORDS:  # what is in use moves on to the new generation, the rest goes with the old one
+                self.old = self.copy()
+                self.clear()
+            self[text] = ids
+        return ids
+
+
+class WordTokens:
+    """Texts to their ids as little-endian unsigned 32-bit numbers.
 
     For a tokenizer that drops white space, a text's ids are those of its
-    words in a row. Words of plain characters are split as the tokenizer does
-    and looked up part by part, which costs a tenth of encode(); all others
-    go through encode() itself.
+    words in a row. A text, or else a word, of plain characters is split as
+    the tokenizer does and looked up part by part, which costs a tenth of
+    encode(); there are far fewer parts than words with their punctuation.
+    All others go through encode() itself.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer, self.model = (t := Tokenizer.from_file(path)), t.model
-        self.parts: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.old_parts: dict[str, bytes] = {}
+        self.parts, self.words = _Memory(self._part), _Memory(self._word)
         self.letters = _byte_letters()
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is not None:
-            pass
-        elif _PLAIN.fullmatch(word) and "<|" not in word:
-            ids = b"".join([self.parts.get(p) or self._part(p) for p in _PARTS.findall(word.lower())])
-        else:
-            ids = self.whole(word)
-        if len(word) <= 64:
-            if len(self) >= MEMORY_WORDS:  # words in use move on to the new generation, others go with the old one
-                self.old = self.copy()
-                self.clear()
-            self[word] = ids
-        return ids
-
     def _part(self, part: str) -> bytes:
-        ids = self.old_parts.get(part) or array("I", [t.id for t in self.model.tokenize(part.translate(self.letters))]).tobytes()
-        if len(part) <= 64:
-            if len(self.parts) >= MEMORY_WORDS:
-                self.old_parts, self.parts = self.parts, {}
-            self.parts[part] = ids
-        return ids
+        return array("I", [t.id for t in self.model.tokenize(part.translate(self.letters))]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return self._plain(word) if _PLAIN.fullmatch(word) and "<|" not in word else self.whole(word)
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, _PARTS.findall(text.lower())))
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str) -> bytes:
         """A text's ids. str.split() also splits at four control characters that the tokenizer keeps."""
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return self._plain(text)
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self.whole(text)
-        return b"".join([self[w] for w in text.split()])
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 @cache
