@@ -250,7 +250,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pd.DataFrame(done, columns=["lang_pred", "score", "lang_spans"])
         give_back()
 
-    out = docs.withColumn("__label", label(F.col(text)))
+    # Called non-deterministic, so that a filter on the result isn't pushed below it and every text labelled twice.
+    out = docs.withColumn("__label", label.asNondeterministic()(F.col(text)))
     return out.withColumns({c: F.col(f"__label.{c}") for c in ("lang_pred", "score", "lang_spans")}).drop("__label")
 
 
