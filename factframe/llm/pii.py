@@ -85,12 +85,19 @@ _REWRITE = re.compile(
 )
 #: A word before a plain `at` and a written domain that reads like a mailbox, not like prose.
 _NAMED = re.compile(r"(?<![A-Za-z0-9._%+-])(?=[A-Za-z0-9%+-]*[0-9._])[A-Za-z0-9._%+-]*[A-Za-z0-9]$")
-_AT_DOMAIN = re.compile(rf"[ \t]at[ \t]+(?:[a-z0-9-]+\.)+(?:{_LAST})\b")
-_LIKE = re.compile("[0-9][OoIl][0-9]|[OoIl][0-9]{2}|[0-9]{2}[OoIl]")
+_AT_DOMAIN = re.compile(rf"at[ \t]+(?:[a-z0-9-]+\.)+(?:{_LAST})\b")
+_PLUS_DIGIT = re.compile(rf"plus[ \t]+(?:{_WORD}|[0-9])\b")
+_LIKE = re.compile("[0-9][OoIl][0-9]|[OoIl][0-9]{2}|[0-9]{2}[OoIl]", re.IGNORECASE)
 _DIGIT_WORD = re.compile(rf"{_WORD}|[0-9]", re.IGNORECASE)
 _BOXED = re.compile(rf"{_OPEN}[ \t]*(?:at|@|arroba|klammeraffe|{_DOTS}|\.)[ \t]*{_CLOSE}")
 _GONE = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff]")
-_SPOKEN_SET = frozenset([*DIGITS, *_DOTS.split("|"), *"0123456789"])
+#: Characters that match an ASCII letter where case is ignored, though lower() doesn't give it.
+_FOLDED = re.compile("[\u0130\u0131\u017f]")
+_BREAK = re.compile(r"[\W_]+")
+_SPACED = bytes(c if chr(c).isalnum() else 32 for c in range(256))
+_SAID = frozenset([*DIGITS, *(w.encode("latin-1") for w in DIGITS)])
+#: The article of French and Spanish, after a whole find and before a word: no digit of it.
+_ARTICLE = re.compile(r"[ \t]+un(?=[ \t]+[^\W\d_])", re.IGNORECASE)
 
 
 def _latin(text: str) -> bool:
@@ -102,21 +109,36 @@ def _latin(text: str) -> bool:
     return True
 
 
+def _digit_word_met(low: str) -> bool:
+    """Whether a digit word and a digit, or two digit words, have no letter or digit between them."""
+    tokens = low.encode("latin-1").translate(_SPACED).split() if _latin(low) else _BREAK.sub(" ", low).split()
+    said = bytes(map(_SAID.__contains__, tokens))
+    at = said.find(1)
+    while at >= 0:
+        if at and (said[at - 1] or tokens[at - 1][-1:].isdigit()) or at + 1 < len(said) and tokens[at + 1][:1].isdigit():
+            return True
+        at = said.find(1, at + 1)
+    return False
+
+
 def _hinted(text: str) -> bool:
-    """Whether a text may hold anything that rewrite() changes to some end: cheap, and never false where it does."""
+    """Whether a text may hold anything that rewrite() changes to some end: cheap, and never false where it does.
+
+    A condition for each part of _REWRITE, that part or more. A digit word
+    far from all others and from digits is no part of a find.
+    """
     low = text.lower()
+    if not text.isascii() and ("\xad" in text or not _latin(text) and (_GONE.search(text) or _FOLDED.search(text))):
+        return True
     if any(w in low for w in ("dot", "punto", "punkt", "point")) and re.search(rf"[ \t](?:{_DOTS})[ \t]", low):
         return True
-    if "&#" in low or "&commat;" in low or " at " in low and any(f".{t}" in low for t in ("com", "org", "net")) and _AT_DOMAIN.search(low):
+    if "&#" in low or "&commat;" in low or _AT_DOMAIN.search(low) or _PLUS_DIGIT.search(low):
         return True
     if any(d in text for d in "0123456789") and _LIKE.search(text):
         return True
     if any(b in low for b in "[({<") and _BOXED.search(low):
         return True
-    if not text.isascii() and ("\xad" in text or not _latin(text) and _GONE.search(text)):
-        return True
-    said = bytes(map(_SPOKEN_SET.__contains__, low.replace("-", " ").replace(",", " ").replace("_", " ").split()))
-    return b"\1\1\1" in said
+    return _digit_word_met(low)
 
 
 def _luhn(digits: str) -> bool:
@@ -200,6 +222,11 @@ def _trimmed(text: str, start: int, end: int) -> Span:
     return start, end
 
 
+def _past_article(text: str, end: int) -> int:
+    found = _ARTICLE.match(text, end)
+    return found.end() if found else end
+
+
 def find_pii(text: str | None) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     """(base, all) spans by kind, in code points, ends exclusive.
 
@@ -221,6 +248,8 @@ def find_pii(text: str | None) -> tuple[dict[str, list[Span]], dict[str, list[Sp
         spans = set(base[kind])
         for span in found[kind]:
             start, end = _trimmed(text, *(tape.back(span)[:2] if tape else span))
+            if any((a, _past_article(text, b)) == (start, end) for a, b in base[kind]):
+                continue
             if start < end and not any(a <= start and end <= b for a, b in base[kind]):
                 spans.add((start, end))
         both[kind] = sorted(spans)

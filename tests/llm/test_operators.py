@@ -141,6 +141,44 @@ def test_pii_disguises(text, kind, found):
     assert not base[kind] and [text[a:b] for a, b in both[kind]] == [found]
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "found"),
+    [
+        ("to jane.doe at firma.de", "email", "jane.doe at firma.de"),
+        ("to jane.doe\tat\tfirma.co.uk", "email", "jane.doe\tat\tfirma.co.uk"),
+        ("x 4111 1111 1111 111 one", "card", "4111 1111 1111 111 one"),
+        ("x +1 415 555 two six 71", "phone", "+1 415 555 two six 71"),
+        ("call plus 1 (415) 555-2671", "phone", "plus 1 (415) 555-2671"),
+        ("x 4111 1111 1111 11L1", "card", "4111 1111 1111 11L1"),
+        ("\"four 111 1111 1111 1111\"", "card", "four 111 1111 1111 1111"),
+        ("x +1 (848) 555-137 three now", "phone", "+1 (848) 555-137 three"),
+    ],
+)
+def test_pii_lone_disguises(text, kind, found):
+    assert found in [text[a:b] for a, b in pii.find_pii(text)[1][kind]]
+
+
+def test_pii_article_is_no_digit():
+    base, both = pii.find_pii("ouvi. +1 (848) 555-1373 Un an oule")
+    assert base == both and len(base["phone"]) == 1
+
+
+def test_pii_gate_holds_whatever_adds_a_find(monkeypatch):
+    rng = random.Random(11)
+    bits = ["jane.doe", "j0e", " at ", "\tat\t", " arroba ", "(at)", "firma.de", "mail.com", " dot ", "[dot]", " punto ", "com", "&#64;", "&#46;", "plus ", "pluſ ", "+", "+1 (415) ", "555", "4111 1111 1111 ", "1111", "111", "1", "7", "l", "O", "L", "one", "Un", "SIX", "sıx", "zéro", "fünf", "oh", " ", " ", "-", ".", ",", "_", "(", ")", '"', "\u200b", "\xad", "192.168.", "я", "x"]
+    made = ["".join(rng.choice(bits) for _ in range(rng.randint(2, 14))) for _ in range(30000)]
+    made += [f"{a}{rng.choice(bits)}{rng.choice(bits)}{b}" for a in ("+1 415 555 ", "4111 1111 1111 ", "jane.doe", "10.0.0") for b in (" 71", "111", " firma.de", " one") for _ in range(800)]
+    gate, added = pii._hinted, 0
+    monkeypatch.setattr(pii, "_hinted", lambda t: True)
+    for t in made:
+        base, both = pii.find_pii(t)
+        plain = t.translate(pii._PLAIN)
+        if both != base and pii.base_spans(plain) == base:
+            added += 1
+            assert gate(plain), t
+    assert added > 500
+
+
 def test_pii_clean_and_masked(spark):
     assert not any(map(any, pii.find_pii("look at the dot matrix. one or two, un deux. Meet at noon")[1].values()))
     rows = documents(spark, ["to a@b.co or +1 (017) 555-7713.", None, "", "plain"])
