@@ -1,6 +1,7 @@
 """The pipeline stage by stage against plain versions, and the queries that SQL can express against their SQL."""
 
 import array
+import random
 import re
 import zlib
 
@@ -55,6 +56,41 @@ def test_one_of_each_near_group_stays(steps):
     assert {r["doc_id"] for r in steps[2]} == {i for i in parent if find(parent, i) == i} and len(steps[2]) < len(steps[1])
 
 
+def five_words(text):
+    words = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def kept_by_jaccard(texts):
+    """Ids that stay, by brute force: the least of each component at 0.8 of five-word shingles."""
+    own = {i: five_words(t) for i, t in texts.items()}
+    parent = {i: i for i in own}
+    for a in own:
+        for b in own:
+            if a < b and 10 * len(own[a] & own[b]) >= 8 * len(own[a] | own[b]):
+                x, y = find(parent, a), find(parent, b)
+                parent[max(x, y)] = min(x, y)
+    return {i for i in parent if find(parent, i) == i}
+
+
+def test_near_groups_meet_brute_force_jaccard(steps):
+    assert {r["doc_id"] for r in steps[2]} == kept_by_jaccard({r["doc_id"]: r["text"] for r in steps[1]})
+
+
+def test_near_chains_of_changed_words(spark):
+    rng = random.Random(8)
+    texts = {}
+    for group in range(6):
+        words = [f"g{group}w{rng.randint(0, 999)}" for _ in range(100)]
+        for _ in range(15):  # a chain: each changes one word more, so its ends are far apart
+            words[rng.randrange(100)] = f"x{rng.randint(0, 10**9)}"
+            texts[len(texts) + 1] = " ".join(words)
+    texts[500], texts[501], texts[502] = "Two words", "two  WORDS", "two other"
+    docs = spark.createDataFrame([*texts.items(), (None, "two words")], "doc_id bigint, text string")
+    got = [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()]
+    assert got.count(None) == 1 and {i for i in got if i} == kept_by_jaccard(texts) and len(got) < 20
+
+
 def test_repeats_go(steps):
     seen = {}
     got = {r["doc_id"]: r["text"] for r in steps[3]}
