@@ -6,6 +6,7 @@ import re
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -20,7 +21,9 @@ KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
-_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
+_MAIL = re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+# Runs of these characters are tried from their first one only, which spares time and loses no match.
+_EMAIL = re.compile(rf"(?<![A-Za-z0-9._%+-]){_MAIL.pattern}")
 # A run of digits is a match's start or holds none, so the look-behind only spares time.
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
@@ -66,36 +69,29 @@ _ODD = re.compile("[" + "".join(map(re.escape, map(chr, sorted(_PLAIN)))) + "]")
 
 _WORD = "|".join(sorted(map(re.escape, DIGITS), key=lambda w: (-len(w), w)))
 _SEP = r"[ \t,_-]{1,3}"
-_OPEN, _CLOSE, _DOTS = r"[\[({<]", r"[\])}>]", "dot|punkt|punto|point"
+_DOTS = "dot|punkt|punto|point"
 #: Last labels that let a spoken dot count as one: fixed values, with the two-letter country codes most in use.
 _LAST = "com|org|net|edu|gov|info|biz|io|ai|co|uk|de|fr|es|eu|us|ca|ch|it|nl|be|pt|pl|ru|cn|jp|in|br|mx|test|example"
-_SPOKEN = rf"[ \t]+(?:{_DOTS})[ \t]+"
-_BOXED_DOT = rf"[ \t]*{_OPEN}[ \t]*(?:{_DOTS}|\.)[ \t]*{_CLOSE}[ \t]*"
-_TAIL = rf"[A-Za-z0-9-]+(?:(?:{_SPOKEN}|{_BOXED_DOT}|\.)[A-Za-z0-9-]+)*?(?:{_BOXED_DOT}[A-Za-z0-9-]|{_SPOKEN}(?:{_LAST})\b)"
-#: What is rewritten: zero-width characters; at and dot in brackets or as words inside an address; digit words in a row.
-_REWRITE = re.compile(
-    r"(?P<gone>[\u00ad\u200b-\u200d\u2060\ufeff]+)"
-    rf"|(?P<at>[ \t]*{_OPEN}[ \t]*(?:at|@|arroba|klammeraffe)[ \t]*{_CLOSE}[ \t]*|&#0*64;|&commat;|(?<=[A-Za-z0-9])[ \t]+(?:at|arroba)[ \t]+(?={_TAIL}))"
-    rf"|(?P<spoken>(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?=(?:[A-Za-z0-9-]+\.)+(?:{_LAST})\b))"
-    r"|(?P<like>(?<=[0-9])[OoIl](?=[0-9])|(?<![A-Za-z0-9])[OoIl](?=[0-9]{2})|(?<=[0-9]{2})[OoIl](?![A-Za-z0-9]))"
-    rf"|(?P<dot>{_BOXED_DOT}|(?<=[A-Za-z0-9]){_SPOKEN}(?=(?:[A-Za-z0-9-]+{_SPOKEN})*(?:{_LAST})\b|[A-Za-z0-9_-]+(?:{_SPOKEN}[A-Za-z0-9_-]+)*[ \t]+(?:at|arroba)[ \t]+{_TAIL}|(?:{_WORD}|[0-9]))|&#0*46;)"
-    rf"|(?P<plus>\bplus[ \t]+(?=(?:{_WORD}|[0-9])\b))"
-    rf"|(?P<digits>\b(?:{_WORD})(?:{_SEP}(?:{_WORD}|[0-9]))*\b(?![A-Za-z]))",
-    re.IGNORECASE,
-)
-#: A word before a plain `at` and a written domain that reads like a mailbox, not like prose.
-_NAMED = re.compile(r"(?<![A-Za-z0-9._%+-])(?=[A-Za-z0-9%+-]*[0-9._])[A-Za-z0-9._%+-]*[A-Za-z0-9]$")
-_AT_DOMAIN = re.compile(rf"at[ \t]+(?:[a-z0-9-]+\.)+(?:{_LAST})\b")
-_PLUS_DIGIT = re.compile(rf"plus[ \t]+(?:{_WORD}|[0-9])\b")
-_LIKE = re.compile("[0-9][OoIl][0-9]|[OoIl][0-9]{2}|[0-9]{2}[OoIl]", re.IGNORECASE)
+
+# Where a disguise may be. Each pattern starts at a character that a run of blanks can't hold, so a text is scanned once.
+_GONE = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff]+")
+_BOXED = re.compile(rf"[\[({{<][ \t]*+(?:(?P<at>at|@|arroba|klammeraffe)|(?P<dot>{_DOTS}|\.))[ \t]*+[\])}}>]", re.IGNORECASE)
+_ENTITY = re.compile(r"&(?:(?P<at>#0*+64;|commat;)|(?P<dot>#0*+46;))", re.IGNORECASE)
+_SPOKEN = re.compile(rf"(?<=[A-Za-z0-9])[ \t]++(?:(?P<at>at|arroba)|(?P<dot>{_DOTS}))(?=[ \t])", re.IGNORECASE)
+_PLUS = re.compile(rf"\bplus[ \t]++(?=(?:{_WORD}|[0-9])\b)", re.IGNORECASE)
+_LIKE = re.compile(r"(?<=[0-9])[OoIl](?=[0-9])|(?<![A-Za-z0-9])[OoIl](?=[0-9]{2})|(?<=[0-9]{2})[OoIl](?![A-Za-z0-9])", re.IGNORECASE)
+_SAID = re.compile(rf"\b(?:{_WORD})(?:{_SEP}(?:{_WORD}|[0-9]))*\b(?![A-Za-z])", re.IGNORECASE)
 _DIGIT_WORD = re.compile(rf"{_WORD}|[0-9]", re.IGNORECASE)
-_BOXED = re.compile(rf"{_OPEN}[ \t]*(?:at|@|arroba|klammeraffe|{_DOTS}|\.)[ \t]*{_CLOSE}")
-_GONE = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff]")
-#: Characters that match an ASCII letter where case is ignored, though lower() doesn't give it.
-_FOLDED = re.compile("[\u0130\u0131\u017f]")
-_BREAK = re.compile(r"[\W_]+")
-_SPACED = bytes(c if chr(c).isalnum() else 32 for c in range(256))
-_SAID = frozenset([*DIGITS, *(w.encode("latin-1") for w in DIGITS)])
+_BLANKS = re.compile(r"[ \t]*+")
+
+# What may stand between two of them.
+_LABEL = re.compile("[A-Za-z0-9-]+")
+_MAILBOX = re.compile("[A-Za-z0-9_-]+")
+_LABELS = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+")
+_ENDS = re.compile(rf"(?:{_LAST})\b", re.IGNORECASE)
+_WRITTEN = re.compile(rf"(?:[A-Za-z0-9-]++\.)+(?:{_LAST})\b", re.IGNORECASE)
+#: A word before a plain `at` and a written domain that reads like a mailbox, not like prose: it holds a digit, dot or underscore.
+_NAMED = re.compile(r"[A-Za-z0-9%+-]*[0-9._][A-Za-z0-9._%+-]*")
 #: The article of French and Spanish, after a whole find and before a word: no digit of it.
 _ARTICLE = re.compile(r"[ \t]+un(?=[ \t]+[^\W\d_])", re.IGNORECASE)
 
@@ -109,36 +105,105 @@ def _latin(text: str) -> bool:
     return True
 
 
-def _digit_word_met(low: str) -> bool:
-    """Whether a digit word and a digit, or two digit words, have no letter or digit between them."""
-    tokens = low.encode("latin-1").translate(_SPACED).split() if _latin(low) else _BREAK.sub(" ", low).split()
-    said = bytes(map(_SAID.__contains__, tokens))
-    at = said.find(1)
-    while at >= 0:
-        if at and (said[at - 1] or tokens[at - 1][-1:].isdigit()) or at + 1 < len(said) and tokens[at + 1][:1].isdigit():
-            return True
-        at = said.find(1, at + 1)
-    return False
-
-
-def _hinted(text: str) -> bool:
-    """Whether a text may hold anything that rewrite() changes to some end: cheap, and never false where it does.
-
-    A condition for each part of _REWRITE, that part or more. A digit word
-    far from all others and from digits is no part of a find.
+class _Mark(NamedTuple):
+    """A place that may be rewritten; start and end include the blanks that go with it."""
+
+    start: int
+    end: int
+    kind: str  # gone, at, dot, plus, like, said
+    sure: bool  # whatever stands round it
+    first: int  # where it begins without blanks
+
+
+def _places(text: str) -> list[_Mark]:
+    """All marks of a text, leftmost first; of two that overlap the earlier. Blanks may belong to two of them."""
+    found: list[tuple[int, int, str, bool, bool]] = []  # first, last, kind, sure, with blanks
+    if not text.isascii() and ("\xad" in text or not _latin(text)):
+        found += [(*m.span(), "gone", True, False) for m in _GONE.finditer(text)]
+    if any(b in text for b in "[({<"):
+        found += [(*m.span(), m.lastgroup, True, True) for m in _BOXED.finditer(text)]
+    if "&" in text:
+        found += [(*m.span(), m.lastgroup, True, False) for m in _ENTITY.finditer(text)]
+    found += [(m.start(m.lastgroup), m.end(), m.lastgroup, False, True) for m in _SPOKEN.finditer(text)]
+    found += [(*m.span(), "plus", True, False) for m in _PLUS.finditer(text)]
+    if any(d in text for d in "0123456789"):
+        found += [(*m.span(), "like", True, False) for m in _LIKE.finditer(text)]
+    found += [(*m.span(), "said", False, False) for m in _SAID.finditer(text)]
+    found.sort(key=lambda f: f[0])
+    marks, free = [], 0
+    for first, last, kind, sure, blanks in found:
+        if first < free:
+            continue
+        start, end = first, last
+        if blanks:
+            while start and text[start - 1] in " \t":
+                start -= 1
+            end = _BLANKS.match(text, last).end()
+        marks.append(_Mark(start, end, kind, sure, first))
+        free = last
+    return marks
+
+
+def _marks(text: str) -> list[_Mark]:
+    """The marks that are disguises: one pass from the right for what follows, one from the left for digit words.
+
+    A spoken dot counts before a last label, between the labels of a spoken
+    domain or mailbox, and before a digit. A spoken `at` counts before a
+    domain with a disguised dot, or, after a mailbox, before a written one.
+    Digit words count beside a digit, a digit word or another disguise.
     """
-    low = text.lower()
-    if not text.isascii() and ("\xad" in text or not _latin(text) and (_GONE.search(text) or _FOLDED.search(text))):
-        return True
-    if any(w in low for w in ("dot", "punto", "punkt", "point")) and re.search(rf"[ \t](?:{_DOTS})[ \t]", low):
-        return True
-    if "&#" in low or "&commat;" in low or _AT_DOMAIN.search(low) or _PLUS_DIGIT.search(low):
-        return True
-    if any(d in text for d in "0123456789") and _LIKE.search(text):
+    marks = _places(text)
+    n = len(marks)
+    keep = [m.sure for m in marks]
+    # Of the next at or dot, j: whether it is a dot whose labels lead to a last label by spoken dots; one that ends a
+    # domain; an at before a domain with a disguised dot; a spoken dot of a mailbox before such an at.
+    j, ends, tail, domain, mailbox = n, False, False, False, False
+    for i in range(n - 1, -1, -1):
+        m = marks[i]
+        if m.kind not in ("at", "dot"):
+            continue
+        stop = marks[j].start if j < n else len(text)
+        if m.kind == "dot":
+            last = not m.sure and bool(_ENDS.match(text, m.end))
+            box = (domain and not marks[j].sure or mailbox) and bool(_MAILBOX.fullmatch(text, m.end, stop))
+            up = last or not m.sure and ends and not marks[j].sure and bool(_LABEL.fullmatch(text, m.end, stop))
+            tail = last or m.sure and bool(_LABEL.match(text, m.end)) or tail and bool(_LABELS.fullmatch(text, m.end, stop))
+            keep[i] = m.sure or up or box or bool(_DIGIT_WORD.match(text, m.end))
+            ends, mailbox, domain = up, box and not m.sure, False
+        else:
+            domain = tail and bool(_LABELS.fullmatch(text, m.end, stop))
+            keep[i] = m.sure or domain or text[m.first : m.first + 2].lower() == "at" and bool(_WRITTEN.match(text, m.end)) and _named(text, m.start)
+            ends, tail, mailbox = False, False, False
+        j = i
+    for i, m in enumerate(marks):
+        if m.kind == "said":
+            before, after = marks[i - 1] if i else None, marks[i + 1] if i + 1 < n else None
+            touches = before is not None and keep[i - 1] and before.end == m.start or after is not None and keep[i + 1] and after.start == m.end
+            keep[i] = touches or _beside_number(text, m, before, after)
+    return [m for m, k in zip(marks, keep) if k]
+
+
+def _named(text: str, end: int) -> bool:
+    """Whether the word that ends here reads like a mailbox."""
+    start = end
+    while start and _LOCAL.match(text, start - 1):
+        start -= 1
+    return bool(_NAMED.fullmatch(text, start, end)) and text[end - 1].isalnum()
+
+
+def _beside_number(text: str, m: _Mark, before: _Mark | None, after: _Mark | None) -> bool:
+    """Whether a run has two digit words, or the next letter or digit on a side is a digit or a digit word's."""
+    if not text[m.start : m.end].isalpha():
         return True
-    if any(b in low for b in "[({<") and _BOXED.search(low):
+    i = m.start - 1
+    while i >= 0 and not text[i].isalnum():
+        i -= 1
+    if i >= 0 and (text[i].isdigit() or before is not None and before.kind == "said" and i < before.end):
         return True
-    return _digit_word_met(low)
+    i = m.end
+    while i < len(text) and not text[i].isalnum():
+        i += 1
+    return i < len(text) and (text[i].isdigit() or after is not None and after.kind == "said" and i >= after.start)
 
 
 def _luhn(digits: str) -> bool:
@@ -152,16 +217,12 @@ def _luhn(digits: str) -> bool:
 def base_spans(text: str) -> dict[str, list[Span]]:
     """The plain finds of each kind, leftmost and not overlapping within a kind; failing ones are dropped."""
     emails: list[Span] = []
-    free, at = 0, text.find("@")
-    while at >= 0:
-        start = at
-        while start > free and _LOCAL.match(text, start - 1):
-            start -= 1
-        found = _DOMAIN.match(text, at + 1) if start < at else None
-        if found:
-            emails.append((start, found.end()))
-            free = found.end()
-        at = text.find("@", max(at + 1, free))
+    if "@" in text:
+        found = _EMAIL.search(text)
+        while found:
+            emails.append(found.span())
+            # A match may begin right behind another, in the middle of a run of such characters.
+            found = _MAIL.match(text, found.end()) or _EMAIL.search(text, found.end())
     if not any(d in text for d in "0123456789"):
         return {"email": emails, "ip": [], "card": [], "phone": []}
     ips = [m.span() for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split("."))]
@@ -195,21 +256,23 @@ class _Tape:
         return start, end, i == j and copied
 
 
-def rewrite(text: str) -> _Tape:
-    """Undo at and dot disguises and spelled digits; lookalikes must be undone before."""
+def rewrite(text: str) -> _Tape | None:
+    """Undo at and dot disguises and spelled digits; lookalikes must be undone before. None where there is nothing to undo."""
+    marks = _marks(text)
+    if not marks:
+        return None
     tape, done = _Tape(), 0
-    for m in _REWRITE.finditer(text):
-        if m.lastgroup == "spoken" and not _NAMED.search(text, max(0, m.start() - 64), m.start()):
-            continue
-        tape.put(text[done : m.start()], done, m.start(), True)
-        if m.lastgroup == "digits":
-            for d in _DIGIT_WORD.finditer(m[0]):
-                tape.put(DIGITS.get(d[0].lower(), d[0]), m.start() + d.start(), m.start() + d.end(), False)
-        elif m.lastgroup == "like":
-            tape.put("0" if m[0] in "Oo" else "1", m.start(), m.end(), False)
+    for m in marks:
+        start = max(m.start, done)
+        tape.put(text[done:start], done, start, True)
+        if m.kind == "said":
+            for d in _DIGIT_WORD.finditer(text, m.start, m.end):
+                tape.put(DIGITS.get(d[0].lower(), d[0]), d.start(), d.end(), False)
+        elif m.kind == "like":
+            tape.put("0" if text[m.start] in "Oo" else "1", m.start, m.end, False)
         else:
-            tape.put({"spoken": "@", "gone": "", "at": "@", "dot": ".", "plus": "+"}[m.lastgroup], m.start(), m.end(), False)
-        done = m.end()
+            tape.put({"gone": "", "at": "@", "dot": ".", "plus": "+"}[m.kind], start, m.end, False)
+        done = m.end
     tape.put(text[done:], done, len(text), True)
     return tape
 
@@ -238,32 +301,34 @@ def find_pii(text: str | None) -> tuple[dict[str, list[Span]], dict[str, list[Sp
     text = text or ""
     base = base_spans(text)
     plain = text if text.isascii() or _latin(text) or not _ODD.search(text) else text.translate(_PLAIN)
-    hinted = _hinted(plain)
-    if plain is text and not hinted:
+    tape = rewrite(plain)
+    if plain is text and tape is None:
         return base, base
-    tape = rewrite(plain) if hinted else None
     found = base_spans("".join(tape.parts) if tape else plain)
     both = {}
     for kind in KINDS:
-        spans = set(base[kind])
+        spans, starts = set(base[kind]), [a for a, _ in base[kind]]
         for span in found[kind]:
             start, end = _trimmed(text, *(tape.back(span)[:2] if tape else span))
-            if any((a, _past_article(text, b)) == (start, end) for a, b in base[kind]):
-                continue
-            if start < end and not any(a <= start and end <= b for a, b in base[kind]):
+            at = bisect_right(starts, start) - 1
+            a, b = base[kind][at] if at >= 0 else (0, 0)
+            inside = start >= a and end <= b or start == a and end == _past_article(text, b)
+            if start < end and not inside:
                 spans.add((start, end))
         both[kind] = sorted(spans)
     return base, both
 
 
-def detect_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), redact: bool = False) -> DataFrame:
-    """One row a document: (key, *keep, base, spans[, redacted]).
+def detect_pii(docs: DataFrame, text: str = "text", to: str = "pii", redact: bool = False) -> DataFrame:
+    """docs with `to`, a struct (base, spans, redacted).
 
     base and spans are arrays of (kind, start, end), by kind in the order of
-    KINDS, then start; code points, ends exclusive. redacted has each run of
-    overlapping spans replaced by the kind of its first, as [EMAIL]. Null
-    texts count as empty and stay null in redacted; texts of any length are
-    read whole; repeated rows are found in each row. Other columns are ignored.
+    KINDS, then start; code points, ends exclusive. redacted, null unless
+    asked for, has each run of overlapping spans replaced by the kind of its
+    first, as [EMAIL]. Null texts count as empty and stay null in redacted;
+    texts of any length are read whole, in time in proportion to it; repeated
+    rows are found in each row; an empty table gives no rows. All columns of
+    docs stay as they are; `to` must be none of them.
     """
     span = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([T.StructField("base", span), T.StructField("spans", span), T.StructField("redacted", T.StringType())])
@@ -279,8 +344,7 @@ def detect_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: t
             yield pd.DataFrame(rows, columns=["base", "spans", "redacted"])
         give_back()
 
-    out = docs.select(F.col(key), *keep, look(F.col(text)).alias("__found"))
-    return out.select(key, *keep, "__found.base", "__found.spans", *(["__found.redacted"] if redact else []))
+    return docs.select("*", look(F.col(text)).alias(to))
 
 
 def masked(text: str | None, spans: dict[str, list[Span]]) -> str | None:
