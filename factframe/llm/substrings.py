@@ -11,24 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, give_back, tasks
+from .common import give_back, mix, slices, tasks, words_of
 
 #: Bytes of text that a task handles at a time, on average. Larger ones on
 #: larger executors make fewer and longer messages between tasks.
 GROUP_BYTES = 3 << 20
 _CHUNK_BYTES = 1 << 18
+#: Bytes of text whose hashes a bucket holds, on average.
+BUCKET_BYTES = 8 << 20
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
-_IS_SPACE = np.isin(np.arange(256), list(SPACES))
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A one-to-one scramble of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD[0]))
 
 
 @cache
@@ -50,7 +41,7 @@ def _windows(words: np.ndarray, size: int, base: int) -> np.ndarray:
     if len(words) < size:
         return np.zeros(0, np.uint64)
     sums, down = _sums(words, base)
-    return _mix((sums[size:] - sums[:-size]) * down[: len(words) - size + 1])
+    return mix((sums[size:] - sums[:-size]) * down[: len(words) - size + 1])
 
 
 class _Text(NamedTuple):
@@ -60,6 +51,7 @@ class _Text(NamedTuple):
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
+    check: np.ndarray  # the other half of the hash
     text: np.ndarray
     place: np.ndarray
     count: np.ndarray  # words of each text
@@ -67,17 +59,12 @@ class _Text(NamedTuple):
 
 def _read(texts: list[bytes]) -> _Text:
     data = b"\n".join(texts) + b"\n"
-    raw = np.frombuffer(data, np.uint8)
-    space = _IS_SPACE[raw]
-    before = np.concatenate([[True], space[:-1]])
-    start, end = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
-    sums, down = _sums(_BYTE[raw], _ODD[1])
-    words = _mix((sums[end] - sums[start]) * down[start])
+    start, end, low, high = words_of(data)
     edges = np.cumsum([0] + [len(t) + 1 for t in texts])
     text = (np.searchsorted(edges, start, side="right") - 1).astype(np.int32)
     count = np.bincount(text, minlength=len(texts))
     place = (np.arange(len(start)) - np.repeat(np.cumsum(count) - count, count)).astype(np.int32)
-    return _Text(data, start, end, words, text, place, count)
+    return _Text(data, start, end, low, high, text, place, count)
 
 
 class _Group:
@@ -86,10 +73,9 @@ class _Group:
     def __init__(self, table: pa.Table, window: int, block: int):
         keys = table.column("__key").to_pylist()
         texts = table.column("__text").to_pylist()
-        order = sorted((i for i in range(len(keys)) if keys[i] is not None), key=lambda i: (keys[i], texts[i] or ""))
-        self.order = order + [i for i in range(len(keys)) if keys[i] is None]  # without a key: neither searched nor found
-        self.known, self.window, self.block = len(order), window, block
-        self.keys = np.array([keys[i] for i in order], np.int64)
+        self.order = sorted(range(len(keys)), key=lambda i: (keys[i], texts[i] or ""))
+        self.window, self.block = window, block
+        self.keys = np.array([keys[i] for i in self.order], np.int64)
         self.parts: list[_Text] = []
         held, size = [], 0
         for i in self.order:
@@ -105,15 +91,15 @@ class _Group:
         self.place = np.concatenate([p.place for p in self.parts])
         self.count = np.concatenate([p.count for p in self.parts])
 
-    def _hashes(self, size: int, base: int) -> np.ndarray:
+    def _hashes(self, size: int, base: int, of: str = "hash") -> np.ndarray:
         """Of the window that starts at each word; 0 where none fits."""
         pad = lambda h, n: np.concatenate([h, np.zeros(n - len(h), np.uint64)])
-        return np.concatenate([pad(_windows(p.hash, size, base), len(p.hash)) for p in self.parts])
+        return np.concatenate([pad(_windows(getattr(p, of), size, base), len(p.start)) for p in self.parts])
 
     def _fits(self, size: int) -> np.ndarray:
-        """Whether a window of that size starts at each word, in a document that has a whole `window` and a key."""
+        """Whether a window of that size starts at each word, in a document that has a whole `window`."""
         n = self.count[self.doc]
-        return (self.place + size <= n) & (n >= self.window) & (self.doc < self.known)
+        return (self.place + size <= n) & (n >= self.window)
 
     def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct hashes of all rolling blocks, sorted; which have an aligned one; which lie in two documents; where each is; whose."""
@@ -134,7 +120,7 @@ class _Group:
         start = np.flatnonzero(self._fits(self.window))
         start = start[total[start + self.window - self.block + 1] > total[start]]
         one = self._hashes(self.window, _ODD[2])[start]
-        two = (self._hashes(self.window, _ODD[0])[start] >> np.uint64(32)).astype(np.uint32)
+        two = (self._hashes(self.window, _ODD[0], "check")[start] >> np.uint64(32)).astype(np.uint32)
         order = np.lexsort((two, one))  # within equal ones the document order, that is by key, stays
         start, one, two = start[order], one[order], two[order]
         new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])]) if len(one) else np.zeros(0, bool)
@@ -182,8 +168,8 @@ def _answers(kind: str, bucket: int, groups: list[int], sizes: list[int], flags:
     )
 
 
-def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 13, keep: tuple[str, ...] = (), group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """One row a document: (key, *keep, n_words, n_removed, kept), without words of windows seen in a smaller key.
+def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 13, keep: tuple[str, ...] = (), to: str = "repeats", group_bytes: int = GROUP_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """One row a document: (key, *keep, to), `to` being a struct (n_words, n_removed, kept) without words of windows seen in a smaller key.
 
     A window is `window` words in a row, split at space and \\t-\\r. Words that
     a window covers go if its words also start in a document of a smaller
@@ -195,25 +181,29 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
     documents are the index, every rolling block is a probe, and a block is
     an anchor if it is aligned in one document and in another at all. Only
     windows round an anchor go on, on both sides; equal ones are brought
-    together by 96-bit hashes with the smallest key of each, so that hits
-    extend to whole repeats and however many copies a passage has, it costs
-    one entry a group. Documents are dealt to groups by a hash of the key;
+    together by 96-bit hashes, made of 128-bit ones of the words, with the
+    smallest key of each, so that hits extend to whole repeats and however
+    many copies a passage has, it costs one entry a group. Documents are
+    dealt to groups by a hash of key and text, so rows of a common key spread;
     groups send sorted distinct hashes to buckets of the hash range and get
-    back one bit for each. Texts are shuffled once and used three times.
+    back one bit for each. Texts are shuffled once and used three times. Two
+    window sequences that differ count as equal with a chance of 2**-96 a pair.
 
     Null and empty texts have no words. Rows with a null key keep all words
-    and hold nothing against others; rows of one key don't count against each
-    other. No rows, no result. Other columns are ignored.
+    and hold nothing against others; they aren't shuffled. Rows of one key
+    don't count against each other; repeated rows get equal results. No rows,
+    no result. Columns that aren't in `keep` are left out; `keep` may hold any
+    names but those of key and `to`.
     """
     block = (window + 1) // 2
     rows = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"), *[F.col(c).alias(f"__{i}") for i, c in enumerate(keep) if c != text])
     size = rows.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
-    n = max(tasks(docs.sparkSession), -(-size // group_bytes))
-    dealt = rows.withColumn("__group", F.pmod(F.xxhash64("__key", F.lit("group")), F.lit(n)))
+    n, n_buckets = (max(tasks(docs.sparkSession), -(-size // most)) for most in (group_bytes, bucket_bytes))
+    dealt = rows.where("__key IS NOT NULL").withColumn("__group", F.pmod(F.xxhash64("__key", "__text"), F.lit(n)))
 
     def send_blocks(table: pa.Table) -> pa.Table:
         hashes, aligned, twice, _, _ = _Group(table, window, block).blocks()
-        own = list(_dealt(hashes, 48, n))
+        own = list(_dealt(hashes, 48, n_buckets))
         return pa.table(
             {
                 "bucket": pa.array([b for b, _ in own], pa.int64()),
@@ -243,7 +233,7 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
             return _empty("bucket bigint, __group bigint, n bigint, hashes binary, checks binary, keys binary")
         hashes, _, _, at, whose = group.blocks()
         _, one, two, least, _ = group.candidates(_bits(back, "block", len(hashes)), at, whose)
-        own = list(_dealt(one, 64, n))
+        own = list(_dealt(one, 64, n_buckets))
         return pa.table(
             {
                 "bucket": pa.array([b for b, _ in own], pa.int64()),
@@ -268,7 +258,7 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
         flags[order] = smallest < least[order]
         return _answers("window", key[0].as_py(), table.column("__group").to_pylist(), sizes, flags)
 
-    names = [key, *keep, "n_words", "n_removed", "kept"]
+    names = [key, *keep, to]
 
     def cut(_: tuple, table: pa.Table, back: pa.Table) -> pa.Table:
         if not table.num_rows:
@@ -292,16 +282,28 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
         own = table.take(pa.array(group.order))
         del group, hashes, at, whose, start, one, least, entry, earlier, gone, change, covered
         give_back()
-        return pa.table([*[own.column(c) for c in ("__key", *("__text" if c == text else f"__{i}" for i, c in enumerate(keep)))], pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=[f"c{i}" for i in range(len(names))])
+        return result_table(own, count, removed, kept)
+
+    def result_table(own: pa.Table | pa.RecordBatch, count: np.ndarray, removed: np.ndarray, kept: list[str]) -> pa.Table:
+        found = pa.StructArray.from_arrays([pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["n_words", "n_removed", "kept"])
+        columns = [own.column(c) for c in ("__key", *("__text" if c == text else f"__{i}" for i, c in enumerate(keep)))]
+        return pa.table([*columns, found], names=[f"c{i}" for i in range(len(names))])
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1):
+            words = [(x or "").encode("utf-8", "surrogatepass").split() for x in part.column(1).to_pylist()]
+            kept = [b" ".join(w).decode("utf-8", "surrogatepass") for w in words]
+            yield from result_table(part, np.array([len(w) for w in words]), np.zeros(len(words), np.int64), kept).to_batches()
 
-    kinds = ["bigint", *(docs.schema[c].dataType.simpleString() for c in keep), "bigint", "bigint", "string"]
+    kinds = ["bigint", *(docs.schema[c].dataType.simpleString() for c in keep), "struct<n_words: bigint, n_removed: bigint, kept: string>"]
     result = ", ".join(f"c{i} {k}" for i, k in enumerate(kinds))
+    bare = rows.where("__key IS NULL").mapInArrow(untouched, result)
     groups = dealt.groupBy("__group")
     blocks = groups.applyInArrow(send_blocks, "bucket bigint, __group bigint, n bigint, hashes binary, aligned binary, twice binary")
     anchors = blocks.groupBy("bucket").applyInArrow(match_blocks, _ANSWER)
     windows = groups.cogroup(anchors.groupBy("__group")).applyInArrow(send_windows, "bucket bigint, __group bigint, n bigint, hashes binary, checks binary, keys binary")
     earlier = windows.groupBy("bucket").applyInArrow(match_windows, _ANSWER)
-    return groups.cogroup(anchors.unionByName(earlier).groupBy("__group")).applyInArrow(cut, result).toDF(*names)
+    return groups.cogroup(anchors.unionByName(earlier).groupBy("__group")).applyInArrow(cut, result).union(bare).toDF(*names)
 
 
 def _empty(schema: str) -> pa.Table:
