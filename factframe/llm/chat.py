@@ -38,12 +38,13 @@ def format_conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "tu
     Adjacent turns of one role become one block `open text [NEXT] text close`.
     Control strings in texts and role names are escaped reversibly. Offsets
     count code points. Null texts and roles are empty, null turns come
-    first, rows with a null key form one conversation; no rows, no result.
-    Other columns are ignored. A conversation is one output row and has to
+    first; a row with a null key is a conversation of its own, so they are
+    never gathered; no rows, no result. Other columns are ignored. A conversation is one output row and has to
     fit in a task; its rows are combined before the shuffle.
     """
     one = F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    turns = rows.groupBy(F.col(conv).alias("__conv")).agg(F.array_sort(F.collect_list(one)).alias("turns"))
+    alone = F.when(F.col(conv).isNull(), F.monotonically_increasing_id())
+    turns = rows.groupBy(F.col(conv).alias("__conv"), alone.alias("__alone")).agg(F.array_sort(F.collect_list(one)).alias("turns"))
 
     # Merging: the turns at which the role changes, and what lies between two of them.
     starts = F.filter(F.sequence(F.lit(1), F.size("turns")), lambda i: (i == 1) | (F.get("turns", i - 1)["role"] != F.get("turns", i - 2)["role"]))

@@ -19,6 +19,8 @@ from .common import give_back
 UNKNOWN = "und"
 #: At most about so many documents of a language are learned from: the bound of the sample.
 SAMPLE_PER_LANGUAGE = 1000
+#: Languages that a model may have, so that it can be broadcast: under 300 MB.
+MAX_LANGUAGES = 1000
 #: log2 of the number of buckets of character n-grams: bounds the model, whatever the sample.
 BUCKET_BITS = 15
 #: Log-score a change of language costs, that of a letter's script being foreign, the weight of overlapping n-grams.
@@ -97,13 +99,16 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     """Learn from rows with a language, about `per_language` of each, picked by a hash of the key.
 
     The sample is bounded, so is the model: (bucket, language) sums, made in
-    each task and added up before they reach the driver. Null texts teach
+    each task and added up before they reach the driver, for at most
+    MAX_LANGUAGES languages; more are an error. Null texts teach
     nothing; rows without a language are left out; without any, the model
     knows no language.
     """
     known = docs.where(F.col(lang).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    totals = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    totals = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
     names = sorted(totals)
+    if len(names) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not names:
         return Model([], np.zeros((1 << BUCKET_BITS, 0)), np.zeros((len(SCRIPTS) + 1, 0), bool))
     share = F.create_map(*[F.lit(x) for name in names for x in (name, min(1.0, per_language / totals[name]))])
@@ -139,9 +144,10 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray, switch: f
     Texts lie end to end in scores, longest first, and advance side by side.
     """
     k = scores.shape[1]
-    came = np.zeros(scores.shape, np.uint8)
+    small = np.min_scalar_type(max(k - 1, 0))  # holds any language's number
+    came = np.zeros(scores.shape, small)
     value = np.zeros((len(sizes), k), np.float32)
-    lanes, own = np.arange(len(sizes)), np.arange(k, dtype=np.uint8)
+    lanes, own = np.arange(len(sizes)), np.arange(k, dtype=small)
     longest = int(sizes[0]) if len(sizes) else 0
     active = len(sizes) - np.searchsorted(sizes[::-1], np.arange(longest), side="right")
     for t in range(longest):
@@ -152,8 +158,8 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray, switch: f
         stay = v >= jump[:, None]
         came[at] = np.where(stay, own, best[:, None])
         value[:n] = np.where(stay, v, jump[:, None]) + scores[at]
-    out = np.zeros(len(scores), np.uint8)
-    state = value.argmax(1).astype(np.uint8)
+    out = np.zeros(len(scores), small)
+    state = value.argmax(1).astype(small)
     for t in range(longest - 1, -1, -1):
         n = active[t]
         at = starts[:n] + t
@@ -216,15 +222,16 @@ def _spans(text: str, labels: np.ndarray, names: list[str]) -> list[dict]:
     return [{"lang": names[labels[c]], "start": a, "end": b} for c, a, b in zip([0, *cuts], ends, ends[1:])]
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs with lang_pred, score and lang_spans: the language with the most letters, its share of them, and all spans.
+def identify(docs: DataFrame, model: Model, text: str = "text", to: str = "language") -> DataFrame:
+    """docs with `to`, a struct (lang_pred, score, lang_spans): the language with the most letters, its share of them, and all spans.
 
     Each word gets a score by language from its letters' n-grams; languages
     that don't use its script are ruled out. Viterbi labels the words of the
     whole text. Spans (lang, start, end) cover the text in code points, ends
     exclusive. A null text, or one without a letter, gives `und`, 0 and no
     spans, as does a model without languages. Repeated rows get equal
-    results. Of a clash with an earlier column of these names, the new one stays.
+    results; an empty table gives no rows. All columns of docs stay as they
+    are; `to` must be none of them (common.free_name() gives such a name).
     """
     spans = T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("lang_spans", spans)])
@@ -251,8 +258,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         give_back()
 
     # Called non-deterministic, so that a filter on the result isn't pushed below it and every text labelled twice.
-    out = docs.withColumn("__label", label.asNondeterministic()(F.col(text)))
-    return out.withColumns({c: F.col(f"__label.{c}") for c in ("lang_pred", "score", "lang_spans")}).drop("__label")
+    return docs.select("*", label.asNondeterministic()(F.col(text)).alias(to))
 
 
 def held_out(key: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
@@ -123,7 +124,7 @@ def _bmp(b: memoryview, at: int) -> Found | None:
 
 
 def _jpeg(b: memoryview, at: int) -> Found | None:
-    """JPEG: marker segments with a frame and a scan, up to the end marker."""
+    """JPEG: marker segments with a frame and a scan, up to the end marker. The value is searched in place, nothing is copied."""
     pos, frame = at + 2, False
     while pos + 4 <= len(b) and b[pos] == 0xFF:
         mark, size = b[pos + 1], struct.unpack_from(">H", b, pos + 2)[0]
@@ -132,8 +133,8 @@ def _jpeg(b: memoryview, at: int) -> Found | None:
         frame |= 0xC0 <= mark <= 0xCF and mark not in (0xC4, 0xC8, 0xCC)
         pos += 2 + size
         if mark == 0xDA:
-            end = bytes(b[pos:]).find(b"\xff\xd9") if frame else -1
-            return Found("image/jpeg", at, pos + end + 2 - at, pos, end) if end >= 0 else None
+            end = b.obj.find(b"\xff\xd9", pos) if frame else -1
+            return Found("image/jpeg", at, end + 2 - at, pos, end - pos) if end >= 0 else None
     return None
 
 
@@ -145,7 +146,10 @@ def _gzip(b: memoryview, at: int) -> Found | None:
     try:
         pos = at
         while not inflate.eof and pos < len(b):
-            inflate.decompress(b[pos : pos + 65536])
+            data = b[pos : pos + 65536]
+            while data and not inflate.eof:  # at most 1 MB of output is held, whatever the stream says
+                inflate.decompress(data, 1 << 20)
+                data = inflate.unconsumed_tail
             pos += 65536
     except zlib.error:
         return None
@@ -156,23 +160,34 @@ def _gzip(b: memoryview, at: int) -> Found | None:
 _VALID = {"audio/wav": _wav, "image/png": _png, "image/gif": _gif, "image/bmp": _bmp, "image/jpeg": _jpeg, "application/gzip": _gzip}
 
 
-def sniff(value: bytes | None) -> list[Found]:
+def sniff(value: bytes | None, seen: Counter | None = None) -> list[Found]:
     """The valid media in a value, leftmost first and not overlapping.
 
     Aho-Corasick proposes places by magic bytes; a place counts only if its
     format's structure and lengths hold there. The search goes on after each.
+    seen, if given, counts the places of each kind that were proposed.
     """
     if not value:
         return []
     out, free, view = [], 0, memoryview(value)
     for last, (kind, size) in _signatures().iter(value.decode("latin-1")):
         at = last - size + 1
-        if at >= free and (found := _VALID[kind](view, at)):
+        if at < free:
+            continue
+        if seen is not None:
+            seen[kind] += 1
+        if found := _VALID[kind](view, at):
             out.append(found)
             free = at + found.length
     return out
 
 
+def carved(value: bytes, found: Found) -> bytes:
+    """The content of audio, else the whole media."""
+    at, n = (found.data_start, found.data_length) if found.kind == "audio/wav" else (found.start, found.length)
+    return value[at : at + n]
+
+
 def as_wav(text: str | None) -> bytes:
     """A text's UTF-8 bytes as 8-bit mono samples, filled with 255 to a positive multiple of UNIT."""
     raw = (text or "").encode("utf-8", "surrogatepass")
@@ -203,32 +218,40 @@ def store_as_media(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def sniff_media(values: DataFrame, key: str, media: str, declared: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row a value: (key, *keep, media, declared, actual, found).
+    """One row a value: (key, *keep, media, declared, actual, found, proposed, inside).
 
     actual: the type of the media that fills the whole value, else of the
     first valid one inside, else the declared type. found: every valid media
     as (kind, start, length, data), where data is the carved content: the
-    samples of audio, else the whole media. Null and empty values have none
-    and keep the declared type; other columns are ignored.
+    samples of audio, else the whole media. The samples of audio are searched
+    too: proposed counts the places in them that have a signature, by kind,
+    and inside has those that proved valid, as (kind, start, length) from the
+    start of the samples. Null and empty values have none and keep the
+    declared type; repeated rows give equal ones; no rows, no result; other
+    columns are ignored, and `keep` may hold any names but those of the result.
     """
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("length", pa.int64()), ("data", pa.binary())]))
+        place = [("kind", pa.string()), ("start", pa.int64()), ("length", pa.int64())]
+        kinds, nested = pa.list_(pa.struct([*place, ("data", pa.binary())])), pa.list_(pa.struct(place))
         for part in slices(batches, 0):
-            actual, found = [], []
+            actual, found, proposed, inside = [], [], [], []
             for value, said in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                hits = sniff(value)
+                hits, seen, within = sniff(value), Counter(), []
                 whole = next((h for h in hits if h.start == 0 and h.length == len(value)), hits[0] if hits else None)
                 actual.append(whole.kind if whole else said)
-                found.append(
-                    [
-                        {"kind": h.kind, "start": h.start, "length": h.length, "data": value[h.data_start : h.data_start + h.data_length] if h.kind == "audio/wav" else value[h.start : h.start + h.length]}
-                        for h in hits
-                    ]
-                )
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(actual, pa.string()), pa.array(found, kinds)], names=[*part.schema.names, "actual", "found"])
+                own = [carved(value, h) for h in hits]
+                for h, data in zip(hits, own):
+                    if h.kind == "audio/wav":
+                        within += sniff(data, seen)
+                found.append([{"kind": h.kind, "start": h.start, "length": h.length, "data": data} for h, data in zip(hits, own)])
+                proposed.append(list(seen.items()))
+                inside.append([{"kind": h.kind, "start": h.start, "length": h.length} for h in within])
+            made = [pa.array(actual, pa.string()), pa.array(found, kinds), pa.array(proposed, pa.map_(pa.string(), pa.int64())), pa.array(inside, nested)]
+            yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, "actual", "found", "proposed", "inside"])
 
     rows = values.select(F.col(media).alias("media"), F.col(declared).alias("declared"), F.col(key).alias("__key"), *[F.col(c).alias(f"__{i}") for i, c in enumerate(keep)])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    out = rows.mapInArrow(look, fields + ", actual string, found array<struct<kind: string, start: bigint, length: bigint, data: binary>>")
-    return out.select(F.col("__key").alias(key), *[F.col(f"__{i}").alias(c) for i, c in enumerate(keep)], "media", "declared", "actual", "found")
+    place = "kind: string, start: bigint, length: bigint"
+    out = rows.mapInArrow(look, f"{fields}, actual string, found array<struct<{place}, data: binary>>, proposed map<string, bigint>, inside array<struct<{place}>>")
+    return out.select(F.col("__key").alias(key), *[F.col(f"__{i}").alias(c) for i, c in enumerate(keep)], "media", "declared", "actual", "found", "proposed", "inside")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections.abc import Callable, Iterator
@@ -20,9 +21,18 @@ GROUP_TOKENS = 4_000_000
 #: Words, and parts of words, whose ids a worker remembers, in each of two generations.
 MEMORY_WORDS = 120_000
 
-#: Texts for which the split below equals the tokenizer's own.
+#: What a tokenizer's file says if the split below is its own: fixed values.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+#: Texts for which the split below equals that tokenizer's.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ\t-\r ]*")
-#: The tokenizer's own split of lower-case text of those characters, white space dropped: a fixed value of its file.
+#: Its split of lower-case text of those characters, white space dropped.
 _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\t-\r ]+")
 
 
@@ -56,17 +66,21 @@ class _Memory(dict):
 class WordTokens:
     """Texts to their ids as little-endian unsigned 32-bit numbers.
 
-    For a tokenizer that drops white space, a text's ids are those of its
-    words in a row. A text, or else a word, of plain characters is split as
-    the tokenizer does and looked up part by part, which costs a tenth of
-    encode(); there are far fewer parts than words with their punctuation.
-    All others go through encode() itself.
+    Where the file names the normalizer and the split that are known here, a
+    text's ids are those of its words in a row. A text, or else a word, of
+    plain characters is split and looked up part by part, which costs a tenth
+    of encode(); there are far fewer parts than words with their punctuation.
+    All others, and all texts of other tokenizers, go through encode() itself.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.model = (t := Tokenizer.from_file(path)), t.model
+        with open(path, encoding="utf-8") as file:
+            own = json.load(file)
+        added = [a["content"] for a in own["added_tokens"]]
+        self.known = own["normalizer"] == _NORMALIZER and own["pre_tokenizer"] == _PRE_TOKENIZER and own["model"]["type"] == "BPE" and own["model"].get("dropout") is None and own.get("post_processor") is None and own.get("truncation") is None and own.get("padding") is None and all(a.startswith("<|") and not re.search(r"\s", a) for a in added)
         self.parts, self.words = _Memory(self._part), _Memory(self._word)
         self.letters = _byte_letters()
 
@@ -84,6 +98,8 @@ class WordTokens:
 
     def ids(self, text: str) -> bytes:
         """A text's ids. str.split() also splits at four control characters that the tokenizer keeps."""
+        if not self.known:
+            return self.whole(text)
         if _PLAIN.fullmatch(text) and "<|" not in text:
             return self._plain(text)
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
@@ -158,8 +174,9 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int
     leaves next to no padding but in its last windows. sequence_id has the
     task's partition number above bit 40. Each id of each document lies in
     one piece; ids are little-endian unsigned 32-bit numbers. Null texts are
-    empty and give the end id only; repeated rows are packed each; an empty
-    table gives no rows; other columns are ignored.
+    empty and give the end id only; rows with a null or repeated key are
+    packed each; an empty table gives no rows; other columns are ignored,
+    whatever their names. `path` is any tokenizer file, read in each task.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
