@@ -46,9 +46,9 @@ def connected_components(links: DataFrame) -> DataFrame:
     while True:
         edges = _small_star(_large_star(edges)).checkpoint()
         # All are stars when no node is both a child and a parent, and no child has two parents.
-        tops = edges.select("v").distinct()
-        child_twice = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1")
-        if edges.join(tops.withColumnRenamed("v", "u"), "u", "left_semi").isEmpty() and child_twice.isEmpty():
+        tops = edges.select(F.col("v").alias("u")).distinct()
+        child_twice = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+        if edges.join(tops, "u", "left_semi").select("u").unionByName(child_twice).isEmpty():
             break
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()

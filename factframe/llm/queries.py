@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import CONTROL, format_conversations, read_back
 from .common import table
 from .langid import fit, held_out, identify
 from .licenses import scan_licenses, templates
-from .media import sniff_media, store_as_media
+from .media import MAGIC, sniff_media, store_as_media
 from .packing import pack_documents
 from .pieces import sample_pieces
 from .pii import KINDS, detect_pii
@@ -50,12 +50,12 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = rf"""
 WITH r AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}'),
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, NULL, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, NULL, 1, 'assistant', '{TRICKY}'),
 o AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM r),
+  SELECT *, row_number() OVER (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text) AS k FROM r),
 e AS (
-  SELECT *, coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY k) <> role, true) AS opens,
+  SELECT *, coalesce(lag(role) OVER (PARTITION BY conv_id, alone ORDER BY k) <> role, true) AS opens,
     length(regexp_replace(text, '(<|\[)(\\*){CONTROL}', '\1\\\2\3', 'g')) AS n,
     length(regexp_replace(role, '(<|\[)(\\*){CONTROL}', '\1\\\2\3', 'g')) AS n_role FROM o)
 SELECT conv_id, count(*)::BIGINT AS n_turns,
@@ -64,14 +64,15 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   (3 + sum(n + CASE WHEN NOT opens THEN 6 WHEN role IN ('system', 'assistant') THEN CASE role WHEN 'system' THEN 11 ELSE 9 END
     WHEN role = 'user' THEN 13 ELSE 19 + n_role END))::BIGINT AS formatted_chars
-FROM e GROUP BY conv_id
+FROM e GROUP BY conv_id, alone
 """
 
 
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = sniff_media(store_as_media(table(spark, sf_dir, "documents")), "doc_id", "media", "declared", keep=("n_bytes",))
     payload = F.col("found")[0]["data"]
-    kinds = F.array_join(F.transform("found", lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["length"].cast("string"))), ",")
+    listed = lambda c: F.array_join(F.transform(c, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["length"].cast("string"))), ",")
+    proposed = F.array_join(F.transform(F.array(*map(F.lit, sorted(MAGIC))), lambda m: F.concat_ws("=", m, F.coalesce(F.try_element_at("proposed", m), F.lit(0)).cast("string"))), ",")
     return seen.select(
         "doc_id",
         "n_bytes",
@@ -80,17 +81,21 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(F.substring(payload, -32, 32)).alias("tail_crc32"),
         F.octet_length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
-        F.concat_ws(";", "declared", "actual", kinds).alias("feature"),
+        F.concat_ws(";", "declared", "actual", listed("found"), proposed, listed("inside")).alias("feature"),
     )
 
 
-
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = detect_pii(table(spark, sf_dir, "documents"))
-    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return found.select("doc_id", *map(count, KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+    found = detect_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii.*")
+    return found.select("doc_id", *map(_count, KINDS), F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
+def _listed(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
 
+def _count(kind: str) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
 def tokenizer_path(name: str) -> str:
@@ -122,7 +127,7 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out(F.col("doc_id")))
     found = identify(docs.select("doc_id", "text", "held_out"), fit(docs.where(~F.col("held_out"))))
-    return found.select("doc_id", "held_out", "lang_pred", "score")
+    return found.select("doc_id", "held_out", "language.lang_pred", "language.score")
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_licenses(table(spark, sf_dir, "documents"))
@@ -154,7 +159,7 @@ FROM documents LEFT JOIN b USING (doc_id)
 
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drop_repeats(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("doc_id", "repeats.n_words", "repeats.n_removed", F.sha2("repeats.kept", 256).alias("kept_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from .common import give_back, hex64, with_checkpoint_dir
 from .components import connected_components
 
-_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _BITS = np.arange(64, dtype=np.uint64)
 
 
@@ -25,7 +25,7 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     XXH64 (seed 42) of the space-joined shingles, repeats included; a text of
     fewer words is one shingle. A bit is set if over half the hashes set it.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not words:
         return 0
     digest = xxhash.xxh64_intdigest
