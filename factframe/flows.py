@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from .operators import facts as op
 from .operators import narration, quality
-from .operators.islands import merge_states
-from .operators.visual import narration_facts, visual_facts
+from .operators.visual import visual_facts, with_frames
 from .sources import config, tables
 
 
@@ -24,7 +23,7 @@ def _read(spark: SparkSession, cfg: dict, name: str) -> DataFrame:
 
 def context(spark: SparkSession, cfg: dict) -> None:
     """Clips from annotations, and the padded source interval of each."""
-    clips = tables.read_clips(spark, cfg["clips"])
+    clips = tables.clip_source(spark, cfg.get("clips"), cfg.get("clips_jsonl"), cfg.get("clip_id"), cfg.get("limit"))
     _write(clips, cfg, "clips")
     pad = cfg.get("padding", {})
     a, z = narration.padded(F.col("start_seconds"), F.col("end_seconds"), pad.get("before", 5.0), pad.get("after", 5.0))
@@ -33,38 +32,50 @@ def context(spark: SparkSession, cfg: dict) -> None:
 
 
 def assets(spark: SparkSession, cfg: dict) -> None:
-    """Facts from frames and narration, their states, changes, final values, flags and keyframe plan."""
-    seen = visual_facts(spark.read.schema(tables.VISUAL_ROWS).json(cfg["visual_rows"]))
-    if cfg.get("sentences"):
-        said = spark.read.schema("sentence_id bigint, clip_id string, text string, start double").json(cfg["sentences"])
-        numbers = narration.assign_numbers(said, [tuple(x) for x in cfg.get("aliases", [])])
-        seen = seen.unionByName(narration_facts(said, numbers))
-    _write(seen, cfg, "facts")
-    rows = _read(spark, cfg, "facts")
-    _write(merge_states(rows), cfg, "states")
-    _write(op.change_events(rows), cfg, "change_events")
-    _write(op.final_table(rows), cfg, "final_table")
-    _write(op.summary(rows), cfg, "summary")
-    grouped = rows.withColumn("state_key", F.coalesce("state_key", F.col("start").cast("string"))).groupBy("clip_id", "state_key")
-    signature = F.to_json(F.array_sort(F.collect_set(F.struct("entity_id", "metric", "value"))))
-    _write(op.plan_states(grouped.agg(F.min("start").alias("state_start"), signature.alias("signature")), cfg.get("max_states", 8)), cfg, "state_plan")
+    """Facts from frames and narration, fused; their states, changes, final values, flags and keyframe plan.
+
+    Of the inputs only visual_rows has to be there.
+    """
+    given = lambda name, schema: tables.read_or_empty(spark, cfg[name], schema) if cfg.get(name) else spark.createDataFrame([], schema)
+    charts, frames = given("charts", tables.CHARTS), given("frames", tables.FRAMES)
+    rows = spark.read.schema(tables.VISUAL_ROWS).json(cfg["visual_rows"])
+    seen = visual_facts(with_frames(rows, frames), charts)
+    sentences = given("sentences", tables.SENTENCES)
+    told = charts.join(rows.select("clip_id").union(sentences.select("clip_id")).distinct(), "clip_id", "right")
+    aliases = narration.chart_aliases(given("labels", tables.LABELS), told.select("clip_id", F.concat_ws(" ", "title", "y_axis", "text").alias("text")))
+    said = narration.narration_facts(sentences, aliases, given("windows", tables.WINDOWS), frames)
+    fused = op.fuse(seen, said).withColumn("metric", op.sanitised_metric(F.col("metric")))
+    _write(fused, cfg, "facts")
+    _write(op.with_state_ids(op.merge_states(_read(spark, cfg, "facts").drop("conflict_with"))), cfg, "states")
+    states = _read(spark, cfg, "states")
+    _write(op.change_events(states), cfg, "change_events")
+    _write(op.final_table(states), cfg, "final_table")
+    _write(op.summary(states), cfg, "summary")
+    clips = _read(spark, cfg, "summary").join(charts.select("clip_id", "chart_type"), "clip_id", "left")
+    plans, planned = op.plan_states(states, clips, cfg.get("max_states", 8))
+    _write(plans, cfg, "state_plan")
+    _write(planned, cfg, "state_keyframes")
+    _write(op.reconciled(clips.select("clip_id", "chart_type"), states), cfg, "intent")
 
 
 def check(spark: SparkSession, cfg: dict) -> None:
-    """Rule issues of each clip and its status."""
+    """Rule issues of each clip, those between its artifacts, those of a model's review, and its status.
+
+    artifacts: (clip_id, files, bad_json, extractable, svgs, n_csv, n_final,
+    n_event_csv); drawings and answers are as quality's layers take them.
+    """
     clips = _read(spark, cfg, "clips").select("clip_id")
-    met = clips.join(_read(spark, cfg, "summary"), "clip_id", "left")
-    issues = quality.check(
-        met,
-        "clip_id",
-        [
-            ("hard_fail", "missing_required_file", F.col("n_facts").isNull()),
-            ("hard_fail", "included_without_numeric_facts", F.col("included") & (F.col("n_numeric") == 0)),
-            ("needs_review", "dynamic_flag_without_multiple_states_or_events", F.col("dynamic") & (F.col("n_changes") < 2)),
-            ("needs_review", "partial_values", F.col("completeness") == "partial"),
-        ],
-    )
-    _write(issues, cfg, "issues")
+    states, facts = _read(spark, cfg, "states"), _read(spark, cfg, "summary")
+    ids = states.groupBy("clip_id").agg(F.countDistinct("state_id").alias("n_state_ids"))
+    own = facts.select("clip_id", F.col("include_in_dataset").alias("include"), F.col("numeric_fact_count").alias("numeric_count"), "exclude_reason", "n_states", F.col("data_change_count").alias("n_events"), F.col("dynamic_data").alias("dynamic"))
+    artifacts = tables.read_or_empty(spark, cfg["artifacts"], tables.ARTIFACTS) if cfg.get("artifacts") else spark.createDataFrame([], tables.ARTIFACTS)
+    met = clips.join(artifacts, "clip_id", "left").join(own, "clip_id", "left").join(ids, "clip_id", "left").join(_read(spark, cfg, "state_plan").select("clip_id", F.col("should_save").alias("planned")), "clip_id", "left")
+    layers = [quality.rule_issues(met)]
+    if cfg.get("drawings"):
+        layers.append(quality.cross_issues(states, tables.read_or_empty(spark, cfg["drawings"], tables.DRAWINGS)))
+    if cfg.get("answers"):
+        layers.append(quality.model_issues(tables.read_or_empty(spark, cfg["answers"], tables.ANSWERS)))
+    _write(quality.all_issues(*layers), cfg, "issues")
     _write(quality.status(clips, _read(spark, cfg, "issues"), "clip_id"), cfg, "quality")
 
 

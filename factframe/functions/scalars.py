@@ -11,14 +11,18 @@ from pyspark.sql import functions as F
 NUMBER_WORDS = {
     **{w: i for i, w in enumerate("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split())},
     **{w: 10 * i for i, w in enumerate("twenty thirty forty fifty sixty seventy eighty ninety".split(), 2)},
-    "hundred": 100,
 }
-#: Units in the order in which they are looked for, and the patterns that show them: fixed values.
+ANY_WORD = "|".join(sorted(NUMBER_WORDS, key=len, reverse=True))
+ONES_WORD = "|".join(w for w, v in NUMBER_WORDS.items() if v < 10)
+#: A number: not part of a word or of another number; the figure is group 1, what may follow it as a unit group 2.
+NUMBER = r"(?:^|[^\w.])(-?[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?)(\s*(?:%|percent|dollars?|usd|\$|km|miles?|days?|years?|million|billion|thousand|k|m|bn))?"
+#: A number in words, of one word or two.
+WORDED = rf"(?:^|\W)({ANY_WORD})(?:[-\s]+({ONES_WORD}))?(?:\W|$)"
+#: Units in the order in which they are looked for: the pattern that shows them in a lower-case text, and a number's suffix that does. Fixed values.
 UNITS = [
-    ("%", r"%|\bpercent\b"), ("$", r"\$|\bdollars?\b"), ("miles", r"\bmiles?\b"), ("km", r"\bkm\b|\bkilomet"), ("day", r"\bdays?\b"),
-    ("years", r"\byears?\b"), ("million", r"\bmillions?\b"), ("billion", r"\bbillions?\b"), ("thousand", r"\bthousands?\b"),
+    ("%", "%|percent", None), ("$", r"\$|dollar|usd", None), ("miles", "mile", None), ("km", r"\bkm\b", None), ("day", "day", None), ("years", "year", None),
+    ("million", "million", "m"), ("billion", "billion", "bn"), ("thousand", "thousand", "k"),
 ]
-_NUMBER = r"[-+]?[0-9][0-9,]*(?:\.[0-9]+)?"
 
 
 def blank_to_null(x: Column) -> Column:
@@ -31,18 +35,27 @@ def slug(x: Column) -> Column:
 
 
 def numeric_value(x: Column) -> Column:
-    """The first number of a text; without one, the sum of its number words; null without any."""
-    digits = F.nullif(F.regexp_replace(F.regexp_extract(x, _NUMBER, 0), ",", ""), F.lit("")).try_cast("double")
-    words = F.split(F.lower(x), "[^a-z]+")
+    """The first number of a text; without one, its first number in words; null without any."""
+    digits = F.nullif(F.regexp_replace(F.regexp_extract(x, NUMBER, 1), ",", ""), F.lit("")).try_cast("double")
     table = F.create_map(*[F.lit(v) for w, n in NUMBER_WORDS.items() for v in (w, float(n))])
-    known = F.filter(F.transform(words, lambda w: F.try_element_at(table, w)), lambda n: n.isNotNull())
-    said = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda a, n: a + n))
-    return F.coalesce(digits, said)
+    said = lambda group: F.try_element_at(table, F.regexp_extract(F.lower(x), WORDED, group))
+    return F.coalesce(digits, said(1) + F.coalesce(said(2), F.lit(0.0)))
 
 
-def infer_unit(x: Column) -> Column:
-    """The first unit that a text shows; empty without one."""
-    return reduce(lambda out, u: out.when(F.lower(x).rlike(u[1]), u[0]), UNITS[1:], F.when(F.lower(x).rlike(UNITS[0][1]), UNITS[0][0])).otherwise("")
+def infer_unit(*texts: Column) -> Column:
+    """The first unit that the first of the texts shows which shows any; null without one.
+
+    A text is lowered once and searched once for all units; the order in UNITS decides between those found.
+    """
+
+    def shown(x: Column) -> Column:
+        low = F.lower(x)
+        suffix = F.trim(F.regexp_extract(low, NUMBER, 2))
+        holds = lambda u: low.rlike(u[1]) | (suffix == u[2]) if u[2] else low.rlike(u[1])
+        first = reduce(lambda out, u: out.when(holds(u), u[0]), UNITS[1:], F.when(holds(UNITS[0]), UNITS[0][0]))
+        return F.when(low.rlike("|".join(u[1] for u in UNITS)) | suffix.isin([u[2] for u in UNITS if u[2]]), first)
+
+    return F.coalesce(*map(shown, texts))
 
 
 def tick_value(x: Column) -> Column:
@@ -100,3 +113,70 @@ def labels_match(a: Column, b: Column) -> Column:
     """Whether the words of one label are all among the other's."""
     words = lambda x: F.array_distinct(F.filter(F.split(F.lower(x), "[^a-z0-9]+"), lambda w: w != ""))
     return (F.size(F.array_except(words(a), words(b))) == 0) | (F.size(F.array_except(words(b), words(a))) == 0)
+
+
+def year_in(text: Column) -> Column:
+    """The first four digits of a text that read like a year of 1900 to 2099."""
+    return F.nullif(F.regexp_extract(text, "(?:19|20)[0-9]{2}", 0), F.lit("")).try_cast("int")
+
+
+def fiscal_label(year: Column) -> Column:
+    """A fiscal year by its first year, as 2007-08."""
+    return F.format_string("%d-%02d", year, (year + 1) % 100)
+
+
+def xml_escaped(text: Column) -> Column:
+    """Text for XML content and attributes."""
+    for plain, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&apos;")):
+        text = F.replace(text, F.lit(plain), F.lit(name))
+    return text
+
+
+def data_uri(content: Column, kind: str) -> Column:
+    """Bytes as a base64 data URI."""
+    return F.concat(F.lit(f"data:{kind};base64,"), F.base64(content))
+
+
+def png_size(content: Column) -> Column:
+    """(width, height) from the header of a PNG; null for anything else."""
+    number = lambda at: F.conv(F.hex(F.substring(content, at, 4)), 16, 10).cast("int")
+    is_png = F.hex(F.substring(content, 1, 8)) == "89504E470D0A1A0A"
+    return F.when(is_png & (F.octet_length(content) >= 24), F.struct(number(17).alias("width"), number(21).alias("height")))
+
+
+def without_suffix(text: Column, suffixes: list[str]) -> Column:
+    """Text without the first of the suffixes that it ends in, and without blanks before that."""
+    return F.trim(F.regexp_replace(text, r"(?i)\s*(?:" + "|".join(suffixes) + r")\s*$", ""))
+
+
+def kept(flag: Column) -> Column:
+    """A flag that keeps a row unless it says no."""
+    return F.coalesce(flag, F.lit(True))
+
+
+def any_filled(*columns: Column) -> Column:
+    """Whether any of the columns is neither null nor empty."""
+    return reduce(lambda a, b: a | b, [F.coalesce(c.cast("string") != "", F.lit(False)) for c in columns])
+
+
+def guarded(path: Column, *parts: str) -> Column:
+    """A path, which raises an error if one of its parts is among those given."""
+    bad = F.arrays_overlap(F.split(path, r"[/\\\\]"), F.array(*map(F.lit, parts)))
+    return F.when(F.coalesce(bad, F.lit(False)), F.raise_error(F.concat(F.lit("not a visual source: "), path)).cast("string")).otherwise(path)
+
+
+#: Chart families: a type and its processor. Fixed values.
+FAMILIES = {
+    "bar": "bar", "combined": "bar", "line": "line", "area": "line", "timeline": "line", "pie": "pie", "donut": "pie",
+    "map": "map", "pictograph": "pictograph", "treemap": "treemap", "scatter": "scatter", "sankey": "sankey",
+}
+
+
+def dispatch(declared: Column, recovered: Column) -> Column:
+    """(processor, declared_type, consistent): a recovered type of a known family decides, else the declared one."""
+    plain = lambda x: F.lower(F.trim(F.coalesce(x, F.lit(""))))
+    table = F.create_map(*[F.lit(x) for pair in FAMILIES.items() for x in pair])
+    family = lambda x: F.coalesce(F.try_element_at(table, plain(x)), F.lit("unknown"))
+    processor = F.when(family(recovered) != "unknown", family(recovered)).otherwise(family(declared))
+    same = (processor == "unknown") | (plain(recovered) == "") | (family(declared) == processor)
+    return F.struct(processor.alias("processor"), plain(declared).alias("declared_type"), same.alias("consistent"))

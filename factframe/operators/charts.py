@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 def plausible(rows: DataFrame, by: list[str], value: str, length: str, tolerance: float = 0.12, small: float = 0.15) -> DataFrame:
     """Whether a value is to its group's largest as its mark is to the longest; small values get more room, negative ones none."""
-    over = Window.partitionBy(*by)
-    gap = F.abs(F.col(value) / F.max(value).over(over) - F.col(length) / F.max(length).over(over))
+    most = rows.groupBy(*by).agg(F.max(value).alias("__v"), F.max(length).alias("__l"))
+    gap = F.abs(F.col(value) / F.col("__v") - F.col(length) / F.col("__l"))
     ok = F.when(F.col(value) < 0, False).otherwise(gap <= F.when(F.col(value) < 5, small).otherwise(tolerance))
-    return rows.withColumn("plausible", ok)
+    return rows.join(most, by).withColumn("plausible", ok).drop("__v", "__l")
 
 
 def filled_by_line(rows: DataFrame, by: list[str], x: str, y: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Runs in ordered rows: states that last, sentences, clusters."""
+"""Runs in ordered rows: islands, sentences, clusters."""
 
 from __future__ import annotations
 
@@ -12,22 +12,6 @@ def island_ids(df: DataFrame, by: list[str], order: list[Column], opens: Column,
     return df.withColumn("__open", F.coalesce(opens, F.lit(True)).cast("long")).withColumn(to, F.sum("__open").over(window.rowsBetween(Window.unboundedPreceding, 0))).drop("__open")
 
 
-def merge_states(facts: DataFrame) -> DataFrame:
-    """Adjacent facts of one (clip, entity, metric) and value become one state.
-
-    A state runs from its first start to its last row's start; confidence
-    of a run is not averaged. Rows are ordered by start, then ord.
-    """
-    by, order = ["clip_id", "entity_id", "metric"], [F.col("start"), F.col("ord")]
-    window = Window.partitionBy(*by).orderBy(*order)
-    first = F.row_number().over(window) == 1
-    opens = first | ~F.col("value").eqNullSafe(F.lag("value").over(window))
-    runs = island_ids(facts, by, order, opens)
-    return runs.groupBy(*by, "island").agg(
-        F.first("value").alias("value"), F.min("start").alias("state_start"), F.max("start").alias("state_end"), F.count("*").alias("n_facts")
-    )
-
-
 def sentences(words: DataFrame, by: list[str], at: Column, order: list[Column], ends: Column, pause: float) -> DataFrame:
     """Number the sentences of a word stream: one ends at a closing word or before a pause of at least `pause`."""
     window = Window.partitionBy(*by).orderBy(*order)

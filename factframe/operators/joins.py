@@ -2,19 +2,66 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def overlapping(left: DataFrame, right: DataFrame, on: list[str], start: tuple[str, str], end: tuple[str, str], closed: bool = False) -> DataFrame:
+def overlapping(left: DataFrame, right: DataFrame, on: list[str], start: tuple[str, str], end: tuple[str, str], closed: bool = False, keep_missing: bool = False) -> DataFrame:
     """Rows of one key whose intervals overlap, with clip_start and clip_end of the overlap; touching counts only if `closed`.
 
     The key is an equality, so that Spark hashes or sorts by it and the
-    interval is a residual condition; missing bounds never overlap.
+    interval is a residual condition. Rows with a missing bound overlap
+    nothing, or, with keep_missing, everything of their key.
     """
     a, b = F.greatest(start[0], start[1]), F.least(end[0], end[1])
     met = left.join(right, on).withColumn("clip_start", a).withColumn("clip_end", b)
-    return met.where(F.col("clip_end") >= F.col("clip_start") if closed else F.col("clip_end") > F.col("clip_start"))
+    fits = F.col("clip_end") >= F.col("clip_start") if closed else F.col("clip_end") > F.col("clip_start")
+    if keep_missing:
+        fits = reduce(operator.or_, [F.col(c).isNull() for c in (*start, *end)]) | fits
+    return met.where(fits)
+
+
+def contained(inner: DataFrame, outer: DataFrame, on: list[str], start: tuple[str, str], end: tuple[str, str], slack: float = 1e-3) -> DataFrame:
+    """Rows of one key whose first interval lies within the second, give or take."""
+    return inner.join(outer, on).where((F.col(start[0]) >= F.col(start[1]) - slack) & (F.col(end[0]) <= F.col(end[1]) + slack))
+
+
+def covering(points: DataFrame, intervals: DataFrame, on: list[str], at: str, start: str, end: str, order: str) -> DataFrame:
+    """Points with `interval`, the first by `order` of their key's intervals that holds their time, bounds included; null where none does.
+
+    Whether any holds it is whether interval is there. A partial aggregate
+    leaves one row a point and task before the shuffle.
+    """
+    key = [c for c in points.columns if c not in on]
+    own = F.struct(*[c for c in intervals.columns if c not in on])
+    met = points.join(intervals.withColumn("interval", own).select(*on, "interval", F.col(start).alias("__a"), F.col(end).alias("__z"), F.col(order).alias("__o")), on, "left")
+    held = F.col(at).between(F.col("__a"), F.col("__z"))
+    return met.groupBy(*on, *key).agg(F.min_by("interval", F.when(held, F.col("__o"))).alias("interval"))
+
+
+def on_axis(rows: DataFrame, ticks: DataFrame, by: list[str], coord: str, tick: str, value: str) -> DataFrame:
+    """Rows with `read`, the value at their coordinate on their key's axis: linear between ticks, the end slopes beyond, never below 0.
+
+    Ticks carry their neighbours, and rows and ticks are put on one line that
+    is sorted once; an axis of under two ticks reads null.
+    """
+    line = Window.partitionBy(*by).orderBy(tick)
+    ends = ticks.select(*by, tick, value).distinct().withColumns({"__x0": F.lag(tick).over(line), "__y0": F.lag(value).over(line), "__x1": F.lead(tick).over(line), "__y1": F.lead(value).over(line)})
+    mark = F.struct(F.col(tick).alias("x"), F.col(value).alias("y"), "__x0", "__y0", "__x1", "__y1")
+    marks = ends.select(*by, F.col(tick).cast("double").alias("__at"), mark.alias("__mark"))
+    kind = marks.schema["__mark"].dataType
+    both = marks.withColumn("__row", F.lit(None).cast(rows.select(F.struct(*rows.columns).alias("r")).schema["r"].dataType)).unionByName(rows.select(*by, F.col(coord).cast("double").alias("__at"), F.lit(None).cast(kind).alias("__mark"), F.struct(*rows.columns).alias("__row")))
+    order = Window.partitionBy(*by).orderBy("__at", F.col("__row").isNotNull())
+    back = F.last("__mark", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.first("__mark", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    met = both.withColumn("__m", F.coalesce(back, ahead)).where("__row IS NOT NULL")
+    m = F.col("__m")
+    up = m["__x1"].isNotNull()
+    slope = F.when(up, (m["__y1"] - m["y"]) / (m["__x1"] - m["x"])).otherwise((m["y"] - m["__y0"]) / (m["x"] - m["__x0"]))
+    return met.withColumn("read", F.greatest(m["y"] + (F.col("__at") - m["x"]) * slope, F.lit(0.0))).withColumn("read", F.when(slope.isNotNull(), F.col("read"))).select("__row.*", "read")
 
 
 def nearest(left: DataFrame, right: DataFrame, by: list[str], at: str, ord_: str, carry: list[str], tolerance: int | None = None) -> DataFrame:

@@ -28,8 +28,17 @@ def motion(frames: DataFrame, by: list[str], order: str, pixels: str) -> DataFra
 
 
 def or_all(rows: DataFrame, by: list[str], good: Column) -> DataFrame:
-    """The good rows of each group; all of them where none is good."""
-    return rows.withColumn("__ok", good).withColumn("__any", F.bool_or("__ok").over(Window.partitionBy(*by))).where("__ok OR NOT __any").drop("__ok", "__any")
+    """The good rows of each group; all of them where none is good. One flag a group is joined back, so rows don't move to few tasks."""
+    marked = rows.withColumn("__ok", good)
+    some = marked.groupBy(*by).agg(F.bool_or("__ok").alias("__any"))
+    return marked.join(some, by).where("__ok OR NOT coalesce(__any, false)").select(*rows.columns)
+
+
+def with_bounds(frames: DataFrame, clips: DataFrame, by: list[str], at: str) -> DataFrame:
+    """Frames of each clip (start, end) and rows for those of its bounds that no frame is at; `added` marks them."""
+    bounds = clips.select(*by, F.explode(F.array_distinct(F.array("start", "end"))).alias(at)).where(F.col(at).isNotNull())
+    new = bounds.join(frames.select(*by, at).distinct(), [*by, at], "left_anti").withColumn("added", F.lit(True))
+    return frames.withColumn("added", F.lit(False)).unionByName(new, allowMissingColumns=True)
 
 
 def change_windows(frames: DataFrame, by: list[str], at: str, score: str, threshold: float) -> DataFrame:

@@ -31,3 +31,28 @@ def majority(df: DataFrame, by: list[str], value: str, least: int = 2) -> DataFr
     best = F.max_by(F.struct(F.col(value), F.col("votes")), F.struct(F.col("votes"), (-F.col(value)).alias("small")))
     out = votes.groupBy(*by).agg(best.alias("__b"), F.sum("votes").alias("rows"))
     return out.where(F.col("__b.votes") >= least).select(*by, f"__b.{value}", "__b.votes", "rows")
+
+
+def anchors(df: DataFrame, by: list[str], order: list[Column], most: int = 2) -> DataFrame:
+    """The first and last row of each group of two or more, with the middle one in between if `most` is over 2; `anchor` numbers them."""
+    group = Window.partitionBy(*by)
+    placed = df.withColumn("__i", F.row_number().over(group.orderBy(*order)) - 1).withColumn("__n", F.count("*").over(group))
+    last = F.col("__n") - 1
+    picks = F.array(F.lit(0).cast("long"), *([F.floor(F.col("__n") / 2)] if most > 2 else []), last)
+    at = F.array_position(F.slice(F.array_distinct(picks), 1, most), F.col("__i").cast("long"))
+    return placed.withColumn("anchor", at).where((F.col("__n") > 1) & (F.col("anchor") > 0)).drop("__i", "__n")
+
+
+def densest(df: DataFrame, by: list[str], attempt: str) -> DataFrame:
+    """(by, attempt, rows): of each group the attempt with the most rows, the smallest of equals."""
+    counts = df.groupBy(*by, attempt).agg(F.count("*").alias("rows"))
+    best = F.min_by(F.struct(attempt, "rows"), F.struct((-F.col("rows")).alias("n"), attempt))
+    return counts.groupBy(*by).agg(best.alias("b")).select(*by, "b.*")
+
+
+def by_year(text: Column) -> list[Column]:
+    """Sort keys: texts with a year first and by it, then by the text."""
+    from ..functions.scalars import year_in
+
+    year = year_in(text)
+    return [year.isNull(), F.coalesce(year, F.lit(0)), text]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fact_queries, media_queries, series_queries, text_queries
+from . import extra_queries, fact_queries, media_queries, record_queries, series_queries, text_queries
 
-QUERIES: dict = {**fact_queries.QUERIES, **text_queries.QUERIES, **media_queries.QUERIES, **series_queries.QUERIES}
-ORACLES: dict = {**fact_queries.ORACLES, **text_queries.ORACLES, **media_queries.ORACLES, **series_queries.ORACLES}
+QUERIES: dict = {**record_queries.QUERIES, **fact_queries.QUERIES, **text_queries.QUERIES, **media_queries.QUERIES, **series_queries.QUERIES, **extra_queries.QUERIES}
+ORACLES: dict = {**record_queries.ORACLES, **fact_queries.ORACLES, **text_queries.ORACLES, **media_queries.ORACLES, **series_queries.ORACLES, **extra_queries.ORACLES}

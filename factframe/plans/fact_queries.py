@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import facts as op
-from ..operators import joins, quality
-from ..operators.islands import merge_states
+from ..operators import quality
 from ..operators.ordering import first_rows, majority
 from .adapters import FACTS_SQL, facts, micros, read
 
@@ -15,31 +14,6 @@ _HOUR = 3_600_000_000
 _F = f"WITH f AS ({FACTS_SQL})"
 
 
-def change_events(spark: SparkSession, d: str) -> DataFrame:
-    return op.change_events(facts(spark, d)).drop("metric")
-
-
-def fact_islands(spark: SparkSession, d: str) -> DataFrame:
-    return merge_states(facts(spark, d)).drop("metric", "island")
-
-
-def final_table(spark: SparkSession, d: str) -> DataFrame:
-    return op.final_table(facts(spark, d)).drop("metric")
-
-
-def state_ids(spark: SparkSession, d: str) -> DataFrame:
-    return op.states(facts(spark, d), F.floor(F.col("start") / (24 * _HOUR)).cast("long"))
-
-
-def fact_summary(spark: SparkSession, d: str) -> DataFrame:
-    return op.summary(facts(spark, d))
-
-
-def fuse_sources(spark: SparkSession, d: str) -> DataFrame:
-    rows = facts(spark, d)
-    return op.fuse(op.final_table(rows.where("ord % 2 = 0")), op.final_table(rows.where("ord % 2 = 1"))).drop("metric")
-
-
 def _ticks(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", (F.col("l_quantity").cast("long") % 5).alias("v"))
 
@@ -52,28 +26,6 @@ def axis_tick_filter(spark: SparkSession, d: str) -> DataFrame:
     return op.without_axis_ticks(_ticks(spark, d), "l_orderkey", "l_returnflag", "v").select("l_orderkey", "l_linenumber", "v")
 
 
-def state_plan(spark: SparkSession, d: str) -> DataFrame:
-    day = F.floor(F.col("start") / (24 * _HOUR)).cast("long")
-    grouped = facts(spark, d).withColumn("state_key", day).groupBy("clip_id", "state_key").agg(F.min("start").alias("state_start"), F.sum("value").alias("signature"))
-    return op.plan_states(grouped)
-
-
-def intent_delta(spark: SparkSession, d: str) -> DataFrame:
-    return op.intent(facts(spark, d)).drop("metric")
-
-
-def clean_states(spark: SparkSession, d: str) -> DataFrame:
-    rows = facts(spark, d).withColumn("day", F.floor(F.col("start") / (24 * _HOUR)).cast("long"))
-    return op.best_by_label(rows, ["clip_id", "day", "entity_id"], F.col("value") % 2 == 0, F.col("value"), "ord").select("clip_id", "day", "entity_id", "value", "ord")
-
-
-def upsert_bars(spark: SparkSession, d: str) -> DataFrame:
-    rows = facts(spark, d)
-    base = op.final_table(rows.where("ord % 3 <> 0")).select("clip_id", "entity_id", "value")
-    seen = op.final_table(rows.where("ord % 3 = 0 AND value >= 0")).select("clip_id", "entity_id", "value")
-    return joins.upsert(base, seen, ["clip_id", "entity_id"], "value")
-
-
 def primary_state(spark: SparkSession, d: str) -> DataFrame:
     clips = read(spark, d, "events").groupBy(F.col("user_id").alias("clip_id")).agg(F.max(micros("ts")).alias("end"), F.min(micros("ts")).alias("begin"))
     target = clips.select("clip_id", ((F.col("begin") + F.col("end")) / 2).cast("long").alias("target"))
@@ -159,11 +111,8 @@ def clips_per_chart(spark: SparkSession, d: str) -> DataFrame:
     return first_rows(read(spark, d, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice"), ["o_orderpriority"], [F.col("o_orderkey")], 50)
 
 
-QUERIES = {f.__name__: f for f in (change_events, fact_islands, final_table, state_ids, fact_summary, fuse_sources, axis_ticks, axis_tick_filter, state_plan, intent_delta, clean_states, upsert_bars, primary_state, majority_vote, line_series, merge_rows, missing_entities, quality_issues, quality_status, quality_queue, latest_review, review_routing, clip_index, clips_per_chart)}
+QUERIES = {f.__name__: f for f in (axis_ticks, axis_tick_filter, primary_state, majority_vote, line_series, merge_rows, missing_entities, quality_issues, quality_status, quality_queue, latest_review, review_routing, clip_index, clips_per_chart)}
 
-_FINAL = "SELECT clip_id, entity_id, arg_max(value, (start, ord)) AS value FROM f WHERE {} GROUP BY ALL"
-_CHANGES = """, l AS (SELECT *, row_number() OVER w AS k, lag(value) OVER w AS before FROM f WINDOW w AS (PARTITION BY clip_id, entity_id ORDER BY start, ord)),
-c AS (SELECT *, CASE WHEN k = 1 THEN 'insert' WHEN value IS DISTINCT FROM before THEN 'update' END AS event_type FROM l)"""
 _TICKS = """WITH t AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity::BIGINT % 5 AS v FROM lineitem),
 s AS (SELECT l_orderkey, l_returnflag, list_sort(list(DISTINCT v)) AS vs FROM t GROUP BY ALL),
 k AS (SELECT l_orderkey, l_returnflag FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, vs) AS n FROM s WHERE len(vs) >= 2) WHERE n > 1)"""
@@ -183,18 +132,8 @@ _LATEST = """WITH v AS (SELECT user_id AS doc_id, epoch_us(ts) AS reviewed_at, e
 n AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY reviewed_at DESC, id DESC) = 1)"""
 
 ORACLES = {
-    "change_events": f"{_F}{_CHANGES} SELECT clip_id, row_number() OVER (PARTITION BY clip_id ORDER BY start, ord) AS event_no, event_type, entity_id, value, start FROM c WHERE event_type IS NOT NULL",
-    "fact_islands": f"{_F}{_CHANGES}, g AS (SELECT *, sum(CASE WHEN event_type IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY clip_id, entity_id ORDER BY start, ord) AS island FROM c) SELECT clip_id, entity_id, any_value(value) AS value, min(start) AS state_start, max(start) AS state_end, count(*) AS n_facts FROM g GROUP BY clip_id, entity_id, island",
-    "final_table": f"{_F} SELECT clip_id, entity_id, value, start, ord FROM f QUALIFY row_number() OVER (PARTITION BY clip_id, entity_id ORDER BY start DESC, ord DESC) = 1",
-    "state_ids": f"{_F}, g AS (SELECT clip_id, {_DAY} AS state_key, min(start) AS state_start, max(start) AS state_end, count(*) AS n_facts FROM f GROUP BY 1, 2) SELECT *, printf('state_%03d', row_number() OVER (PARTITION BY clip_id ORDER BY state_start, state_key)) AS state_id FROM g",
-    "fact_summary": f"{_F}{_CHANGES}, n AS (SELECT clip_id, count(*) AS n_changes FROM c WHERE event_type IS NOT NULL GROUP BY 1) SELECT clip_id, count(*) AS n_facts, count(value) AS n_numeric, count(DISTINCT entity_id) AS n_entities, CASE WHEN count(value) = 0 THEN 'none' WHEN count(value) = count(*) THEN 'complete' ELSE 'partial' END AS completeness, any_value(n_changes) AS n_changes, any_value(n_changes) > 1 AS dynamic, count(value) > 0 AS included FROM f LEFT JOIN n USING (clip_id) GROUP BY clip_id",
-    "fuse_sources": f"{_F}, v AS ({_FINAL.format('ord % 2 = 0')}), n AS ({_FINAL.format('ord % 2 = 1')}), j AS (SELECT clip_id, entity_id, v.value AS v, n.value AS n FROM v FULL JOIN n USING (clip_id, entity_id)) SELECT clip_id, entity_id, CASE WHEN n IS NULL THEN 'visual' WHEN v IS NULL THEN 'narration' ELSE 'both' END AS source_type, coalesce(v, n) AS value, 'auto' AS review_status FROM j WHERE v IS NULL OR n IS NULL OR v = n UNION ALL SELECT clip_id, entity_id, 'visual', v, 'needs_review' FROM j WHERE v <> n UNION ALL SELECT clip_id, entity_id, 'narration', n, 'needs_review' FROM j WHERE v <> n",
     "axis_ticks": f"{_TICKS} SELECT * FROM k",
     "axis_tick_filter": f"{_TICKS} SELECT l_orderkey, l_linenumber, v FROM t WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.l_orderkey = t.l_orderkey AND k.l_returnflag = t.l_returnflag)",
-    "state_plan": f"{_F}, g AS (SELECT clip_id, {_DAY} AS state_key, min(start) AS state_start, sum(value)::BIGINT AS signature FROM f GROUP BY 1, 2), p AS (SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY clip_id) AS n, first_value(signature) OVER w AS a, last_value(signature) OVER (PARTITION BY clip_id ORDER BY state_start, state_key ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS z FROM g WINDOW w AS (PARTITION BY clip_id ORDER BY state_start, state_key)) SELECT clip_id, state_key, state_start, signature FROM p WHERE n >= 2 AND a IS DISTINCT FROM z AND (n <= 8 OR list_contains(list_transform(range(8), lambda k: round_even(k * (n - 1) / 7.0::DOUBLE, 0)::BIGINT), i))",
-    "intent_delta": f"{_F}, e AS (SELECT clip_id, entity_id, arg_min(value, (start, ord)) AS first_value, arg_max(value, (start, ord)) AS last_value FROM f GROUP BY 1, 2) SELECT *, last_value - first_value AS delta, CASE WHEN last_value = first_value THEN 'unchanged' WHEN last_value > first_value THEN 'grow' ELSE 'shrink' END AS direction FROM e",
-    "clean_states": f"{_F} SELECT clip_id, {_DAY} AS day, entity_id, value, ord FROM f QUALIFY row_number() OVER (PARTITION BY clip_id, {_DAY}, entity_id ORDER BY value % 2 = 0 DESC, value DESC, ord) = 1",
-    "upsert_bars": f"{_F}, b AS ({_FINAL.format('ord % 3 <> 0')}), s AS ({_FINAL.format('ord % 3 = 0 AND value >= 0')}) SELECT clip_id, entity_id, coalesce(s.value, b.value) AS value, CASE WHEN s.clip_id IS NULL THEN 'kept' WHEN b.clip_id IS NULL THEN 'inserted' ELSE 'updated' END AS action FROM b FULL JOIN s USING (clip_id, entity_id)",
     "primary_state": f"{_F}, t AS (SELECT clip_id, ((min(start) + max(start)) // 2) AS target FROM f GROUP BY 1) SELECT clip_id, entity_id, value, start FROM f JOIN t USING (clip_id) QUALIFY row_number() OVER (PARTITION BY clip_id ORDER BY abs(start - target), ord) = 1",
     "majority_vote": f"{_F}, v AS (SELECT clip_id, entity_id, value, count(*) AS votes FROM f WHERE value IS NOT NULL GROUP BY ALL), r AS (SELECT *, (sum(votes) OVER (PARTITION BY clip_id, entity_id))::BIGINT AS rows FROM v QUALIFY row_number() OVER (PARTITION BY clip_id, entity_id ORDER BY votes DESC, value) = 1) SELECT * FROM r WHERE votes >= 2",
     "line_series": f"{_F} SELECT clip_id, entity_id, string_agg(value::VARCHAR, ',' ORDER BY start, ord) AS series, count(*) AS n_points FROM f GROUP BY 1, 2",

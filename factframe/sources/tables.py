@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,28 +14,82 @@ from ..operators.ordering import first_rows, numbered
 CLIP_CSV = "Link string, Start string, End string, ChartType string, Title string, Author string, Year string, SourceWebsite string, ID string"
 REVIEWS = "id bigint, sample_id string, stage string, decision string, original_value string, reviewed_value string, reviewer string, reviewed_at timestamp, notes string, model_version string, config_hash string"
 WORDS = "clip_id string, ord bigint, word string, start double, end double, probability double"
-VISUAL_ROWS = "clip_id string, ord bigint, state string, year int, label string, series string, metric string, value string, unit string, source_frame string, time_seconds double, confidence double"
+VISUAL_ROWS = "clip_id string, ord bigint, state string, year int, label string, series string, x string, y string, metric string, value string, unit string, raw_text string, evidence_text string, source_frame string, time_seconds double, confidence double"
+SENTENCES = "clip_id string, sentence_id string, ord bigint, text string, start double, end double, confidence double"
+FRAMES = "clip_id string, idx bigint, source_frame string, time_seconds double, path string"
+LABELS = "clip_id string, ord bigint, label string"
+CHARTS = "clip_id string, title string, y_axis string, unit string, chart_type string, text string"
+WINDOWS = "clip_id string, v_start double, v_end double"
+ARTIFACTS = "clip_id string, files array<string>, bad_json array<string>, extractable boolean, svgs array<struct<success: boolean, svg: string>>, n_csv bigint, n_final bigint, n_event_csv bigint"
+DRAWINGS = "clip_id string, state_id string, path string, found boolean, ids array<string>, entities array<string>, roles array<string>"
+ANSWERS = "clip_id string, model_status string, result struct<needs_review: boolean, severity: string, issue_codes: array<string>>"
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str, form: str = "json", **options: str) -> DataFrame:
+    """Rows of a file or folder, none where it isn't there; the look is Hadoop's, so any store will do."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place)
+    if not there:
+        return spark.createDataFrame([], schema)
+    return spark.read.options(**options).schema(schema).format(form).load(path)
 
 
 def read_clips(spark: SparkSession, path: str) -> DataFrame:
     """Clips from annotation CSV files: rows with a link and sound bounds, the first of each clip, numbered by chart type.
 
-    The order of rows is that of the scan's partitions and of the rows in
-    them; ids that grow along it need no pass over the data.
+    Rows are ordered by file name, then by the split's place in the file and
+    the row's in the split, which needs no pass over the data.
     """
     raw = spark.read.option("header", True).option("encoding", "UTF-8").schema(CLIP_CSV).csv(path)
-    placed = raw.withColumn("ord", F.monotonically_increasing_id())
-    rows = placed.where(blank_to_null(F.col("Link")).isNotNull()).select(
-        "ord", F.coalesce(F.nullif(F.lower(F.trim("ChartType")), F.lit("")), F.lit("unknown")).alias("chart_type"), F.trim("Title").alias("raw_video_title"),
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    rows = raw.withColumn("at", at).where(blank_to_null(F.col("Link")).isNotNull()).select(
+        "at", F.coalesce(F.nullif(F.lower(F.trim("ChartType")), F.lit("")), F.lit("unknown")).alias("chart_type"), F.trim("Title").alias("raw_video_title"),
         video_id(F.trim("Link")).alias("video_id"), F.trim("Link").alias("youtube_url"), parse_time(F.col("Start")).alias("start_seconds"), parse_time(F.col("End")).alias("end_seconds"),
         F.trim("Author").alias("channel"), F.col("Year").try_cast("int").alias("year"), F.col("SourceWebsite").alias("source_website"), F.col("ID").alias("source_row_id"),
     ).where("end_seconds > start_seconds")
     timed = rows.withColumn("start_time", format_time(F.col("start_seconds"))).withColumn("end_time", format_time(F.col("end_seconds")))
-    kept = first_rows(timed, ["video_id", "chart_type", "start_time", "end_time"], [F.col("ord")])
-    indexed = numbered(kept, ["chart_type"], [F.col("ord")], "chart_index")
+    kept = first_rows(timed, ["video_id", "chart_type", "start_time", "end_time"], [F.col("at")])
+    indexed = numbered(kept, ["chart_type"], [F.col("at")], "chart_index").drop("at")
     return indexed.withColumn("duration_seconds", F.col("end_seconds") - F.col("start_seconds")).withColumn("clip_id", F.concat_ws("_", F.regexp_replace(slug(F.col("chart_type")), "-", "_"), "chart_index"))
 
 
+CLIPS = "chart_type string, chart_index bigint, raw_video_title string, video_id string, youtube_url string, start_time string, end_time string, start_seconds double, end_seconds double, duration_seconds double, channel string, year int, source_website string, source_row_id string, output_stem string"
+
+
+def clip_source(spark: SparkSession, csv: str | None = None, jsonl: str | None = None, clip: str | None = None, limit: int | None = None) -> DataFrame:
+    """Clips from annotations where those are named, else from JSON lines; one clip only, or the first few, if asked for."""
+    if csv:
+        clips = read_clips(spark, csv)
+    else:
+        clips = read_json_rows(spark, jsonl, CLIPS).withColumn("clip_id", F.coalesce("output_stem", F.concat_ws("_", "chart_type", "chart_index")))
+    clips = clips.where(F.col("clip_id") == clip) if clip else clips
+    return clips.orderBy("chart_type", "chart_index").limit(limit) if limit else clips
+
+
+def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """JSON lines, nulls included, non-ASCII text as it is."""
+    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+
+
+def write_documents(df: DataFrame, path: str, key: str, mode: str = "overwrite") -> None:
+    """One JSON document a row, in a folder for each key."""
+    df.select(key, F.to_json(F.struct(*[c for c in df.columns if c != key]), {"ignoreNullFields": "false"}).alias("value")).write.mode(mode).partitionBy(key).text(path)
+
+
+def clip_folders(spark: SparkSession, root: str, besides: str = "quality") -> DataFrame:
+    """(clip_id, n_files, files) of the folders below a root but one, by name; files are paths within them."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+    inner = F.regexp_extract("path", r"^.*?" + re.escape(root.rstrip("/").split("/")[-1]) + r"/([^/]+)/(.+)$", 1), F.regexp_extract("path", r"^.*?" + re.escape(root.rstrip("/").split("/")[-1]) + r"/([^/]+)/(.+)$", 2)
+    listed = files.select(inner[0].alias("clip_id"), inner[1].alias("file")).where((F.col("clip_id") != "") & (F.col("clip_id") != besides))
+    return listed.groupBy("clip_id").agg(F.count("*").alias("n_files"), F.array_sort(F.collect_set("file")).alias("files"))
+
+
+def bundle_items(texts: DataFrame, text: str, name: str, schema: str) -> DataFrame:
+    """Items of the JSON list that a script assigns to `name`."""
+    found = F.regexp_extract(F.col(text), rf"(?s)\b{re.escape(name)}\s*=\s*(\[.*?\])\s*(?:;|\n|$)", 1)
+    return texts.select(F.explode(F.from_json(F.nullif(found, F.lit("")), f"array<{schema}>")).alias("item")).select("item.*")
+
+
 def read_json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines with a fixed schema; blank lines are skipped, broken ones give nulls."""
     return spark.read.schema(schema).json(path)

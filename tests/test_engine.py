@@ -6,48 +6,18 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from factframe.functions import scalars
-from factframe.operators import facts, islands, joins, models, ordering, quality
+from factframe.operators import facts, joins, models, ordering, quality
 from factframe.plans import catalog
 from factframe.sources import config, tables
 from factframe.streaming import jobs
 
 SF = "/root/testdata/sf0.001"
-FACT = "clip_id bigint, ord bigint, entity_id string, metric string, value bigint, start bigint"
-
-
-def fact_rows(spark, values, entity="car"):
-    return spark.createDataFrame([(1, i, entity, "value", v, i) for i, v in enumerate(values)], FACT)
-
-
-def test_equal_neighbours_merge_and_returns_do_not(spark):
-    got = islands.merge_states(fact_rows(spark, [10, 10, 20, 10, None, None])).orderBy("state_start").collect()
-    assert [(r["value"], r["state_start"], r["state_end"]) for r in got] == [(10, 0, 1), (20, 2, 2), (10, 3, 3), (None, 4, 5)]
-
-
-def test_changes_are_inserts_then_updates(spark):
-    got = facts.change_events(fact_rows(spark, [10, 10, 20, None, 20])).orderBy("event_no").collect()
-    assert [(r["event_no"], r["event_type"], r["value"]) for r in got] == [(1, "insert", 10), (2, "update", 20), (3, "update", None), (4, "update", 20)]
-    assert facts.change_events(fact_rows(spark, [10]).limit(0)).count() == 0
-
-
 def test_axis_ticks_go_and_data_stays(spark):
     rows = [(0, e, v) for e in ("cyclists", "drivers") for v in (0, 50, 100)] + [(1, "cyclists", 88), (1, "drivers", 85)]
     got = facts.without_axis_ticks(spark.createDataFrame(rows, "at bigint, e string, v bigint"), "at", "e", "v")
     assert sorted(r["v"] for r in got.collect()) == [85, 88]
 
 
-def test_conflicts_need_review(spark):
-    a, b = fact_rows(spark, [20]), fact_rows(spark, [30])
-    got = facts.fuse(a, b).collect()
-    assert sorted((r["source_type"], r["value"], r["review_status"]) for r in got) == [("narration", 30, "needs_review"), ("visual", 20, "needs_review")]
-    assert [r["source_type"] for r in facts.fuse(a, a).collect()] == ["both"]
-
-
-def test_intent(spark):
-    got = {r["entity_id"]: r["direction"] for r in facts.intent(fact_rows(spark, [5, 3]).unionByName(fact_rows(spark, [1, 9, 1], "bus"))).collect()}
-    assert got == {"car": "shrink", "bus": "unchanged"}
-
-
 def test_even_pick_keeps_the_ends(spark):
     rows = spark.range(12).withColumn("g", F.lit(1))
     got = [r["id"] for r in ordering.pick_evenly(rows, ["g"], [F.col("id")], 4).orderBy("id").collect()]
@@ -69,8 +39,8 @@ def test_nearest_with_a_tolerance(spark):
 
 
 def test_upsert(spark):
-    base, new = fact_rows(spark, [1]).unionByName(fact_rows(spark, [2], "b")), fact_rows(spark, [5], "b").unionByName(fact_rows(spark, [6], "c"))
-    got = {r["entity_id"]: (r["value"], r["action"]) for r in joins.upsert(base, new, ["entity_id"], "value").collect()}
+    rows = lambda *made: spark.createDataFrame(made, "entity_id string, value bigint")
+    got = {r["entity_id"]: (r["value"], r["action"]) for r in joins.upsert(rows(("car", 1), ("b", 2)), rows(("b", 5), ("c", 6)), ["entity_id"], "value").collect()}
     assert got == {"car": (1, "kept"), "b": (5, "updated"), "c": (6, "inserted")}
 
 
@@ -87,13 +57,12 @@ def test_quality_and_routes(spark):
 
 def test_model_failures_are_rows(spark):
     rows = spark.createDataFrame([(1, "p"), (2, "p")], "k bigint, p string")
-    answer = 'Sure: ```json\n{"rows": [{"label": "a", "value": "1"}], "states": [{"state": "s", "year": 1990, "rows": [{"label": "b", "value": "2"}, {"label": "b", "value": "2"}]}]}\n```'
+    answer = 'Sure: ```json\n{"rows": [{"label": "a", "value": "1", "raw_text": "1"}], "states": [{"state": "s", "year": 1990, "rows": [{"label": "b", "value": "2", "raw_text": "2"}, {"label": "b", "value": "2", "raw_text": "2"}]}]}\n```'
     got = models.ask(rows, "recover", "k", "p", lambda: models.Recorded({("recover", "1"): answer}))
     assert {r["k"]: r["model_status"] for r in got.collect()} == {1: "ok", 2: "failed"}
-    row = "array<struct<state: string, year: int, label: string, value: string>>"
-    parsed = got.withColumn("result", models.salvaged(F.col("response"), f"rows {row}, states array<struct<state: string, year: int, rows: {row}>>"))
+    parsed = got.withColumn("result", models.salvaged(F.col("response"), models.CHART))
     flat = models.chart_rows(parsed, "k").orderBy("k", "ord").collect()
-    assert [(r["label"], r["state"], r["year"]) for r in flat] == [("a", None, None), ("b", "s", 1990)]
+    assert [(r["label"], r["state"], r["year"]) for r in flat] == [("a", None, None), ("b", "s", "1990")]
 
 
 def test_clip_csv(spark, tmp_path):
@@ -101,7 +70,7 @@ def test_clip_csv(spark, tmp_path):
         "﻿Link,Start,End,ChartType,Title,Author,Year,SourceWebsite,ID\n"
         "https://youtu.be/a,0:10,0:20,Bar,One,X,2001,w,1\nhttps://youtu.be/a,10,20,bar,Again,X,2001,w,2\nhttps://youtu.be/b,0:30,0:20,Bar,Bad,X,2001,w,3\n,1,2,Bar,No link,X,,w,4\nhttps://youtu.be/c,1:00:00,1:00:05,Bar,Two,X,bad,w,5\n"
     )
-    got = tables.read_clips(spark, str(tmp_path)).orderBy("ord").collect()
+    got = tables.read_clips(spark, str(tmp_path)).orderBy("clip_id").collect()
     assert [(r["clip_id"], r["video_id"], r["start_time"], r["year"]) for r in got] == [("bar_1", "a", "00:00:10", 2001), ("bar_2", "c", "01:00:00", None)]
 
 
@@ -135,7 +104,8 @@ def test_streamed_changes_equal_the_batch(spark, tmp_path):
     stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
     query = jobs.changes(stream).writeStream.format("memory").queryName("changed").outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
-    rows = spark.read.parquet(str(tmp_path / "in")).withColumn("metric", F.lit("value")).withColumn("start", F.unix_micros("ts")).withColumn("ord", F.lit(0))
+    none = {c: F.lit(None).cast("string") for c in ("entity", "unit", "source_type", "evidence_frames", "evidence_sentence_id", "confidence", "review_status", "state_end")}
+    rows = spark.read.parquet(str(tmp_path / "in")).withColumns({"metric": F.lit("value"), "state_start": F.unix_micros("ts").cast("double"), "place": F.lit(0), "value_type": F.lit("exact"), **none})
     key = lambda r: (r["clip_id"], r["entity_id"], r["event_type"], -1 if r["value"] is None else r["value"])
     assert sorted(map(key, spark.table("changed").collect())) == sorted(map(key, facts.change_events(rows).collect()))
     sessions = jobs.paused_sessions(stream).writeStream.format("memory").queryName("sessions").outputMode("append").trigger(availableNow=True).start()
