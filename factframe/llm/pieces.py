@@ -43,8 +43,11 @@ class Vocabulary:
 
     A unigram model's scores are log-probabilities. A BPE model's are merge
     ranks r, read as Zipf's law, -log(r + 2). Both are multiplied by
-    `sharpness`. A space is the piece mark; pieces with a space inside are
-    left out, so a text's lattice falls apart before each space.
+    `sharpness`. A space is the piece mark. Where no piece goes on with a
+    space after anything else, no segmentation has a piece across the start
+    of a run of spaces, so a text's lattice falls apart there, and nothing of
+    it is lost; the same goes for line ends. A model with such pieces gets
+    lattices of whole lines or texts.
     """
 
     def __init__(self, path: str, sharpness: float = SHARPNESS):
@@ -68,11 +71,10 @@ class Vocabulary:
         self.starts = np.cumsum(self.lengths) - self.lengths
         nodes: list[dict[int, int]] = [{}]
         ends: list[dict[int, int]] = [{}]
-        self.splits_lines = True
+        splits_lines = splits_words = True
         for i, piece in texts.items():
-            if b" " in piece[1:]:
-                continue
-            self.splits_lines &= b"\n" not in piece
+            splits_lines &= b"\n" not in piece
+            splits_words &= not re.search(rb"[^ ] ", piece)
             at = 0
             for b in piece[:-1]:
                 if b not in nodes[at]:
@@ -89,7 +91,8 @@ class Vocabulary:
                 self.piece[at, b] = i
         self.common: dict[str, int] = {}  # atoms whose lattice a worker keeps, from the first texts that it sees
         self.shared: Lattice | None = None
-        self.atoms = re.compile(r" ?[^ \n]+| |\n" if self.splits_lines else r" ?[^ ]+| ")
+        inner = (r"[^ \n]" if splits_words else r"[^\n]") if splits_lines else r"[^ ]" if splits_words else r"(?s:.)"
+        self.atoms = re.compile(rf" *{inner}+| +|\n")
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the pieces in a row, without the leading mark."""
@@ -353,7 +356,8 @@ def sample_pieces(docs: DataFrame, path: str, k: int = 2, seed: int = 0, sharpne
     segmentations, with Gumbel numbers seeded by the row's key and `seed`:
     results don't depend on how rows are dealt out. sample counts from 1, the
     highest perturbed log-probability first; log_inclusion is the log of the
-    chance to be above the best one left out. ids are little-endian unsigned
+    chance to be above the best one left out. A text's walks are held whole,
+    about 50 bytes of memory a byte of text and sample. ids are little-endian unsigned
     32-bit numbers. restored: decoding gives the text back. Whole texts of
     any length are segmented; one with fewer segmentations has all of them.
     Null texts count as empty, which is the piece mark alone. Rows of one key

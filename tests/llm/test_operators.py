@@ -463,7 +463,7 @@ def plain_segmentations(v, text):
     return {k: w - total for k, w in out.items()}
 
 
-@pytest.mark.parametrize("text", ["the cat", "", "a", "of in", "é日🙂x", "x\ny"])
+@pytest.mark.parametrize("text", ["the cat", "", "a", "of in", "é日🙂x", "x\ny", "a  b", "x \n    y"])
 def test_pieces_follow_the_distribution(text):
     v = pieces.vocabulary(tokenizer_path("piece_bpe_32k.model"), 0.3)
     want, n = plain_segmentations(v, text), 3000
@@ -481,6 +481,17 @@ def test_pieces_follow_the_distribution(text):
     assert np.mean([sum(math.exp(s[1] - s[2]) for s in samples) for samples in drawn]) == pytest.approx(1, abs=0.1)
 
 
+def test_pieces_hold_the_models_own_segmentation():
+    from sentencepiece import SentencePieceProcessor
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    v, text = pieces.vocabulary(path, 0.3), "if x:\n        y  = 1"
+    own = tuple(SentencePieceProcessor(model_file=path).encode(text))
+    assert any(b"  " in v.bytes[i] for i in own) and own in plain_segmentations(v, text)
+    atoms = v.atoms.findall(" " + text)
+    assert "".join(atoms) == " " + text and atoms == [" if", " x:", "\n", "        y", "  =", " 1"]
+
+
 def test_pieces_table(spark, texts):
     path = tokenizer_path("piece_bpe_32k.model")
     a = pieces.sample_pieces(documents(spark, texts), path).collect()
