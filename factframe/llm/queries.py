@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .chat import CONTROL, format_conversations, read_back
 from .common import table
 from .langid import fit, held_out, identify
-from .licenses import scan_licenses, templates
+from .licenses import openings, scan_licenses, templates
 from .media import MAGIC, sniff_media, store_as_media
 from .packing import pack_documents
 from .pieces import sample_pieces
@@ -85,6 +85,30 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _le32(x: str) -> str:
+    """Hex digits of a number as four little-endian bytes."""
+    return "||".join(f"printf('%02x', (({x}) >> {8 * i}) & 255)" for i in range(4))
+
+
+#: A CRC-32 of up to 32 bytes, bit by bit: the reflected polynomial 0xEDB88320.
+_CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, {0}), lambda c, b: list_reduce(list_prepend(xor(c, b::BIGINT), range(8)::BIGINT[]), lambda v, _: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"
+#: Signatures that UTF-8 text may hold; the others begin with bytes that it can't.
+_TEXTUAL = {"audio/wav": "RIFF", "image/gif": "GIF8", "image/bmp": "BM"}
+_PROPOSED = " || ',' || ".join(f"'{kind}=' || " + (f"((length(t) - length(replace(t, '{_TEXTUAL[kind]}', ''))) // {len(_TEXTUAL[kind])})" if kind in _TEXTUAL else "0") for kind in sorted(MAGIC))
+#: Of the texts' own media there are none in the tables, as text alone is no sound file of these kinds.
+OP10_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+p AS (SELECT *, CASE WHEN n = 0 THEN 576 ELSE (n + 575) // 576 * 576 END AS size FROM d),
+h AS (SELECT *, lower(hex(encode(t))) || repeat('ff', (size - n)::BIGINT) AS payload FROM p),
+m AS (SELECT *, '52494646' || {_le32('36 + size')} || '57415645666d7420' || {_le32('16')} || '0100' || '0100' || {_le32('8000')} || {_le32('8000')} || '0100' || '0800' || '64617461' || {_le32('size')} || payload AS media FROM h)
+SELECT doc_id, n::BIGINT AS n_bytes, size::BIGINT AS payload_bytes, sha256(from_hex(payload)) AS payload_sha256,
+  {_CRC.format("list_transform(range(32), lambda i: ('0x' || payload[(2 * (size - 32 + i) + 1)::BIGINT:(2 * (size - 32 + i) + 2)::BIGINT])::BIGINT)")}::BIGINT AS tail_crc32,
+  (size + 44)::BIGINT AS media_bytes, sha256(from_hex(media)) AS media_sha256,
+  'application/octet-stream;audio/wav;audio/wav:0:' || (size + 44) || ';' || {_PROPOSED} || ';' AS feature
+FROM m
+"""
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = detect_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii.*")
     return found.select("doc_id", *map(_count, KINDS), F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
@@ -98,6 +122,30 @@ def _count(kind: str) -> Column:
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
+def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plain finds of op4_pii, which SQL can express: their counts and digest."""
+    return op4_pii(spark, sf_dir).drop("spans")
+
+
+# Matches are set between two control characters, and places follow from what lies between those.
+_PLACES = """list_transform(range(2, len({0}) + 1, 2), lambda i: {{'k': '{1}', 'a': coalesce(list_sum(list_transform({0}[1:i - 1], lambda x: length(x))), 0)::BIGINT, 't': {0}[i]}})"""
+_DIGITS = "regexp_replace(x.t, '[^0-9]', '', 'g')"
+_LUHN = f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE WHEN (length({_DIGITS}) - i) % 2 = 0 THEN {_DIGITS}[i]::INT ELSE [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][{_DIGITS}[i]::INT + 1] END)) % 10 = 0"
+_KINDS = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "len(list_filter(string_split(x.t, '.'), lambda p: length(ltrim(p, '0')) > 3 OR ('0' || ltrim(p, '0'))::BIGINT > 255)) = 0"),
+    "card": (r"[0-9](?:[\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN}"),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15"),
+}
+
+
+def _pii_base_sql() -> str:
+    split = ", ".join(f"string_split(regexp_replace(coalesce(text, ''), '({pattern})', chr(1) || '\\1' || chr(1), 'g'), chr(1)) AS {kind}" for kind, (pattern, _) in _KINDS.items())
+    found = ", ".join(f"list_filter({_PLACES.format(kind, kind)}, lambda x: {ok}) AS {kind}" for kind, (_, ok) in _KINDS.items())
+    return f"""WITH s AS (SELECT doc_id, {split} FROM documents), f AS (SELECT doc_id, {found} FROM s)
+SELECT doc_id, {', '.join(f'len({k})::BIGINT AS n_{k}' for k in _KINDS)}, sha256(array_to_string(list_transform(list_concat({', '.join(_KINDS)}), lambda x: x.k || ':' || x.a || ':' || (x.a + length(x.t))), ',')) AS base_sha256 FROM f"""
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -135,33 +183,53 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op2_sql() -> str:
-    rows = ", ".join(f"({i}, '{name}', ['{"', '".join(grams)}'])" for i, (name, grams) in enumerate(templates()))
+    texts = lambda grams: "['" + "', '".join(grams) + "']" if grams else "[]::VARCHAR[]"
+    rows = ", ".join(f"({i}, '{name}', {texts(grams)}, {n}, {texts(start)})" for i, ((name, grams), (n, start)) in enumerate(zip(templates(), openings())))
+    grams = "list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1])"
     return rf"""
-WITH t(id, license, grams) AS (VALUES {rows}),
-l AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+WITH t(id, license, grams, n_words, opening) AS (VALUES {rows}),
+l AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 u AS (
-  SELECT doc_id, unnest(lines) AS text, unnest(range(1, len(lines) + 1)) AS unit FROM l
-  UNION ALL SELECT doc_id, text, 0 FROM l WHERE len(lines) > 1),
-w AS (SELECT doc_id, unit, string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ') AS words FROM u),
+  SELECT r, doc_id, unnest(lines) AS text, unnest(range(1, len(lines) + 1)) AS unit FROM l
+  UNION ALL SELECT r, doc_id, text, 0 FROM l WHERE len(lines) > 1),
+w AS (SELECT r, doc_id, unit, list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '') AS words FROM u),
+c AS (SELECT *, sum(len(words)) OVER (PARTITION BY r ORDER BY unit) AS upto FROM w WHERE unit > 0),
+d AS (SELECT r, list(unit ORDER BY unit) AS units, list(upto ORDER BY unit) AS ends, flatten(list(words ORDER BY unit)) AS words FROM c WHERE len(words) > 0 GROUP BY r),
+s AS (
+  SELECT c.r, c.doc_id, c.unit, t.id, c.upto - len(c.words) AS a, d.words, list_filter(list_zip(d.units, d.ends), lambda p: p[2] >= least(c.upto - len(c.words) + t.n_words, len(d.words)))[1] AS stop
+  FROM c JOIN t ON len(c.words) > 1 AND len(t.opening) > 0 AND list_has_any({grams.format('c.words')}, t.opening) JOIN d ON d.r = c.r),
 g AS (
-  SELECT doc_id, unit, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS grams
-  FROM w WHERE len(words) > 1),
+  SELECT r, doc_id, unit, -1 AS own_id, list_distinct({grams.format('words')}) AS grams FROM w WHERE len(words) > 1
+  UNION ALL SELECT r, doc_id, unit, id, list_distinct({grams.format('own')}) FROM (SELECT *, words[a + 1:stop[2]] AS own FROM s WHERE stop[1] > unit)),
 m AS (
-  SELECT doc_id, unit, license, 2.0::DOUBLE * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)) AS dice
-  FROM g JOIN t ON len(g.grams) BETWEEN len(t.grams) * 0.8 / 1.2 AND len(t.grams) * 1.2 / 0.8),
+  SELECT r, unit, license, 2.0::DOUBLE * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)) AS dice
+  FROM g JOIN t ON len(g.grams) BETWEEN len(t.grams) * 0.8 / 1.2 AND len(t.grams) * 1.2 / 0.8 AND own_id IN (-1, id)),
 b AS (
-  SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+  SELECT r, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
     arg_min(license, (-dice, unit, license)) AS best_license, round(max(dice), 6) AS best_dice
-  FROM m WHERE dice >= 0.8 GROUP BY doc_id)
+  FROM m WHERE dice >= 0.8 GROUP BY r)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_matches, coalesce(licenses, '') AS licenses, best_license, best_dice
-FROM documents LEFT JOIN b USING (doc_id)
+FROM l LEFT JOIN b USING (r)
 """
 
+
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drop_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "repeats.n_words", "repeats.n_removed", F.sha2("repeats.kept", 256).alias("kept_sha256"))
 
 
+OP9_SQL = r"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+p AS (SELECT r, doc_id, unnest(range(1, len(words) - 11)) AS i, words FROM w WHERE len(words) >= 13),
+h AS (SELECT r, doc_id, i, sha256(array_to_string(words[i:i + 12], ' ')) AS k FROM p),
+f AS (SELECT k, min(doc_id) AS least FROM h WHERE doc_id IS NOT NULL GROUP BY k),
+c AS (SELECT r, list_distinct(flatten(list(range(i, i + 13)))) AS gone FROM h JOIN f USING (k) WHERE least < doc_id GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN words ELSE list_transform(list_filter(list_zip(words, range(1, len(words) + 1)), lambda z: NOT list_contains(gone, z[2])), lambda z: z[1]) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN c USING (r)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pieces": op1_pieces,
     "op2_licenses": op2_licenses,
@@ -173,10 +241,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_substrings": op9_substrings,
     "op10_media": op10_media,
+    "pii_base": pii_base,
 }
 
 ORACLES: dict[str, str] = {
     "op2_licenses": _op2_sql(),
     "op6_chat": OP6_SQL,
     "op8_topk": OP8_SQL,
+    "op9_substrings": OP9_SQL,
+    "op10_media": OP10_SQL,
+    "pii_base": _pii_base_sql(),
 }

@@ -385,24 +385,46 @@ def test_top_k_of_a_common_vector(spark):
     assert counts[0]["pairs"] == 2001 and {r["n"] for r in got.groupBy("query_id").count().withColumnRenamed("count", "n").collect()} == {5}
 
 
+def wrapped(text, n):
+    words = text.split()
+    return "\n".join("# " + " ".join(words[i : i + n]) for i in range(0, len(words), n))
+
+
 def test_licenses(spark):
+    code = "\n".join(f"def f{i}(x): return x + {i}" for i in range(60))
+    mit, gpl, bsd = licenses.TEMPLATES["MIT"][0], licenses.TEMPLATES["GPL-3.0"][1], licenses.TEMPLATES["BSD-3-Clause"][0]
     texts = [
         "x\nReleased under the MIT License.\ny", "Licensed under CC BY-NC 4.0.", "licensed  UNDER the apache license version 2.0", "Permission is nothing", None, "", "\n\n",
         "No licence here\nAll rights reserved.\nReleased under the MIT License.", "word " * 4000 + "\nThis work is licensed under the GNU General Public License, version 3.", "école released under the mit license",
+        code + "\n" + wrapped(mit, 12) + "\n\n" + code, wrapped(gpl, 9) + "\n" + code, "Copyright (c) 2001 X\n\n" + wrapped(bsd, 14) + "\n" + code, wrapped(gpl.replace("program", "thing"), 30), code + "\n" + wrapped(gpl, 9)[:60],
     ]
     rows = {r["doc_id"]: r for r in licenses.scan_licenses(documents(spark, texts)).collect()}
 
-    def grams(t):
-        w = re.sub("[^a-z0-9]+", " ", t.lower()).split()
+    def words(t):
+        return re.sub("[^a-z0-9]+", " ", t.lower()).split()
+
+    def grams(w):
         return {(a, b) for a, b in zip(w, w[1:])}
 
-    library = [(n, grams(t)) for n, ts in licenses.TEMPLATES.items() for t in ts]
+    library = [(n, grams(words(t)), words(t)) for n, ts in licenses.TEMPLATES.items() for t in ts]
     for i, t in enumerate(texts):
-        lines = (t or "").split("\n")
-        units = [(0, t)] * (len(lines) > 1) + list(enumerate(lines, 1))
-        want = sorted((u, n, round(2 * len(grams(x) & g) / (len(grams(x)) + len(g)), 9)) for u, x in units for n, g in library if grams(x) and 2 * len(grams(x) & g) / (len(grams(x)) + len(g)) >= 0.8)
-        assert sorted((m["unit"], m["license"], round(m["dice"], 9)) for m in rows[i]["matches"]) == want
+        lines = [words(x) for x in (t or "").split("\n")]
+        units = [(0, words(t or ""), None)] * (len(lines) > 1) + [(k, x, None) for k, x in enumerate(lines, 1)]
+        for k, line in enumerate(lines):
+            for own, (_, _, full) in enumerate(library):
+                if len(full) >= licenses.RUN_WORDS and grams(line) & set(list(zip(full, full[1:]))[: licenses.OPENING]):
+                    run, end = [], k
+                    for j in range(k, len(lines)):
+                        run, end = run + lines[j], j if lines[j] else end
+                        if len(run) >= len(full):
+                            break
+                    if end > k:
+                        units.append((k + 1, run, own))
+        dice = lambda x, g: 2 * len(grams(x) & g) / (len(grams(x)) + len(g))
+        want = sorted((u, n, round(dice(x, g), 9)) for u, x, own in units for j, (n, g, _) in enumerate(library) if own in (None, j) and grams(x) and dice(x, g) >= 0.8)
+        assert sorted((m["unit"], m["license"], round(m["dice"], 9)) for m in rows[i]["matches"]) == want, i
     assert [rows[i]["best_license"] for i in (0, 1, 2, 7, 8)] == ["MIT", "CC-BY-NC-4.0", "Apache-2.0", "Proprietary", "GPL-3.0"] and rows[4]["n_matches"] == 0
+    assert [rows[i]["best_license"] for i in (10, 11, 12, 14)] == ["MIT", "GPL-3.0", "BSD-3-Clause", None]
 
 
 def png(width=3):
