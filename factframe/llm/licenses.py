@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import operator
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,7 +86,7 @@ def templates() -> list[tuple[str, list[str]]]:
 
 
 #: Bigrams of a template's start by which a line begins a run of lines, and words from which templates are met across lines.
-OPENING, RUN_WORDS = 8, 20
+OPENING, RUN_WORDS = 4, 20
 
 
 def openings() -> list[tuple[int, list[str]]]:
@@ -140,20 +142,25 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", dice
     known, opened = templates(), openings()
     least, most = dice / (2 - dice) - 1e-9, (2 - dice) / dice + 1e-9  # room for rounding: a bound may be met exactly
     low, high = min(len(g) for _, g in known) * least, max(len(g) for _, g in known) * most
-    # Of the anchors a pattern of one pass; longer ones that hold another are found by that.
+    # A chain of plain searches is several times quicker than one pattern of alternatives.
+    holds = lambda x, parts: reduce(operator.or_, [F.contains(x, F.lit(p)) for p in parts])
+    anchored = lambda lowered: holds(lowered, anchors)
     anchors = _anchors(known, dice)
-    pattern = "|".join(a for a in anchors if not any(b != a and b in a for b in anchors))
-    anchored = lambda lowered: lowered.rlike(pattern)
+    anchors = [a for a in anchors if not any(b != a and b in a for b in anchors)]  # what holds a longer one holds the shorter
     entry = lambda i: F.struct(F.lit(known[i][0]).alias("license"), F.lit(len(known[i][1])).alias("n"), F.array(*map(F.lit, known[i][1])).alias("grams"))
     library = F.array(*[entry(i) for i in range(len(known))])
     long = [i for i, (_, start) in enumerate(opened) if start]
     starts = F.array(*[F.struct(F.lit(i).alias("t"), F.lit(opened[i][0]).alias("words"), F.array(*map(F.lit, opened[i][1])).alias("start")) for i in long])
-    begins = r"(?:^|[^a-z0-9])(?:" + "|".join(sorted({g.replace(" ", "[^a-z0-9]+") for i in long for g in opened[i][1]})) + r")(?:[^a-z0-9]|$)"
+    first = sorted({f" {g} " for i in long for g in opened[i][1]})
+    bare = lambda lowered: F.concat(F.lit(" "), normalised(lowered), F.lit(" "))
 
     # Most texts hold no anchor at all, and are done with here.
     rows = docs.select(F.col(key).alias("__key"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("__low"))
     split = F.split(F.col("__low"), "\n", -1)
-    found = rows.withColumn("__lines", F.when(anchored(F.col("__low")), split)).withColumn("__opens", F.coalesce(F.size("__lines") > 1, F.lit(False)) & F.col("__low").rlike(begins))
+    found = rows.withColumn("__lines", F.when(anchored(F.col("__low")), split))
+    # What is searched many times is a column of its own, as it would be made anew for every search.
+    found = found.withColumn("__bare", F.when(F.size("__lines") > 1, bare(F.col("__low"))))
+    found = found.withColumn("__opens", F.coalesce(holds(F.col("__bare"), first), F.lit(False)))
     worded = lambda x: F.filter(F.split(normalised(x), " ", -1), lambda w: w != "")
     none = F.expr("cast(array() as array<struct<unit: int, t: int, words: array<string>>>)")
     single = F.filter(F.transform("__lines", lambda line, i: F.when(anchored(line), F.struct((i + 1).alias("unit"), F.lit(-1).alias("t"), worded(line).alias("words")))), lambda u: u.isNotNull())
@@ -161,11 +168,16 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", dice
     found = found.select("__key", "__opens", F.when(F.col("__opens"), F.col("__lines")).alias("__lines"), F.when(F.col("__lines").isNotNull(), F.concat(F.coalesce(whole, none), single)).alias("units"))
 
     # Runs: all words in a row, the line of each, and the lines that hold a template's start.
-    found = found.withColumn("__by_line", F.transform("__lines", lambda line: worded(line)))
+    found = found.withColumn("__lines", F.transform("__lines", bare))
+    found = found.withColumn("__by_line", F.transform("__lines", lambda line: F.filter(F.split(line, " ", -1), lambda w: w != "")))
     found = found.withColumns({"__words": F.flatten("__by_line"), "__of": F.flatten(F.transform("__by_line", lambda ws, i: F.array_repeat(i, F.size(ws))))})
     pairs_of = lambda ws: F.transform(F.slice(ws, 1, F.greatest(F.size(ws) - 1, F.lit(0))), lambda w, i: F.concat(w, F.lit(" "), F.get(ws, i + 1)))
-    opening = F.flatten(F.transform("__by_line", lambda ws, i: F.transform(F.filter(starts, lambda t: F.when(F.size(ws) > 1, F.arrays_overlap(pairs_of(ws), t["start"])).otherwise(False)), lambda t: F.struct(i.alias("line"), t["t"].alias("t"), t["words"].alias("words")))))
-    found = found.withColumn("__runs", F.when(F.col("__opens"), opening))
+    # Only lines that hold some start are looked at, and their bigrams are made once for all templates.
+    begun = F.transform(F.filter(F.transform("__lines", lambda line, i: F.struct(i.alias("line"), holds(line, first).alias("begins"))), lambda b: b["begins"]), lambda b: F.struct(b["line"].alias("line"), F.get("__by_line", b["line"]).alias("words")))
+    found = found.withColumn("__begun", F.when(F.col("__opens"), begun))
+    found = found.withColumn("__begun", F.transform("__begun", lambda b: F.struct(b["line"].alias("line"), pairs_of(b["words"]).alias("pairs"))))
+    fitting = lambda b: F.transform(F.filter(starts, lambda t: F.arrays_overlap(b["pairs"], t["start"])), lambda t: F.struct(b["line"].alias("line"), t["t"].alias("t"), t["words"].alias("words")))
+    found = found.withColumn("__runs", F.flatten(F.transform("__begun", fitting)))
     last = F.size("__of")
     placed = F.transform("__runs", lambda r: F.struct(r["line"].alias("line"), r["t"].alias("t"), F.array_position("__of", r["line"]).cast("int").alias("a"), r["words"].alias("words")))
     ended = F.transform(placed, lambda r: F.struct(r["line"].alias("line"), r["t"].alias("t"), r["a"].alias("a"), F.element_at("__of", F.least(r["a"] + r["words"] - 1, last)).alias("end")))
