@@ -126,3 +126,24 @@ def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(each, dtype=np.uint64)])
         halves.append(mix(sums[end] - sums[start]))
     return start, end, *halves
+
+
+#: Bytes of a text's terms, A-Z in lower case, and a space for all others: digits, letters and what isn't ASCII make terms.
+TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+
+
+def term_runs(text: bytes, most: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The terms of a text in order, as lists of about `most` bytes, so that a very long text isn't held as words at once."""
+    plain = text.translate(TERM_BYTES)
+    at = 0
+    while at < len(plain):
+        end = plain.find(b" ", at + most)
+        end = len(plain) if end < 0 else end
+        yield plain[at:end].split()
+        at = end
+
+
+def text_bytes(texts: pa.Array) -> Iterator[bytes]:
+    """The UTF-8 of each text; of null, nothing."""
+    for value in texts.cast(pa.large_binary()):
+        yield value.as_buffer().to_pybytes() if value.is_valid else b""

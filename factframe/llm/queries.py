@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from .chat import CONTROL, format_conversations, read_back
 from .common import table
 from .langid import fit, held_out, identify
+from .leaks import find_leaks
 from .licenses import openings, scan_licenses, templates
 from .media import MAGIC, sniff_media, store_as_media
 from .packing import pack_documents
 from .pieces import sample_pieces
 from .pii import KINDS, detect_pii
+from .ranking import rank_documents
 from .simhash import near_duplicates
 from .substrings import drop_repeats
 from .topk import top_k_inner
@@ -230,6 +232,50 @@ FROM w LEFT JOIN c USING (r)
 """
 
 
+def op11_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _terms(text: str) -> str:
+    """A list of a text's terms, A-Z in lower case."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), '{upper}', '{upper.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms('text')} AS terms FROM documents),
+c AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS n_docs, sum(len(terms)) AS n_terms FROM d),
+i AS (SELECT row_number() OVER () AS i, item_id, {_terms('text')} AS terms FROM benchmark),
+it AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT i, item_id, unnest(terms) AS term FROM i) GROUP BY ALL),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM it) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM f, c),
+s AS (
+  SELECT i, item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + ((75 * n * n_docs) // n_terms)))))::BIGINT AS score
+  FROM it JOIN p USING (term) JOIN w USING (term), c WHERE doc_id IS NOT NULL GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM s WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) <= 10
+"""
+
+
+def op12_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")).select("doc_id", "leaks.*")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms('text')} AS words FROM documents),
+i AS (SELECT item_id, {_terms('text')} AS words, least(len(words), 10) AS n FROM benchmark WHERE len({_terms('text')}) > 0),
+k AS (SELECT DISTINCT n, array_to_string(words[a:a + n - 1], ' ') AS k, item_id FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS a FROM i)),
+p AS (SELECT r, n, a, array_to_string(words[a:a + n - 1], ' ') AS k FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS a FROM d, (SELECT DISTINCT n FROM k))),
+h AS (SELECT p.r, p.n, p.a, k.item_id FROM p JOIN k USING (n, k)),
+w AS (SELECT r, count(DISTINCT word) AS n_hit FROM (SELECT r, unnest(range(a, a + n)) AS word FROM h) GROUP BY 1),
+t AS (SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM (SELECT DISTINCT r, item_id FROM h WHERE item_id IS NOT NULL) GROUP BY 1)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN w USING (r) LEFT JOIN t USING (r)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pieces": op1_pieces,
     "op2_licenses": op2_licenses,
@@ -241,6 +287,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_substrings": op9_substrings,
     "op10_media": op10_media,
+    "op11_ranking": op11_ranking,
+    "op12_leaks": op12_leaks,
     "pii_base": pii_base,
 }
 
@@ -250,5 +298,7 @@ ORACLES: dict[str, str] = {
     "op8_topk": OP8_SQL,
     "op9_substrings": OP9_SQL,
     "op10_media": OP10_SQL,
+    "op11_ranking": OP11_SQL,
+    "op12_leaks": OP12_SQL,
     "pii_base": _pii_base_sql(),
 }
