@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_tokenizers
 from .chat import CONTROL, format_conversations, read_back
-from .common import table
+from .common import drop_folder, scratch_folder, table
 from .langid import fit, held_out, identify
 from .leaks import find_leaks
 from .licenses import openings, scan_licenses, templates
@@ -276,6 +277,16 @@ FROM d LEFT JOIN w USING (r) LEFT JOIN t USING (r)
 """
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests instead of the groups themselves, as those are several times the texts' size."""
+    folder = scratch_folder(spark, "alignment")
+    found = align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"), folder=folder)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    out = found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest).checkpoint()
+    drop_folder(spark, folder)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pieces": op1_pieces,
     "op2_licenses": op2_licenses,
@@ -289,6 +300,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_media": op10_media,
     "op11_ranking": op11_ranking,
     "op12_leaks": op12_leaks,
+    "op13_alignment": op13_alignment,
     "pii_base": pii_base,
 }
 
