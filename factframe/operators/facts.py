@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import blank_to_null
-from .islands import island_ids
 from .ordering import first_rows
 
 KEY = ["clip_id", "entity_id", "metric"]
@@ -81,25 +80,51 @@ def fuse(visual: DataFrame, narration: DataFrame) -> DataFrame:
     return out.drop("__said", "__k", "__mixed", "__first", "__last", "__same", "__sure", "__end", "__other")
 
 
+#: Sources that become `both` where they meet: fixed values.
+MIXED = ["visual", "narration", "both"]
+
+
+def state_runs(records: DataFrame) -> DataFrame:
+    """Records with __run, the number of the state they belong to in their clip, entity and metric.
+
+    A record opens a run where it says something else than the one before, or
+    starts before the run it would join ends. That end is the last known one
+    of the run so far, and a run whose first record has none has none until
+    another brings it. A record with an end sets the end to its own whether
+    it opens a run or joins one. So up to the next such record the end is
+    constant, and of those in between only the first that starts too early
+    opens a run; from there on the end is unknown, and the others join. All
+    of it is windows of one order: a group is sorted once.
+    """
+    order = [_start(), F.col("ord")]
+    upto = Window.partitionBy(*KEY).orderBy(*order)
+    before = upto.rowsBetween(Window.unboundedPreceding, -1)
+    says = F.struct(_value_key().alias("k"), "review_status", "state_key")
+    rows = records.withColumn("__says", says).withColumn("__new", F.coalesce(F.lag("__says").over(upto) != F.col("__says"), F.lit(True)))
+    rows = rows.withColumn("__data", F.sum(F.col("__new").cast("long")).over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+    ended = F.when(F.col("state_end").isNotNull(), F.struct("__data", F.col("state_end").alias("end")))
+    rows = rows.withColumns({"__since": F.last(ended, ignorenulls=True).over(before), "__ends": F.count("state_end").over(before)})
+    early = (F.col("__since.__data") == F.col("__data")) & (F.col("state_start") < F.col("__since.end"))
+    rows = rows.withColumn("__early", F.when(F.coalesce(early, F.lit(False)), F.struct("__data", "__ends")))
+    first = F.col("__early").isNotNull() & ~F.coalesce(F.last("__early", ignorenulls=True).over(before) == F.col("__early"), F.lit(False))
+    rows = rows.withColumn("__open", (F.col("__new") | first).cast("long")).withColumn("__run", F.sum("__open").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.drop("__says", "__new", "__data", "__since", "__ends", "__early", "__open")
+
+
 def merge_states(records: DataFrame) -> DataFrame:
     """Neighbouring records of a clip, entity and metric as one state where they say the same.
 
     They say the same if value, unit, review status and state key are equal
     and none starts before the state so far ends. A state has its first
     record's fields, the last known end, all evidence frames in order, the
-    first sentence, the highest confidence, and source `both` if sources
-    differ. n_facts counts its records.
+    first sentence and the highest confidence. Its source is `both` if its
+    first record's and another's are two of MIXED, else the first record's.
+    n_facts counts its records.
     """
-    order = [_start(), F.col("ord")]
-    window = Window.partitionBy(*KEY).orderBy(*order)
-    says = F.struct(_value_key().alias("k"), "review_status", "state_key")
-    rows = records.withColumn("__says", says)
-    rows = island_ids(rows, KEY, order, F.lag("__says").over(window).isNull() | (F.lag("__says").over(window) != F.col("__says")), "__data")
-    until = F.last("state_end", ignorenulls=True).over(Window.partitionBy(*KEY, "__data").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("__opens", (F.row_number().over(Window.partitionBy(*KEY, "__data").orderBy(*order)) == 1) | F.coalesce(F.col("state_start") < until, F.lit(False)))
-    rows = island_ids(rows, KEY, order, F.col("__opens"), "__run")
+    rows = state_runs(records)
     at = F.struct(_start().alias("start"), "ord")
     own = [c for c in records.columns if c not in (*KEY, "state_end", "evidence_frames", "evidence_sentence_id", "confidence", "source_type")]
+    known = F.when(F.col("source_type").isin(MIXED), F.col("source_type"))
     frames = F.array_sort(F.collect_list(F.struct(at.alias("at"), "evidence_frames")))
     merged = rows.groupBy(*KEY, "__run").agg(
         F.min_by(F.struct(*own), at).alias("__own"),
@@ -107,10 +132,13 @@ def merge_states(records: DataFrame) -> DataFrame:
         F.flatten(F.transform(frames, lambda f: F.coalesce(f["evidence_frames"], F.array().cast(f"array<{FRAME}>")))).alias("evidence_frames"),
         F.min_by("evidence_sentence_id", F.when(blank_to_null(F.col("evidence_sentence_id")).isNotNull(), at)).alias("evidence_sentence_id"),
         F.when(F.count("*") > 1, F.max(F.coalesce("confidence", F.lit(0.0)))).otherwise(F.first("confidence")).alias("confidence"),
-        F.when(F.min("source_type") == F.max("source_type"), F.min("source_type")).otherwise("both").alias("source_type"),
+        F.min_by("source_type", at).alias("__source"),
+        F.min(known).alias("__least"),
+        F.max(known).alias("__most"),
         F.count("*").alias("n_facts"),
     )
-    return merged.select(*KEY, "__own.*", "state_end", "evidence_frames", "evidence_sentence_id", "confidence", "source_type", "n_facts")
+    source = F.when(F.col("__source").isin(MIXED) & (F.col("__least") != F.col("__most")), "both").otherwise(F.col("__source")).alias("source_type")
+    return merged.select(*KEY, "__own.*", "state_end", "evidence_frames", "evidence_sentence_id", "confidence", source, "n_facts")
 
 
 def with_state_ids(states: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ _HOUR, _DAY = 3600.0, 86_400_000_000
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as whole records, some without a value, start, unit or state key; every third one narrated."""
+    """Events as whole records, some without a value, start, end, unit or state key; every third one narrated, some from both sources or read off a frame."""
     n = F.col("event_id")
     start = F.when(n % 53 != 0, micros("ts").cast("double") / 1e6)
     none = F.lit(None).cast("string")
@@ -37,13 +37,14 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select(
         F.col("user_id").alias("clip_id"), n.alias("ord"), F.when(n % 2 == 0, F.concat(F.lit("d"), F.floor(micros("ts") / _DAY).cast("string"))).alias("state_key"), none.alias("state_label"),
         F.col("event_type").alias("entity_id"), F.upper("event_type").alias("entity"), F.lit("value").alias("metric"), F.when(n % 11 != 0, F.floor(F.col("value") / 100).cast("double")).alias("value"),
-        F.when(n % 5 == 0, "%").otherwise("").alias("unit"), start.alias("state_start"), (start + n % 4 * _HOUR).alias("state_end"), F.when(n % 3 == 0, "narration").otherwise("visual").alias("source_type"),
+        F.when(n % 5 == 0, "%").otherwise("").alias("unit"), start.alias("state_start"), F.when(n % 13 != 0, start + n % 4 * _HOUR).alias("state_end"),
+        F.when(n % 17 == 0, "visual_frame_align").when(n % 19 == 0, "both").when(n % 3 == 0, "narration").otherwise("visual").alias("source_type"),
         F.when(n % 3 != 0, F.array(frame)).otherwise(F.slice(F.array(frame), 1, 0)).alias("evidence_frames"), F.when(n % 3 == 0, n.cast("string")).alias("evidence_sentence_id"), (n % 10 / 10).alias("confidence"),
         F.lit("machine").alias("review_status"), none.alias("raw_text"), none.alias("evidence_text"), F.when(n % 7 == 0, "estimated").otherwise("exact").alias("value_type"),
     )
 
 
-RECORDS_SQL = f"""SELECT *, state_start + ord % 4 * 3600 AS state_end FROM (SELECT user_id AS clip_id, event_id AS ord, CASE WHEN event_id % 2 = 0 THEN 'd' || (epoch_us(ts) // {_DAY}) END AS state_key, event_type AS entity_id, upper(event_type) AS entity,
+RECORDS_SQL = f"""SELECT *, CASE WHEN ord % 13 <> 0 THEN state_start + ord % 4 * 3600 END AS state_end FROM (SELECT user_id AS clip_id, event_id AS ord, CASE WHEN event_id % 2 = 0 THEN 'd' || (epoch_us(ts) // {_DAY}) END AS state_key, event_type AS entity_id, upper(event_type) AS entity,
   CASE WHEN event_id % 11 <> 0 THEN floor(value / 100)::DOUBLE END AS value, CASE WHEN event_id % 5 = 0 THEN '%' ELSE '' END AS unit, CASE WHEN event_id % 53 <> 0 THEN epoch_us(ts)::DOUBLE / 1e6 END AS state_start,
-  CASE WHEN event_id % 3 = 0 THEN 'narration' ELSE 'visual' END AS source_type, (event_id % 3 <> 0)::BIGINT AS n_frames, CASE WHEN event_id % 3 = 0 THEN event_id::VARCHAR END AS evidence_sentence_id,
+  CASE WHEN event_id % 17 = 0 THEN 'visual_frame_align' WHEN event_id % 19 = 0 THEN 'both' WHEN event_id % 3 = 0 THEN 'narration' ELSE 'visual' END AS source_type, (event_id % 3 <> 0)::BIGINT AS n_frames, CASE WHEN event_id % 3 = 0 THEN event_id::VARCHAR END AS evidence_sentence_id,
   event_id % 10 / 10.0::DOUBLE AS confidence, 'machine' AS review_status, CASE WHEN event_id % 7 = 0 THEN 'estimated' ELSE 'exact' END AS value_type FROM events)"""

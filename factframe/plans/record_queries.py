@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import facts as op
+from ..stages import kept
 from .adapters import RECORDS_SQL, micros, read, records
 
 
@@ -43,31 +44,33 @@ def final_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fact_summary(spark: SparkSession, d: str) -> DataFrame:
-    return op.summary(_states(spark, d))
+    return op.summary(kept(_states(spark, d)))
 
 
-def _clips(spark: SparkSession, d: str) -> DataFrame:
+def _clips(states: DataFrame) -> DataFrame:
     """Chart types of clips: lines for every fourth user."""
-    return op.summary(_states(spark, d)).withColumn("chart_type", F.when(F.col("clip_id") % 4 == 0, "Line").otherwise("bar"))
+    return op.summary(states).withColumn("chart_type", F.when(F.col("clip_id") % 4 == 0, "Line").otherwise("bar"))
 
 
 def state_plan(spark: SparkSession, d: str) -> DataFrame:
-    plans, _ = op.plan_states(_states(spark, d), _clips(spark, d))
+    states = kept(_states(spark, d))
+    plans, _ = op.plan_states(states, _clips(states))
     return plans
 
 
 def state_keyframes(spark: SparkSession, d: str) -> DataFrame:
-    _, planned = op.plan_states(_states(spark, d), _clips(spark, d))
+    states = kept(_states(spark, d))
+    _, planned = op.plan_states(states, _clips(states))
     return planned.select("clip_id", "state_id", "state_start", "state_key", "state_label", "timestamp", "source_frame_id", F.array_join("entity_ids", ",").alias("entity_ids"), F.size("signature").cast("long").alias("n_facts"))
 
 
 def intent_delta(spark: SparkSession, d: str) -> DataFrame:
-    return op.intent(_states(spark, d)).select("clip_id", "entity_id", "entity", "first_value", "last_value", F.col("a_state").alias("first_state"), F.col("z_state").alias("last_state"), "direction")
+    return op.intent(kept(_states(spark, d))).select("clip_id", "entity_id", "entity", "first_value", "last_value", F.col("a_state").alias("first_state"), F.col("z_state").alias("last_state"), "direction")
 
 
 def intent_report(spark: SparkSession, d: str) -> DataFrame:
-    clips = _clips(spark, d).select("clip_id", "chart_type")
-    found = op.reconciled(clips, _states(spark, d))
+    states = kept(_states(spark, d))
+    found = op.reconciled(_clips(states).select("clip_id", "chart_type"), states)
     return found.select("clip_id", "data_direction", F.array_join("actions", ",").alias("actions"), "metric", "first_state", "last_state", "data_delta_count")
 
 
@@ -83,28 +86,32 @@ def _bars(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def upsert_bars(spark: SparkSession, d: str) -> DataFrame:
-    out, _ = op.upsert_bars(_states(spark, d), *_bars(spark, d))
+    out, _ = op.upsert_bars(kept(_states(spark, d)), *_bars(spark, d))
     return out.select("clip_id", "entity_id", "place", "value", "unit", "source_type", "confidence", "state_start", "action")
 
 
 def clean_states(spark: SparkSession, d: str) -> DataFrame:
     bars, clips = _bars(spark, d)
-    out, _ = op.upsert_bars(_states(spark, d), bars, clips)
-    return op.cleaned_states(out.drop("action"), bars).select("clip_id", "entity_id", "place", "value", "source_type")
+    out, _ = op.upsert_bars(kept(_states(spark, d)), bars, clips)
+    return op.cleaned_states(kept(out.drop("action")), bars).select("clip_id", "entity_id", "place", "value", "source_type")
 
 
 QUERIES = {f.__name__: f for f in (fuse_sources, fact_islands, state_ids, change_events, final_table, fact_summary, state_plan, state_keyframes, intent_delta, intent_report, upsert_bars, clean_states)}
 
 _R = f"WITH r AS ({RECORDS_SQL})"
-_MERGED = f"""{_R}, k AS (SELECT *, coalesce(value::VARCHAR, '~') || '|' || unit || '|' || coalesce(state_key, '~') AS says, coalesce(state_start, 0) AS s0 FROM r),
-a AS (SELECT *, CASE WHEN lag(says) OVER w = says THEN 0 ELSE 1 END AS o FROM k WINDOW w AS (PARTITION BY clip_id, entity_id ORDER BY s0, ord)),
-b AS (SELECT *, sum(o) OVER (PARTITION BY clip_id, entity_id ORDER BY s0, ord) AS data FROM a),
-c AS (SELECT *, row_number() OVER w AS i, last_value(state_end IGNORE NULLS) OVER (PARTITION BY clip_id, entity_id, data ORDER BY s0, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS until FROM b WINDOW w AS (PARTITION BY clip_id, entity_id, data ORDER BY s0, ord)),
-d AS (SELECT *, sum(CASE WHEN i = 1 OR state_start < until THEN 1 ELSE 0 END) OVER (PARTITION BY clip_id, entity_id ORDER BY s0, ord) AS run FROM c),
+# The plain loop, record by record: each joins the run so far or opens one.
+_JOINS = "k.says = w.says AND (w.run_end IS NULL OR k.state_start IS NULL OR k.state_start >= w.run_end)"
+_MIXED = "('visual', 'narration', 'both')"
+_MERGED = f"""WITH RECURSIVE r AS ({RECORDS_SQL}), k AS (SELECT *, row_number() OVER (PARTITION BY clip_id, entity_id ORDER BY s0, ord) AS i FROM (SELECT *, coalesce(value::VARCHAR, '~') || '|' || unit || '|' || coalesce(state_key, '~') AS says, coalesce(state_start, 0) AS s0 FROM r)),
+w AS (SELECT clip_id, entity_id, i, 1::BIGINT AS run, says, state_end AS run_end, source_type AS run_source FROM k WHERE i = 1
+  UNION ALL SELECT k.clip_id, k.entity_id, k.i, w.run + CASE WHEN {_JOINS} THEN 0 ELSE 1 END, k.says, CASE WHEN {_JOINS} THEN coalesce(k.state_end, w.run_end) ELSE k.state_end END,
+    CASE WHEN NOT ({_JOINS}) THEN k.source_type WHEN w.run_source <> k.source_type AND w.run_source IN {_MIXED} AND k.source_type IN {_MIXED} THEN 'both' ELSE w.run_source END
+    FROM w JOIN k ON k.clip_id = w.clip_id AND k.entity_id = w.entity_id AND k.i = w.i + 1),
+d AS (SELECT k.*, w.run, w.run_end, w.run_source FROM k JOIN w USING (clip_id, entity_id, i)),
 m AS (SELECT clip_id, entity_id, min(ord) FILTER (WHERE TRUE) AS least, arg_min(ord, (s0, ord)) AS ord, any_value(value) AS value, any_value(unit) AS unit, any_value(state_key) AS state_key, arg_min({{'s': state_start}}, (s0, ord)).s AS state_start,
-  arg_max(state_end, (s0, ord)) FILTER (WHERE state_end IS NOT NULL) AS state_end, CASE WHEN min(source_type) = max(source_type) THEN min(source_type) ELSE 'both' END AS source_type,
+  max(run_end) FILTER (WHERE i = last_i) AS state_end, max(run_source) FILTER (WHERE i = last_i) AS source_type,
   arg_min(evidence_sentence_id, (s0, ord)) FILTER (WHERE evidence_sentence_id <> '') AS evidence_sentence_id, max(confidence) AS confidence, count(*) AS n_facts, sum(n_frames)::BIGINT AS n_frames, arg_min(value_type, (s0, ord)) AS value_type, arg_min(entity, (s0, ord)) AS entity
-  FROM d GROUP BY clip_id, entity_id, run)"""
+  FROM (SELECT *, max(i) OVER (PARTITION BY clip_id, entity_id, run) AS last_i FROM d) GROUP BY clip_id, entity_id, run)"""
 _STATES = f"""{_MERGED}, p AS (SELECT *, row_number() OVER (PARTITION BY clip_id ORDER BY coalesce(state_start, 0), entity_id, ord) AS place FROM m),
 q AS (SELECT *, CASE WHEN state_key IS NULL THEN state_start ELSE min(state_start) OVER g END AS a, CASE WHEN state_key IS NULL THEN state_end ELSE coalesce(max(state_end) OVER g, min(state_start) OVER g) END AS z,
   coalesce(state_key, printf('__row_%06d', (count(DISTINCT state_key) OVER (PARTITION BY clip_id)) + row_number() OVER (PARTITION BY clip_id, state_key IS NULL ORDER BY place) - 1)) AS name FROM p WINDOW g AS (PARTITION BY clip_id, state_key)),
@@ -148,7 +155,7 @@ c4 AS (SELECT c3.* FROM c3 WHERE bar OR NOT EXISTS (SELECT 1 FROM c1 WHERE c1.cl
 c5 AS (SELECT *, count(DISTINCT entity_id) OVER (PARTITION BY clip_id, state) AS n, bool_or(bar) OVER (PARTITION BY clip_id, state) AS anybar FROM c4)"""
 
 ORACLES = {
-    "fuse_sources": f"""{_R}, x AS (SELECT *, (source_type = 'narration')::INTEGER AS said, coalesce(value::VARCHAR, '~') || '|' || unit AS k FROM r), p AS (SELECT *, row_number() OVER (PARTITION BY clip_id, entity_id ORDER BY said, ord) AS i FROM x),
+    "fuse_sources": f"""{_R}, x AS (SELECT *, (source_type = 'narration')::INTEGER AS said, coalesce(value::VARCHAR, '~') || '|' || unit AS k FROM r WHERE source_type IN ('visual', 'narration')), p AS (SELECT *, row_number() OVER (PARTITION BY clip_id, entity_id ORDER BY said, ord) AS i FROM x),
 j AS (SELECT a.clip_id, a.entity_id, a.i, min(b.k) FILTER (WHERE b.i <= a.i) <> max(b.k) FILTER (WHERE b.i <= a.i) AS mixed, arg_max(b.k, b.i) FILTER (WHERE b.said = 1 AND b.i > a.i) AS last_k, bool_or(b.said = 1 AND b.i > a.i AND b.k = a.k) AS same,
   arg_max(b.evidence_sentence_id, b.i) FILTER (WHERE b.said = 1 AND b.i > a.i AND b.k = a.k) AS same_sentence, max(b.confidence) FILTER (WHERE b.said = 1 AND b.i > a.i AND b.k = a.k) AS sure,
   arg_max({{'v': b.value, 's': b.evidence_sentence_id}}, b.i) FILTER (WHERE b.said = 1 AND b.i > a.i AND b.k <> a.k) AS other FROM p a JOIN p b USING (clip_id, entity_id) GROUP BY 1, 2, 3)

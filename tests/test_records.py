@@ -76,23 +76,50 @@ def plainly_fused(visual, said):
 
 
 def plainly_merged(rows):
+    """The contract record by record: what a run says and where it ends, as far as it goes."""
     out = []
     for e in sorted({r["entity_id"] for r in rows}):
         own = []
-        for r in sorted((dict(r) for r in rows if r["entity_id"] == e), key=lambda r: r["state_start"] or 0.0):
+        for r in sorted((dict(r) for r in rows if r["entity_id"] == e), key=lambda r: (r["state_start"] or 0.0, r["ord"])):
             p = own[-1] if own else None
             same = p and all(p[c] == r[c] for c in ("value", "review_status", "state_key")) and (p["unit"] or None) == (r["unit"] or None)
             if same and (p["state_end"] is None or r["state_start"] is None or r["state_start"] >= p["state_end"]):
                 p["state_end"] = r["state_end"] if r["state_end"] is not None else p["state_end"]
                 p["confidence"] = max(p["confidence"] or 0, r["confidence"] or 0)
                 p["evidence_sentence_id"] = p["evidence_sentence_id"] or r["evidence_sentence_id"]
-                p["source_type"] = p["source_type"] if p["source_type"] == r["source_type"] else "both"
+                met = {p["source_type"], r["source_type"]}
+                if len(met) == 2 and met <= {"visual", "narration", "both"}:
+                    p["source_type"] = "both"
             else:
                 own.append(r)
         out += own
     return out
 
 
+MERGED = ["entity_id", "value", "state_start", "state_end", "confidence", "source_type", "evidence_sentence_id"]
+
+
+def merged_rows(rows):
+    """A blank sentence id is none."""
+    return sorted(((r["clip_id"], *(r[f] if f != "evidence_sentence_id" else r[f] or None for f in MERGED)) for r in rows), key=str)
+
+
+def test_merging_equals_the_plain_loop(spark):
+    rng = random.Random(11)
+    pick = lambda: {"entity_id": rng.choice("ab"), "value": rng.choice([None, 1.0, 1.0, 1.0, 2.0]), "unit": rng.choice(["", None]), "state_start": rng.choice([None, 0.0, 1.0, 2.0, 3.0, 4.0]), "state_end": rng.choice([None, None, 0.5, 1.5, 2.5, 9.0]), "state_key": rng.choice([None, None, "x"]), "confidence": rng.choice([None, 0.2, 0.9]), "evidence_sentence_id": rng.choice(["", None, "3", "4"]), "source_type": rng.choice(["visual", "narration", "both", "visual_frame_align", op.ALIGNED, "other"]), "review_status": rng.choice(["machine", "machine", "needs_review"])}
+    rows = records(spark, [{"clip_id": c, **pick()} for c in range(300) for _ in range(rng.randint(1, 14))])
+    plain = [r.asDict() for r in rows.collect()]
+    want = [r for c in range(300) for r in plainly_merged([p for p in plain if p["clip_id"] == c])]
+    assert merged_rows(op.merge_states(rows).collect()) == merged_rows(want)
+
+
+def test_a_run_without_an_end_takes_what_follows(spark):
+    made = [{"value": 1.0, "state_start": s, "state_end": e} for s, e in ((0.0, 10.0), (5.0, None), (6.0, None))]
+    assert [(r["state_start"], r["n_facts"]) for r in op.merge_states(records(spark, made)).orderBy("state_start").collect()] == [(0.0, 1), (5.0, 2)]
+    made = [{"value": 1.0, "state_start": s, "state_end": s + 1, "source_type": t} for s, t in ((0.0, "visual"), (1.0, op.ALIGNED))]
+    assert [(r["source_type"], r["n_facts"]) for r in op.merge_states(records(spark, made)).collect()] == [("visual", 2)]
+
+
 def test_fusion_and_merging_equal_the_plain_steps(spark):
     rng = random.Random(6)
     for _ in range(2):
