@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
-from itertools import accumulate, chain
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import drop_folder, give_back, scratch_folder
@@ -19,6 +20,10 @@ HEAD_RUNS, HEAD_BYTES = 1 << 17, 48
 _TOKENS = "array<struct<id: int, size: int>>"
 #: A place where both tokenizers begin anew, whatever stands on either side: before spaces that follow a visible ASCII or Latin character and lead to something else.
 _CUT = r"(?<=[!-~À-ɏ])(?= +[^ ])"
+#: The end of a run that another may follow.
+_VISIBLE = re.compile(r"[!-~À-ɏ]\Z")
+#: Joins on a text and a place in it are made where the text's rows lie.
+_IN_PLACE = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 class Pair:
@@ -40,9 +45,52 @@ class Pair:
         #: Whether no piece goes on with a space after anything else, so that texts fall apart before spaces.
         self.apart = not any(re.search(r"[^▁]▁", p) for p in pieces)
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both for texts that begin with a space, which B adds by itself."""
-        return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)], self.b.encode([t[1:] for t in texts], num_threads=1)
+    def encode(self, texts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """(ids, ends of each text among them) of both, for texts that begin with a space, which B adds by itself.
+
+        A text whose tokens' joined bytes differ from its own gets none of
+        either. Runs that others may follow are encoded as one text of up to
+        a megabyte, as their tokens are the same; the rest one by one.
+        """
+        out: list = [None] * len(texts)
+        joined, held = [], 0
+        for i, text in enumerate(texts):
+            if self.apart and _VISIBLE.search(text):
+                joined.append(i)
+                held += len(text)
+                if held > 1 << 20:
+                    self._joined(texts, joined, out)
+                    joined, held = [], 0
+            else:
+                out[i] = self._alone(text)
+        self._joined(texts, joined, out)
+        flat = lambda k: (np.concatenate([*(x[k] for x in out), np.empty(0, np.int64)]).astype(np.int32), np.cumsum([0, *(len(x[k]) for x in out)]))
+        return flat(0), flat(1)
+
+    def _ids(self, text: str) -> tuple[tuple[list[int], list[bytes]], tuple[list[int], list[bytes]]]:
+        return (self.a.encode(text, add_special_tokens=False).ids, self.bytes_a), (self.b.encode(text[1:]), self.bytes_b)
+
+    def _alone(self, text: str) -> list[np.ndarray]:
+        both = self._ids(text)
+        right = all(b"".join([known[t] for t in ids]) == text.encode() for ids, known in both)
+        return [np.array(ids if right else [], np.int64) for ids, _ in both]
+
+    def _joined(self, texts: list[str], at: list[int], out: list) -> None:
+        if not at:
+            return
+        data = [texts[i].encode() for i in at]
+        ends, parts = np.cumsum([len(d) for d in data]), []
+        for ids, known in self._ids("".join([texts[i] for i in at])):
+            each = [known[t] for t in ids]
+            places = np.cumsum([0, *map(len, each)])
+            cut = np.searchsorted(places, ends)
+            if b"".join(each) != b"".join(data) or (places[cut] != ends).any():
+                for i in at:
+                    out[i] = self._alone(texts[i])
+                return
+            parts.append(np.split(np.array(ids, np.int64), cut[:-1]))
+        for i, *own in zip(at, *parts):
+            out[i] = own
 
 
 @cache
@@ -50,10 +98,9 @@ def pair(path_a: str, path_b: str) -> Pair:
     return Pair(path_a, path_b)
 
 
-def _listed(ids: list[list[int]], sizes: list[int]) -> pa.Array:
-    flat = list(chain.from_iterable(ids))
-    tokens = pa.StructArray.from_arrays([pa.array(flat, pa.int32()), pa.array([sizes[i] for i in flat], pa.int32())], names=["id", "size"])
-    return pa.ListArray.from_arrays(pa.array(list(accumulate(map(len, ids), initial=0)), pa.int32()), tokens)
+def _listed(ids: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    tokens = pa.StructArray.from_arrays([pa.array(ids), pa.array(sizes[ids])], names=["id", "size"])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), tokens)
 
 
 def _encoded(runs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -62,20 +109,25 @@ def _encoded(runs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     @F.arrow_udf(f"struct<a: {_TOKENS}, b: {_TOKENS}>")
     def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         both = pair(path_a, path_b)
-        sizes_a, sizes_b = list(map(len, both.bytes_a)), list(map(len, both.bytes_b))
+        sizes = [np.array(list(map(len, known)), np.int32) for known in (both.bytes_a, both.bytes_b)]
         for part in parts:
-            texts = part.to_pylist()
-            ids_a, ids_b = both.encode(texts)
-            for i, text in enumerate(texts):
-                data = text.encode()
-                if b"".join([both.bytes_a[t] for t in ids_a[i]]) != data or b"".join([both.bytes_b[t] for t in ids_b[i]]) != data:
-                    ids_a[i] = ids_b[i] = []
-            yield pa.StructArray.from_arrays([_listed(ids_a, sizes_a), _listed(ids_b, sizes_b)], names=["a", "b"])
+            yield pa.StructArray.from_arrays([_listed(*found, own) for found, own in zip(both.encode(part.to_pylist()), sizes)], names=["a", "b"])
         give_back()
 
     return runs.select("run_id", encode(F.col("run")).alias("t")).select("run_id", "t.*")
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for the jobs inside."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def aligned(encoded: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
     """Groups and links of texts' tokens: (by, n_a, n_b, n_groups, n_links, groups), (by, a, b, n).
 
@@ -83,7 +135,8 @@ def aligned(encoded: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
     exploded, their ends are windowed sums, and the two lists meet on text
     and end: where both have a token is a cut. The number of cuts before a
     token is its group; the tokens of a group, counted by id, are joined to
-    links. Everything is partitioned by the text, and moved once.
+    links. Everything is partitioned by the text, and moved once, if
+    spark.sql.requireAllClusterKeysForCoPartition is off.
     """
     encoded = encoded.repartition(by)
     line = Window.partitionBy(by).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
@@ -167,8 +220,9 @@ def align_tokenizers(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_
     kept("runs").where(F.octet_length("run") <= HEAD_BYTES).orderBy(F.desc("times"), "run").limit(HEAD_RUNS).select("run").write.parquet(f"{within}/head")
     _encoded(kept("runs").repartition(4 * spark.sparkContext.defaultParallelism).select("run_id", "run"), path_a, path_b).write.parquet(f"{within}/encoded")
     texts, links = aligned(kept("encoded"), "run_id")
-    links.select("run_id", (F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("pair"), "n").write.parquet(f"{within}/links")
-    texts.write.parquet(f"{within}/texts")
+    with _setting(spark, _IN_PLACE, "false"):
+        links.select("run_id", (F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("pair"), "n").write.parquet(f"{within}/links")
+        texts.write.parquet(f"{within}/texts")
 
     # A run without tokens has a null for a pair, which tells on the documents that hold it.
     pairs = kept("links").groupBy("run_id").agg(F.collect_list("pair").alias("pairs"))
