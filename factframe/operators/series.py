@@ -81,3 +81,30 @@ def tail_frames(frames: DataFrame, by: list[str], at: str, span: float, spacing:
     slot = F.floor((F.col("__until") - F.col(at)) / spacing).cast("long")
     last = late.withColumn("slot", slot).groupBy(*by, "slot").agg(F.max(at).alias(at))
     return last.where(F.col("slot") < most)
+
+
+#: Seconds before a clip's end at which tail frames are tried, before the margin itself: fixed values.
+TAIL = (0.75, 0.5)
+
+
+def tail_candidates(frames: DataFrame, clips: DataFrame, by: list[str], at: str, duration: str, fps: float, margin: float = 0.25) -> DataFrame:
+    """(by, n, at): times to add near the end of each clip (by, duration), from TAIL, the margin, and at most 0.05 before the end.
+
+    A time that a frame, or an earlier one of these, is within half a frame
+    of is left out. What a clip's frames are near to is one partial aggregate
+    of four flags, so they are never gathered; the four are then settled in
+    order by expressions. A clip without frames has all that are apart.
+    """
+    last = min(0.05, max(0.0, margin))
+    times = [F.greatest(F.lit(0.0), F.least(F.col(duration) - last, F.col(duration) - offset)) for offset in (*TAIL, margin, last)]
+    near = lambda a, b: F.abs(a - b) <= 0.5 / fps
+    met = clips.select(*by, duration).join(frames.select(*by, F.col(at).alias("__at")), by, "left")
+    seen = met.groupBy(*by, duration).agg(*[F.coalesce(F.bool_or(near(t, F.col("__at"))), F.lit(False)).alias(f"__seen{n}") for n, t in enumerate(times)])
+    taken: list[Column] = []
+    for n, time in enumerate(times):
+        free = ~F.col(f"__seen{n}")
+        for earlier, other in zip(taken, times):
+            free = free & ~(earlier & near(time, other))
+        taken.append(free)
+    added = F.array_compact(F.array(*[F.when(free, F.struct(F.lit(n).alias("n"), time.alias("at"))) for n, (free, time) in enumerate(zip(taken, times), 1)]))
+    return seen.where(F.col(duration).isNotNull()).select(*by, F.explode(added).alias("__t")).select(*by, F.col("__t.n").alias("n"), F.col("__t.at").alias(at))
