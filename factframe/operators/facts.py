@@ -46,22 +46,25 @@ def fuse(visual: DataFrame, narration: DataFrame) -> DataFrame:
     """
     rows = visual.withColumn("__said", F.lit(0)).unionByName(narration.withColumn("__said", F.lit(1))).withColumn("__k", _value_key())
     order = [F.col("__said"), F.col("ord")]
-    by, alike = Window.partitionBy(*KEY).orderBy(*order), Window.partitionBy(*KEY, "__k").orderBy(*order)
-    seen, later = by.rowsBetween(Window.unboundedPreceding, 0), by.rowsBetween(1, Window.unboundedFollowing)
+    by = Window.partitionBy(*KEY).orderBy(*order)
+    seen = by.rowsBetween(Window.unboundedPreceding, 0)
+    # What comes later is asked for downwards, as a window that looks ahead to its end is summed up anew for each row.
+    down = [F.desc("__said"), F.desc("ord")]
+    later, later_alike = (Window.partitionBy(*key).orderBy(*down).rowsBetween(Window.unboundedPreceding, -1) for key in (KEY, [*KEY, "__k"]))
     said = F.when(F.col("__said") == 1, F.struct("value", "unit", "evidence_sentence_id", F.col("__k").alias("k")))
     sound = F.coalesce(F.col("confidence"), F.lit(0.0))
     rows = rows.withColumns(
         {
             "__mixed": F.min("__k").over(seen) != F.max("__k").over(seen),
             "__first": F.row_number().over(by) == 1,
-            "__last": F.last(said, ignorenulls=True).over(later),
-            "__same": F.last(said, ignorenulls=True).over(alike.rowsBetween(1, Window.unboundedFollowing)),
-            "__sure": F.max(F.when(F.col("__said") == 1, sound)).over(alike.rowsBetween(1, Window.unboundedFollowing)),
+            "__last": F.first(said, ignorenulls=True).over(later),
+            "__same": F.first(said, ignorenulls=True).over(later_alike),
+            "__sure": F.max(F.when(F.col("__said") == 1, sound)).over(later_alike),
         }
     )
     # Of those after a record that agrees with the last one, the last that doesn't.
     ends = F.last(said, ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    rows = rows.withColumn("__end", ends["k"]).withColumn("__other", F.last(F.when((F.col("__said") == 1) & (F.col("__k") != F.col("__end")), said), ignorenulls=True).over(later))
+    rows = rows.withColumn("__end", ends["k"]).withColumn("__other", F.first(F.when((F.col("__said") == 1) & (F.col("__k") != F.col("__end")), said), ignorenulls=True).over(later))
     kept = rows.where((F.col("__said") == 0) | F.col("__mixed") | F.col("__first"))
     clash, differs = (F.col("__said") == 1) & F.col("__mixed"), F.col("__last")["k"] != F.col("__k")
     told = lambda n: F.struct(F.lit("narration").alias("source_type"), n["value"].alias("value"), n["unit"].alias("unit"), n["evidence_sentence_id"].alias("evidence_sentence_id")).cast(CONFLICT)
@@ -201,6 +204,66 @@ def summary(states: DataFrame) -> DataFrame:
 NO_DATA = "no_recoverable_quantitative_data"
 
 
+#: The source of a value read off a drawn line, and its confidence: fixed values.
+LINE, LINE_CONFIDENCE = "visual_line_estimate", 0.7
+
+
+def curve_points(path: DataFrame, ticks: DataFrame, by: list[str], x: str = "x", y: str = "y", tick: str = "tick", most: int = 10) -> DataFrame:
+    """(by, idx, x, y): points of a traced line at the ticks of its axis, the nearest to each and the left one of two as near.
+
+    A line whose axis has under three ticks gives every n-th of its points,
+    n being a `most`-th of them, from the first on. Line and ticks are put on
+    one sorted line, so they aren't paired.
+    """
+    from .joins import nearest
+
+    known = path.where(F.col(x).isNotNull()).select(*by, F.col(x).cast("double").alias("x"), F.col(y).alias("y")).withColumn("__i", F.row_number().over(Window.partitionBy(*by).orderBy("x")) - 1)
+    marks = ticks.where(F.col(tick).isNotNull()).select(*by, F.col(tick).cast("double").alias("x")).withColumn("idx", F.row_number().over(Window.partitionBy(*by).orderBy("x")) - 1)
+    many = marks.groupBy(*by).agg(F.count("*").alias("__ticks"))
+    at_ticks = nearest(marks.join(many.where("__ticks > 2"), by, "left_semi"), known.withColumnRenamed("__i", "idx"), by, "x", "idx", ["y"])
+    met = at_ticks.where("near_x IS NOT NULL").select(*by, F.col("idx").cast("long").alias("idx"), F.col("near_x").alias("x"), F.col("near_y").alias("y"))
+    few = known.join(many.where("__ticks > 2"), by, "left_anti")
+    sizes = few.groupBy(*by).agg(F.greatest(F.floor(F.count("*") / most), F.lit(1)).alias("__step"))
+    even = few.join(sizes, by).where(F.col("__i") % F.col("__step") == 0).select(*by, F.floor(F.col("__i") / F.col("__step")).cast("long").alias("idx"), "x", "y")
+    return met.unionByName(even)
+
+
+def line_states(points: DataFrame, clips: DataFrame) -> DataFrame:
+    """States of line charts: one a point with a value, in place of what their clips had, all of them in the final table.
+
+    points: (clip_id, line, idx, series, x_label, value), in the order of
+    lines and points; clips: (clip_id, at, frame_id, path, unit,
+    series_label) of the frame. A point goes by its x label, else its number.
+    """
+    from ..functions.scalars import slug
+
+    some = lambda c: F.nullif(F.col(c), F.lit(""))
+    name = F.coalesce(some("series"), some("series_label"), F.lit("series"))
+    place = F.row_number().over(Window.partitionBy("clip_id").orderBy("line", "idx")).cast("long")
+    rows = points.where("value IS NOT NULL").join(clips, "clip_id", "left").withColumns({"place": place, "entity": name, "state_key": F.coalesce(some("x_label"), F.col("idx").cast("string"))})
+    frame = F.array(F.struct("frame_id", F.col("at").alias("time_seconds"), "path")).cast(f"array<{FRAME}>")
+    return rows.select(
+        "clip_id", "place", F.format_string("state_%03d", "place").alias("state_id"), "state_key", F.col("state_key").alias("state_label"), F.when(F.col("entity").rlike("(?i)[a-z0-9]"), slug(F.col("entity"))).otherwise("series").alias("entity_id"), "entity",
+        F.lit("").alias("metric"), "value", F.coalesce("unit", F.lit("")).alias("unit"), F.lit("estimated").alias("value_type"), F.lit(LINE).alias("source_type"), F.col("at").alias("state_start"), F.col("at").alias("state_end"),
+        frame.alias("evidence_frames"), F.lit(None).cast("string").alias("evidence_sentence_id"), F.lit(LINE_CONFIDENCE).alias("confidence"), F.lit("machine").alias("review_status"), F.lit(True).alias("needs_review"),
+    )
+
+
+def line_summary(states: DataFrame, clips: DataFrame) -> DataFrame:
+    """What line_states() amounts to for each clip: no changes, complete if there is a point, dynamic if there are two."""
+    counts = clips.select("clip_id").distinct().join(states.groupBy("clip_id").agg(F.count("*").alias("n")), "clip_id", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+    some = F.col("n") > 0
+    return counts.select(
+        "clip_id", F.col("n").alias("n_states"), F.col("n").alias("numeric_fact_count"), F.when(some, "complete").otherwise("none").alias("data_completeness"), F.lit(0).cast("long").alias("data_change_count"),
+        (F.col("n") > 1).alias("dynamic_data"), some.alias("include_in_dataset"), F.when(~some, NO_DATA).alias("exclude_reason"),
+    )
+
+
+def replaced(states: DataFrame, others: DataFrame, clips: DataFrame) -> DataFrame:
+    """states with those of the clips taken from others: a clip's facts are of one kind."""
+    return states.join(clips.select("clip_id").distinct(), "clip_id", "left_anti").unionByName(others.join(clips.select("clip_id").distinct(), "clip_id", "left_semi"), allowMissingColumns=True)
+
+
 def axis_tick_keys(rows: DataFrame, at: str, entity: str, value: str) -> DataFrame:
     """(at, entity) whose set of at least two values another entity shares at the time: axis labels, not data."""
     sets = rows.where(F.col(value).isNotNull()).groupBy(at, entity).agg(F.array_sort(F.collect_set(value)).alias("values")).where(F.size("values") >= 2)

@@ -9,37 +9,89 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def overlapping(left: DataFrame, right: DataFrame, on: list[str], start: tuple[str, str], end: tuple[str, str], closed: bool = False, keep_missing: bool = False) -> DataFrame:
+#: Time buckets that an interval is put into; one that touches more meets all rows of its key, as it overlaps a great part of them.
+MOST_BUCKETS = 1024
+
+
+def _split(rows: DataFrame, start: Column, end: Column, width: float) -> tuple[DataFrame, DataFrame]:
+    """(rows once for each `__bucket` of the width that they touch, rows of too many buckets); rows without bounds or that end before they start are in neither."""
+    a, z = F.floor(start / width).cast("long"), F.floor(end / width).cast("long")
+    known = rows.where(F.coalesce(end >= start, F.lit(False))).withColumn("__n", z - a)
+    short = known.where(F.col("__n") < MOST_BUCKETS).withColumn("__bucket", F.explode(F.sequence(a, z))).drop("__n")
+    return short, known.where(F.col("__n") >= MOST_BUCKETS).drop("__n")
+
+
+def overlapping(left: DataFrame, right: DataFrame, on: list[str], start: tuple[str, str], end: tuple[str, str], closed: bool = False, keep_missing: bool = False, width: float | None = None) -> DataFrame:
     """Rows of one key whose intervals overlap, with clip_start and clip_end of the overlap; touching counts only if `closed`.
 
-    The key is an equality, so that Spark hashes or sorts by it and the
-    interval is a residual condition. Rows with a missing bound overlap
-    nothing, or, with keep_missing, everything of their key.
+    The key is an equality, so that Spark hashes or sorts by it, and the
+    interval is a residual condition. With `width`, a few times a usual
+    interval, rows meet by key and time bucket: each goes to the buckets that
+    it touches, and a pair counts in the one where its overlap begins, so a
+    key with any number of rows is spread out and its pairs are those of
+    neighbours. Rows with a missing bound overlap nothing, or, with
+    keep_missing, everything of their key.
     """
-    a, b = F.greatest(start[0], start[1]), F.least(end[0], end[1])
-    met = left.join(right, on).withColumn("clip_start", a).withColumn("clip_end", b)
-    fits = F.col("clip_end") >= F.col("clip_start") if closed else F.col("clip_end") > F.col("clip_start")
+    names = [*left.columns, *[c for c in right.columns if c not in on]]
+    a, z = F.greatest(start[0], start[1]), F.least(end[0], end[1])
+    missing = reduce(operator.or_, [F.col(c).isNull() for c in (*start, *end)])
+    fits = ~missing & (F.col("clip_end") >= F.col("clip_start") if closed else F.col("clip_end") > F.col("clip_start"))
+    clipped = lambda met: met.select(*names, a.alias("clip_start"), z.alias("clip_end"))
+    if width is None:
+        return clipped(left.join(right, on)).where(missing | fits if keep_missing else fits)
+    (short, long), (short_r, long_r) = _split(left, F.col(start[0]), F.col(end[0]), width), _split(right, F.col(start[1]), F.col(end[1]), width)
+    near = clipped(short.join(short_r, [*on, "__bucket"]).where(F.col("__bucket") == F.floor(a / width))).where(fits)
+    once = short.where(F.col("__bucket") == F.floor(F.col(start[0]) / width)).drop("__bucket")
+    out = near.unionByName(clipped(long.join(right, on)).where(fits)).unionByName(clipped(once.join(long_r, on)).where(fits))
     if keep_missing:
-        fits = reduce(operator.or_, [F.col(c).isNull() for c in (*start, *end)]) | fits
-    return met.where(fits)
-
+        no = lambda n: F.col(start[n]).isNull() | F.col(end[n]).isNull()
+        out = out.unionByName(clipped(left.where(no(0)).join(right, on))).unionByName(clipped(left.where(~no(0)).join(right.where(no(1)), on)))
+    return out
 
-def contained(inner: DataFrame, outer: DataFrame, on: list[str], start: tuple[str, str], end: tuple[str, str], slack: float = 1e-3) -> DataFrame:
-    """Rows of one key whose first interval lies within the second, give or take."""
-    return inner.join(outer, on).where((F.col(start[0]) >= F.col(start[1]) - slack) & (F.col(end[0]) <= F.col(end[1]) + slack))
 
+def contained(inner: DataFrame, outer: DataFrame, on: list[str], start: tuple[str, str], end: tuple[str, str], slack: float = 1e-3, width: float | None = None) -> DataFrame:
+    """Rows of one key whose first interval lies within the second, give or take.
 
-def covering(points: DataFrame, intervals: DataFrame, on: list[str], at: str, start: str, end: str, order: str) -> DataFrame:
+    With `width`, as in overlapping(), the second goes to the time buckets
+    that it touches, and the first to that of its start.
+    """
+    names = [*inner.columns, *[c for c in outer.columns if c not in on]]
+    within = (F.col(start[0]) >= F.col(start[1]) - slack) & (F.col(end[0]) <= F.col(end[1]) + slack)
+    if width is None:
+        return inner.join(outer, on).where(within)
+    short, long = _split(outer, F.col(start[1]) - slack, F.col(end[1]) + slack, width)
+    sound = F.col(end[0]) >= F.col(start[0])
+    placed = inner.where(sound).withColumn("__bucket", F.floor(F.col(start[0]) / width).cast("long"))
+    near = placed.join(short, [*on, "__bucket"]).where(within).select(*names)
+    # Faulty rows that end before they start have no buckets of their own.
+    turned = outer.where(F.col(end[1]) + slack < F.col(start[1]) - slack)
+    rest = inner.where(sound).join(long.unionByName(turned), on).unionByName(inner.where(~sound).join(outer, on))
+    return near.unionByName(rest.where(within).select(*names))
+
+
+def covering(points: DataFrame, intervals: DataFrame, on: list[str], at: str, start: str, end: str, order: str | Column, width: float | None = None) -> DataFrame:
     """Points with `interval`, the first by `order` of their key's intervals that holds their time, bounds included; null where none does.
 
-    Whether any holds it is whether interval is there. A partial aggregate
-    leaves one row a point and task before the shuffle.
+    Whether any holds it is whether interval is there. With `width`, as in
+    overlapping(), intervals go to the time buckets that they touch and a
+    point meets those of its own, so a key with many of both makes no pairs
+    beyond that. A partial aggregate leaves one row a point and task before
+    the shuffle.
     """
     key = [c for c in points.columns if c not in on]
     own = F.struct(*[c for c in intervals.columns if c not in on])
-    met = points.join(intervals.withColumn("interval", own).select(*on, "interval", F.col(start).alias("__a"), F.col(end).alias("__z"), F.col(order).alias("__o")), on, "left")
+    order = F.col(order) if isinstance(order, str) else order
+    ready = intervals.select(*on, own.alias("interval"), F.col(start).alias("__a"), F.col(end).alias("__z"), order.alias("__o"))
     held = F.col(at).between(F.col("__a"), F.col("__z"))
-    return met.groupBy(*on, *key).agg(F.min_by("interval", F.when(held, F.col("__o"))).alias("interval"))
+    if width is None:
+        met = points.join(ready, on, "left")
+        return met.groupBy(*on, *key).agg(F.min_by("interval", F.when(held, F.col("__o"))).alias("interval"))
+    short, long = _split(ready, F.col("__a"), F.col("__z"), width)
+    found = ["interval", "__o"]
+    near = points.withColumn("__bucket", F.floor(F.col(at) / width).cast("long")).join(short, [*on, "__bucket"]).where(held).select(*points.columns, *found)
+    far = points.join(long, on).where(held).select(*points.columns, *found)
+    none = points.select("*", *[F.lit(None).cast(ready.schema[c].dataType).alias(c) for c in found])
+    return near.unionByName(far).unionByName(none).groupBy(*on, *key).agg(F.min_by("interval", "__o").alias("interval"))
 
 
 def on_axis(rows: DataFrame, ticks: DataFrame, by: list[str], coord: str, tick: str, value: str) -> DataFrame:
@@ -56,7 +108,8 @@ def on_axis(rows: DataFrame, ticks: DataFrame, by: list[str], coord: str, tick:
     both = marks.withColumn("__row", F.lit(None).cast(rows.select(F.struct(*rows.columns).alias("r")).schema["r"].dataType)).unionByName(rows.select(*by, F.col(coord).cast("double").alias("__at"), F.lit(None).cast(kind).alias("__mark"), F.struct(*rows.columns).alias("__row")))
     order = Window.partitionBy(*by).orderBy("__at", F.col("__row").isNotNull())
     back = F.last("__mark", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first("__mark", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    down = Window.partitionBy(*by).orderBy(F.desc("__at"), F.col("__row").isNotNull())
+    ahead = F.last("__mark", ignorenulls=True).over(down.rowsBetween(Window.unboundedPreceding, 0))
     met = both.withColumn("__m", F.coalesce(back, ahead)).where("__row IS NOT NULL")
     m = F.col("__m")
     up = m["__x1"].isNotNull()

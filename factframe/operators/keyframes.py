@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import in_chunks
+
 #: Weights of the signals of a keyframe's score: fixed values.
 WEIGHTS = {"completeness": 0.35, "finality": 0.25, "integrity": 0.2, "visibility": 0.15, "motion": -0.05}
 
@@ -17,8 +19,14 @@ def combined_score(signals: dict[str, Column]) -> Column:
     return out
 
 
-def motion(frames: DataFrame, by: list[str], order: str, pixels: str) -> DataFrame:
-    """Mean difference of each frame from its neighbours: the mean over one or two of the mean absolute difference."""
+def motion(frames: DataFrame, by: list[str], order: str, pixels: str, chunk: int | None = None) -> DataFrame:
+    """Mean difference of each frame from its neighbours: the mean over one or two of the mean absolute difference.
+
+    With `chunk`, groups are cut into pieces of so many frames, for groups that no task could hold.
+    """
+    if chunk:
+        cut = in_chunks(frames, by, [F.col(order)], 1, chunk)
+        return motion(cut, [*by, "__chunk"], "__place", pixels).where("__own").select(*frames.columns, "motion")
     over = Window.partitionBy(*by).orderBy(order)
     diff = lambda other: F.aggregate(F.zip_with(F.col(pixels), other, lambda a, b: F.abs(a.cast("double") - b.cast("double"))), F.lit(0.0), lambda s, x: s + x) / F.size(pixels)
     beside = frames.withColumn("__b", F.lag(pixels).over(over)).withColumn("__a", F.lead(pixels).over(over))

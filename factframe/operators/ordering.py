@@ -10,6 +10,39 @@ def numbered(df: DataFrame, by: list[str], order: list[Column], to: str = "n") -
     return df.withColumn(to, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
 
 
+def numbered_apart(df: DataFrame, by: list[str], order: list[Column], to: str = "n") -> DataFrame:
+    """numbered(), for groups that no task could hold: a group's rows are dealt out by ranges of its order.
+
+    Rows are put into ranges of (by, order) and kept so; a range's rows are
+    numbered by themselves, and the rows of a group in the ranges before are
+    added, which is a table of a row for each group and range.
+    """
+    from ..stages import kept
+
+    rows = kept(df.repartitionByRange(*by, *order).withColumn("__part", F.spark_partition_id()))
+    before = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*by, "__part").agg(F.count("*").alias("__size")).withColumn("__before", F.coalesce(F.sum("__size").over(before), F.lit(0))).drop("__size")
+    own = F.row_number().over(Window.partitionBy(*by, "__part").orderBy(*order))
+    same = [F.col(f"__k{n}").eqNullSafe(F.col(c)) for n, c in enumerate(by)]
+    sizes = sizes.select(*[F.col(c).alias(f"__k{n}") for n, c in enumerate(by)], F.col("__part").alias("__p"), "__before")
+    met = rows.withColumn("__own", own).join(sizes, [*same, F.col("__p") == F.col("__part")])
+    return met.withColumn(to, F.col("__own").cast("long") + F.col("__before")).select(*df.columns, to)
+
+
+def in_chunks(df: DataFrame, by: list[str], order: list[Column], reach: int, rows: int = 100_000) -> DataFrame:
+    """df in chunks of `rows` neighbours of a group, with `reach` more on either side: for windows that look no further.
+
+    A window partitioned by (by, __chunk) and ordered by __place sees for each
+    row with __own all that one over the group would; the others are borders
+    and go afterwards.
+    """
+    placed = numbered_apart(df, by, order, "__place")
+    chunk = lambda place: F.floor((place - 1) / rows).cast("long")
+    own, place = chunk(F.col("__place")), F.col("__place")
+    dealt = placed.withColumn("__chunk", F.explode(F.array_distinct(F.array(own, chunk(F.greatest(place - reach, F.lit(1))), chunk(place + reach)))))
+    return dealt.withColumn("__own", F.col("__chunk") == own)
+
+
 def first_rows(df: DataFrame, by: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The first n rows of each group. Rows over n are dropped before the shuffle, so large groups stay cheap."""
     return numbered(df, by, order, "__n").where(F.col("__n") <= n).drop("__n")

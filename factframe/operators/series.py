@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import in_chunks, numbered, numbered_apart
 
-def rolling_median(rows: DataFrame, by: list[str], order: list[Column], value: str, reach: int = 2) -> DataFrame:
-    """The median of each row and of `reach` rows on either side, fewer at the ends; nulls don't count."""
+
+def rolling_median(rows: DataFrame, by: list[str], order: list[Column], value: str, reach: int = 2, chunk: int | None = None) -> DataFrame:
+    """The median of each row and of `reach` rows on either side, fewer at the ends; nulls don't count.
+
+    With `chunk`, groups are cut into pieces of so many rows, for groups that no task could hold.
+    """
+    if chunk:
+        cut = in_chunks(rows, by, order, reach, chunk)
+        return rolling_median(cut, [*by, "__chunk"], [F.col("__place")], value, reach).where("__own").select(*rows.columns, "smooth")
     near = Window.partitionBy(*by).orderBy(*order).rowsBetween(-reach, reach)
     held = F.array_sort(F.collect_list(value).over(near))
     n = F.size("__near")
@@ -35,9 +43,12 @@ def box_union(boxes: DataFrame, by: list[str], corners: tuple[str, str, str, str
     return boxes.groupBy(*by).agg(F.min(x1).alias("x1"), F.min(y1).alias("y1"), F.max(x2).alias("x2"), F.max(y2).alias("y2"), F.count("*").alias("n_boxes"))
 
 
-def matched_by_place(left: DataFrame, right: DataFrame, by: list[str], left_order: list[Column], right_order: list[Column]) -> DataFrame:
-    """The n-th row of a group on the left with the n-th on the right; a left row beyond the last right one stays, with nulls."""
-    placed = lambda rows, order: rows.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
+def matched_by_place(left: DataFrame, right: DataFrame, by: list[str], left_order: list[Column], right_order: list[Column], apart: bool = False) -> DataFrame:
+    """The n-th row of a group on the left with the n-th on the right; a left row beyond the last right one stays, with nulls.
+
+    `apart` numbers groups that no task could hold, range by range.
+    """
+    placed = lambda rows, order: (numbered_apart if apart else numbered)(rows, by, order, "place")
     return placed(left, left_order).join(placed(right, right_order), [*by, "place"], "left")
 
 
@@ -53,18 +64,40 @@ def sentences_with_words(sentences: DataFrame, words: DataFrame, by: list[str],
     return sentences.join(heard, by, "left").where(F.coalesce("__heard", F.lit(True))).drop("__heard")
 
 
-def state_at(states: DataFrame, targets: DataFrame, by: list[str], at: str, slack: float = 0.0) -> DataFrame:
+def state_at(states: DataFrame, targets: DataFrame, by: list[str], at: str, slack: float = 0.0, width: float | None = None) -> DataFrame:
     """Of each target, the state (state_start, state_end) that covers its time within `slack`, else the nearest.
 
-    Ties go to the earlier state. Both sides meet on the key and are reduced
-    to one row a target by a partial aggregate.
+    Of several that cover it, and of two as near, the earlier state is taken.
+    States that cover a target are met by time buckets of `width`, as in
+    joins.covering(). For the others both sides are put on one time line, by
+    the states' ends for the one before and by their starts for the one
+    after, and sorted, so nothing is paired. A key without states, or with
+    none that has both bounds, has no rows.
     """
-    key = [c for c in targets.columns if c not in by]
-    gap = F.greatest(F.col("state_start") - slack - F.col(at), F.col(at) - F.col("state_end") - slack, F.lit(0))
+    from .joins import covering
+
     own = [c for c in states.columns if c not in by]
-    met = targets.join(states, by)
-    best = F.min_by(F.struct(*own, gap.alias("gap")), F.struct(gap.alias("gap"), F.col("state_start"), F.col("state_end")))
-    return met.groupBy(*by, *key).agg(best.alias("__s")).select(*by, *key, "__s.*")
+    known = states.where(F.col("state_start").isNotNull() & F.col("state_end").isNotNull()).withColumns({"__from": F.col("state_start") - slack, "__to": F.col("state_end") + slack})
+    asked = covering(targets, known, by, at, "__from", "__to", F.struct("state_start", "state_end"), width)
+    state = F.struct(*own)
+    row = F.struct(*asked.columns)
+    kind = [asked.select(row.alias("r")).schema["r"].dataType, known.select(state.alias("s")).schema["s"].dataType]
+    mark = lambda place, first: known.select(*by, F.col(place).alias("__at"), F.lit(first).alias("__rank"), F.lit(None).cast(kind[0]).alias("__row"), state.alias("__s"))
+    point = lambda rows: rows.select(*by, F.col(at).alias("__at"), F.lit(1).alias("__rank"), row.alias("__row"), F.lit(None).cast(kind[1]).alias("__s"))
+    # A state that ends just where the target is covers it, so on the first line states come after targets, on the second before.
+    back = Window.partitionBy(*by).orderBy("__at", "__rank", F.col("__s.state_start").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    before = point(asked).unionByName(mark("__to", 2)).withColumn("__before", F.last("__s", ignorenulls=True).over(back)).where("__row IS NOT NULL").select("__row.*", "__before")
+    row = F.struct(*before.columns)
+    kind[0] = before.select(row.alias("r")).schema["r"].dataType
+    # Downwards, as a window that looks ahead to its end is summed up anew for each row.
+    ahead = Window.partitionBy(*by).orderBy(F.desc("__at"), "__rank", F.col("__s.state_end").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    both = point(before).unionByName(mark("__from", 0)).withColumn("__after", F.last("__s", ignorenulls=True).over(ahead)).where("__row IS NOT NULL").select("__row.*", "__after")
+    past, next_ = F.col(at) - F.col("__before.state_end") - slack, F.col("__after.state_start") - slack - F.col(at)
+    side = F.when(F.col("__after").isNull() | (past <= next_), F.struct(F.col("__before").alias("s"), past.alias("gap"))).otherwise(F.struct(F.col("__after").alias("s"), next_.alias("gap")))
+    inside = F.struct(*[F.col(f"interval.{c}").alias(c) for c in own])
+    gap = F.when(F.col("interval").isNotNull(), F.lit(0)).otherwise(side["gap"])
+    out = both.withColumn("__s", F.when(F.col("interval").isNotNull(), inside).otherwise(side["s"])).withColumn("gap", gap)
+    return out.where("__s IS NOT NULL").select(*targets.columns, "__s.*", "gap")
 
 
 def changed_sets(rows: DataFrame, by: list[str], side: Column, value: str) -> DataFrame:

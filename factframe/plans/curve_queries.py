@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import curves, series
+from ..operators import curves, facts, series
 from .adapters import micros, read
 
 _DAY = 86_400_000_000
@@ -57,7 +57,38 @@ def tail_candidates(spark: SparkSession, d: str) -> DataFrame:
     return series.tail_candidates(frames.where("user_id % 5 <> 0"), clips, ["user_id"], "at", "duration", 4.0)
 
 
-QUERIES = {f.__name__: f for f in (even_series, even_grid, mean_clusters, simple_line, traced_path, tail_candidates)}
+def _path(spark: SparkSession, d: str) -> DataFrame:
+    """A user's largest value an hour as a traced line."""
+    return read(spark, d, "events").groupBy("user_id", F.floor(micros("ts") / 3_600_000_000).cast("double").alias("x")).agg(F.floor(F.max("value")).cast("double").alias("y"))
+
+
+def curve_points(spark: SparkSession, d: str) -> DataFrame:
+    """Lines at the hours of purchases on some days, and every few points of those with fewer of them."""
+    ticks = read(spark, d, "events").where("event_type = 'purchase' AND event_id % 4 = 0").select("user_id", (micros("ts") / 3.6e9).alias("tick")).distinct()
+    return facts.curve_points(_path(spark, d), ticks, ["user_id"])
+
+
+def _line(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Points of lines, a user being a clip and an event type a line, some without a value or label; the clips' frames."""
+    rows = read(spark, d, "events")
+    points = rows.select(
+        F.col("user_id").alias("clip_id"), F.col("event_type").alias("line"), F.col("event_id").alias("idx"), F.when(F.col("user_id") % 3 != 0, F.initcap("event_type")).alias("series"),
+        F.when(F.col("event_id") % 4 != 0, F.date_format("ts", "MM-dd")).alias("x_label"), F.when((F.col("event_id") % 5 != 0) & (F.col("user_id") % 10 != 0), F.floor("value").cast("double")).alias("value"),
+    )
+    clips = rows.groupBy(F.col("user_id").alias("clip_id")).agg((F.max(micros("ts")) / 1e6).alias("at")).select("clip_id", "at", F.lit("key").alias("frame_id"), F.lit(None).cast("string").alias("path"), F.when(F.col("clip_id") % 2 == 0, "%").alias("unit"), F.when(F.col("clip_id") % 6 == 0, "Net additions").alias("series_label"))
+    return points, clips
+
+
+def line_states(spark: SparkSession, d: str) -> DataFrame:
+    return facts.line_states(*_line(spark, d)).select("clip_id", "state_id", "state_key", "entity_id", "entity", "value", "unit", "state_start", "confidence", "needs_review")
+
+
+def line_summary(spark: SparkSession, d: str) -> DataFrame:
+    points, clips = _line(spark, d)
+    return facts.line_summary(facts.line_states(points, clips), clips)
+
+
+QUERIES = {f.__name__: f for f in (even_series, even_grid, mean_clusters, simple_line, traced_path, tail_candidates, curve_points, line_states, line_summary)}
 
 _MARKS = "SELECT user_id, event_type, list_sort(list(floor(value)::DOUBLE)) AS v, any_value(user_id % 7 + 2) AS n FROM events WHERE value IS NOT NULL GROUP BY 1, 2"
 _LIST = "coalesce(array_to_string(list_transform({}, lambda x: round(x * 1000)::BIGINT::VARCHAR), ','), '')"
@@ -68,7 +99,17 @@ _FAR = """list_transform(range(a + 1, z), lambda i: CASE WHEN (p[z].x - p[a].x)
 )
 _TAIL_TIMES = "list_transform([0.75, 0.5, 0.25, 0.05]::DOUBLE[], lambda o: greatest(0, least(duration - 0.05::DOUBLE, duration - o)))"
 
+_LINE = """WITH p AS (SELECT user_id AS clip_id, event_type AS line, event_id AS idx, CASE WHEN user_id % 3 <> 0 THEN upper(event_type[1]) || event_type[2:] WHEN user_id % 6 = 0 THEN 'Net additions' ELSE 'series' END AS entity,
+  CASE WHEN event_id % 4 <> 0 THEN strftime(ts, '%m-%d') ELSE event_id::VARCHAR END AS state_key, CASE WHEN event_id % 5 <> 0 AND user_id % 10 <> 0 THEN floor(value)::DOUBLE END AS value FROM events),
+c AS (SELECT user_id AS clip_id, max(epoch_us(ts)) / 1e6::DOUBLE AS tm FROM events GROUP BY 1), s AS (SELECT *, row_number() OVER (PARTITION BY clip_id ORDER BY line, idx) AS place FROM p JOIN c USING (clip_id) WHERE value IS NOT NULL)"""
+
 ORACLES = {
+    "curve_points": """WITH p AS (SELECT user_id, (epoch_us(ts) // 3600000000)::DOUBLE AS x, floor(max(value))::DOUBLE AS y FROM events GROUP BY 1, 2), n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY x) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM p),
+t AS (SELECT user_id, tick, row_number() OVER (PARTITION BY user_id ORDER BY tick) - 1 AS idx, count(*) OVER (PARTITION BY user_id) AS ticks FROM (SELECT DISTINCT user_id, epoch_us(ts) / 3.6e9::DOUBLE AS tick FROM events WHERE event_type = 'purchase' AND event_id % 4 = 0)),
+k AS (SELECT user_id, idx, x, y FROM t JOIN p USING (user_id) WHERE ticks > 2 QUALIFY row_number() OVER (PARTITION BY user_id, idx ORDER BY abs(x - tick), x) = 1)
+SELECT user_id, idx, x, y FROM k UNION ALL SELECT user_id, i // greatest(n // 10, 1), x, y FROM n WHERE i % greatest(n // 10, 1) = 0 AND NOT EXISTS (SELECT 1 FROM t WHERE t.user_id = n.user_id AND ticks > 2)""",
+    "line_states": _LINE + " SELECT clip_id, printf('state_%03d', place) AS state_id, state_key, replace(lower(entity), ' ', '-') AS entity_id, entity, value, CASE WHEN clip_id % 2 = 0 THEN '%' ELSE '' END AS unit, tm AS state_start, 0.7::DOUBLE AS confidence, true AS needs_review FROM s",
+    "line_summary": _LINE + " SELECT clip_id, count(value) AS n_states, count(value) AS numeric_fact_count, CASE WHEN count(value) > 0 THEN 'complete' ELSE 'none' END AS data_completeness, 0::BIGINT AS data_change_count, count(value) > 1 AS dynamic_data, count(value) > 0 AS include_in_dataset, CASE WHEN count(value) = 0 THEN 'no_recoverable_quantitative_data' END AS exclude_reason FROM p GROUP BY 1",
     "even_series": f"""WITH g AS ({_MARKS}), i AS (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM g WHERE len(v) > 2), j AS (SELECT *, unnest(range(i + 2, len(v) + 1)) AS j FROM i),
 s AS (SELECT user_id, event_type, v, i, j, v[i] AS a, (v[j] - v[i]) / (j - i)::DOUBLE AS step FROM j), c AS (SELECT *, ({_UP.format("'n': s.n + 1", "'n': 0::BIGINT")}).n AS hits FROM s WHERE step >= 8),
 b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY hits DESC, i, j) = 1),

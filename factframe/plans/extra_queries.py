@@ -24,17 +24,17 @@ def _orders(spark: SparkSession, d: str) -> DataFrame:
 
 def closed_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Lines that touch a year from their order on; those without an end stay."""
-    return joins.overlapping(_lines(spark, d), _orders(spark, d), ["clip_id"], ("s_start", "r_start"), ("s_end", "r_end"), closed=True, keep_missing=True).select("clip_id", "l_linenumber")
+    return joins.overlapping(_lines(spark, d), _orders(spark, d), ["clip_id"], ("s_start", "r_start"), ("s_end", "r_end"), closed=True, keep_missing=True, width=400.0).select("clip_id", "l_linenumber")
 
 
 def contained_words(spark: SparkSession, d: str) -> DataFrame:
-    return joins.contained(_lines(spark, d), _orders(spark, d), ["clip_id"], ("s_start", "r_start"), ("s_end", "r_end")).select("clip_id", "l_linenumber")
+    return joins.contained(_lines(spark, d), _orders(spark, d), ["clip_id"], ("s_start", "r_start"), ("s_end", "r_end"), width=400.0).select("clip_id", "l_linenumber")
 
 
 def sentence_at(spark: SparkSession, d: str) -> DataFrame:
     """The first line whose interval holds the 70th day of its order, and whether any does."""
     points = _orders(spark, d).select("clip_id", (F.col("r_start") + 70).alias("at"))
-    found = joins.covering(points, _lines(spark, d), ["clip_id"], "at", "s_start", "s_end", "l_linenumber")
+    found = joins.covering(points, _lines(spark, d), ["clip_id"], "at", "s_start", "s_end", "l_linenumber", 60.0)
     return found.select("clip_id", F.col("interval.l_linenumber").alias("l_linenumber"), F.col("interval").isNotNull().alias("in_any"))
 
 

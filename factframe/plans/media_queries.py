@@ -38,7 +38,7 @@ def state_sampling(spark: SparkSession, d: str) -> DataFrame:
 
 
 def motion_scores(spark: SparkSession, d: str) -> DataFrame:
-    return keyframes.motion(read(spark, d, "embeddings"), ["label"], "vec_id", "embedding").select("vec_id", F.round("motion", 6).alias("motion"))
+    return keyframes.motion(read(spark, d, "embeddings"), ["label"], "vec_id", "embedding", 1000).select("vec_id", F.round("motion", 6).alias("motion"))
 
 
 def keyframe_top1(spark: SparkSession, d: str) -> DataFrame:

@@ -35,7 +35,7 @@ def bbox_union(spark: SparkSession, d: str) -> DataFrame:
 def positional_match(spark: SparkSession, d: str) -> DataFrame:
     boxes = read(spark, d, "customer").select(F.col("c_nationkey").cast("long").alias("nation"), "c_custkey")
     labels = read(spark, d, "supplier").select(F.col("s_nationkey").cast("long").alias("nation"), "s_suppkey", "s_name")
-    return series.matched_by_place(boxes, labels, ["nation"], [F.col("c_custkey")], [F.col("s_suppkey")])
+    return series.matched_by_place(boxes, labels, ["nation"], [F.col("c_custkey")], [F.col("s_suppkey")], apart=True)
 
 
 def sentence_semi(spark: SparkSession, d: str) -> DataFrame:
@@ -50,7 +50,7 @@ def covering_state(spark: SparkSession, d: str) -> DataFrame:
     day = F.floor(F.col("start") / _DAY).cast("long")
     states = facts(spark, d).withColumn("state_key", day).groupBy("clip_id", "state_key").agg(F.min("start").alias("state_start"), F.max("start").alias("state_end"))
     buys = read(spark, d, "events").where("event_type = 'purchase'").select(F.col("user_id").alias("clip_id"), "event_id", (micros("ts") + 43_200_000_000).alias("at"))
-    return series.state_at(states, buys, ["clip_id"], "at", 10_000).select("event_id", "state_key", "gap")
+    return series.state_at(states, buys, ["clip_id"], "at", 10_000, _DAY).select("event_id", "state_key", "gap")
 
 
 def changed_years(spark: SparkSession, d: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as fn
 from ..functions import titles
-from ..operators import narration
+from ..operators import labels, narration
 from ..operators.islands import sentences
 from .adapters import micros, read
 
@@ -90,7 +90,17 @@ def subtitle_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def alias_mentions(spark: SparkSession, d: str) -> DataFrame:
-    return narration.mentions(read(spark, d, "documents").select("doc_id", "text"), "text", ALIASES).select("doc_id", "entity", "at")
+    """Items by the first long word of their text, in documents."""
+    aliases = read(spark, d, "benchmark").select(F.col("item_id").alias("entity"), F.regexp_extract(F.lower("text"), "[a-z]{6,}", 0).alias("alias"))
+    return labels.mentioned(read(spark, d, "documents").select("doc_id", "text"), "text", aliases).select("doc_id", "entity", "alias", "at")
+
+
+def label_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Full names of parts that match a shorter one."""
+    parts = read(spark, d, "part")
+    full = parts.select(F.concat_ws(" ", "p_type", "p_name", "p_brand").alias("label"))
+    short = parts.select(F.concat_ws(", ", "p_name", F.initcap("p_type")).alias("name")).unionByName(parts.select(F.concat_ws("-", "p_brand", "p_name").alias("name")))
+    return labels.matching(full, short, "label", "name")
 
 
 def greedy_numbers(spark: SparkSession, d: str) -> DataFrame:
@@ -140,7 +150,7 @@ def snapped_intervals(spark: SparkSession, d: str) -> DataFrame:
     return narration.snapped(shown, told, ["clip_id"], 0.25, 20.0)
 
 
-QUERIES = {f.__name__: f for f in (numeric_values, tick_labels, parse_times, video_ids, format_times, entity_slugs, document_units, context_intervals, sentence_boundaries, sentence_select, overlap_words, subtitle_text, alias_mentions, greedy_numbers, json_flatten, title_words, title_status, render_titles, value_labels, transcript_slice, snapped_intervals)}
+QUERIES = {f.__name__: f for f in (numeric_values, tick_labels, parse_times, video_ids, format_times, entity_slugs, document_units, context_intervals, sentence_boundaries, sentence_select, overlap_words, subtitle_text, alias_mentions, label_pairs, greedy_numbers, json_flatten, title_words, title_status, render_titles, value_labels, transcript_slice, snapped_intervals)}
 
 _ORDERS = """WITH s AS (SELECT l_orderkey AS clip_id, l_linenumber, date_diff('day', DATE '1970-01-01', l_shipdate::DATE)::DOUBLE AS s_start, date_diff('day', DATE '1970-01-01', l_shipdate::DATE) + l_quantity AS s_end FROM lineitem),
 r AS (SELECT o_orderkey AS clip_id, date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::DOUBLE AS r_start, date_diff('day', DATE '1970-01-01', o_orderdate::DATE) + 365.0::DOUBLE AS r_end FROM orders),
@@ -195,7 +205,8 @@ ORACLES = {
     "sentence_select": f"{_ORDERS} SELECT clip_id, l_linenumber, s_start < r_start AS starts_before, s_end > r_end AS ends_after FROM m",
     "overlap_words": f"{_ORDERS} SELECT clip_id, l_linenumber, a - r_start AS visual_start, z - r_start AS visual_end FROM m",
     "subtitle_text": r"SELECT conv_id, regexp_replace(coalesce(string_agg(trim(text), ' ' ORDER BY turn, role, trim(text)) FILTER (WHERE trim(text) <> ''), ''), '\s+', ' ', 'g') AS text, count(*) FILTER (WHERE trim(text) <> '') AS n_parts FROM conversations GROUP BY 1",
-    "alias_mentions": " UNION ALL ".join(f"SELECT doc_id, '{e}' AS entity, strpos(lower(text), '{a}')::BIGINT AS at FROM documents WHERE strpos(lower(text), '{a}') > 0" for e, a in ALIASES),
+    "alias_mentions": "WITH a AS (SELECT DISTINCT item_id AS entity, regexp_extract(lower(text), '[a-z]{6,}') AS alias FROM benchmark) SELECT doc_id, entity, alias, strpos(lower(text), alias)::BIGINT AS at FROM documents, a WHERE alias <> '' AND strpos(lower(text), alias) > 0",
+    "label_pairs": "WITH l AS (SELECT DISTINCT concat_ws(' ', p_type, p_name, p_brand) AS label FROM part), n AS (SELECT concat_ws(', ', p_name, p_type[1] || lower(p_type[2:])) AS name FROM part UNION SELECT concat_ws('-', p_brand, p_name) FROM part), a AS (SELECT label, list_filter(string_split_regex(lower(label), '[^a-z0-9]+'), lambda w: w <> '') AS x FROM l), b AS (SELECT name, list_filter(string_split_regex(lower(name), '[^a-z0-9]+'), lambda w: w <> '') AS y FROM n) SELECT label, name FROM a, b WHERE len(x) > 0 AND len(y) > 0 AND (list_has_all(x, y) OR list_has_all(y, x))",
     "greedy_numbers": _greedy(),
     "json_flatten": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, lag(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k_before FROM events",
     "title_words": "WITH w AS (SELECT p_partkey, list_filter(list_distinct(string_split_regex(lower(p_name), '[^a-z0-9]+')), lambda x: x <> '') AS a, lag(list_filter(list_distinct(string_split_regex(lower(p_name), '[^a-z0-9]+')), lambda x: x <> '')) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS b FROM part) SELECT p_partkey, list_has_all(a, b) OR list_has_all(b, a) AS same FROM w WHERE b IS NOT NULL",
