@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -12,12 +14,6 @@ NUMBER_WORDS = {
     **{w: i for i, w in enumerate("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split())},
     **{w: 10 * i for i, w in enumerate("twenty thirty forty fifty sixty seventy eighty ninety".split(), 2)},
 }
-ANY_WORD = "|".join(sorted(NUMBER_WORDS, key=len, reverse=True))
-ONES_WORD = "|".join(w for w, v in NUMBER_WORDS.items() if v < 10)
-#: A number: not part of a word or of another number; the figure is group 1, what may follow it as a unit group 2.
-NUMBER = r"(?:^|[^\w.])(-?[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?)(\s*(?:%|percent|dollars?|usd|\$|km|miles?|days?|years?|million|billion|thousand|k|m|bn))?"
-#: A number in words, of one word or two.
-WORDED = rf"(?:^|\W)({ANY_WORD})(?:[-\s]+({ONES_WORD}))?(?:\W|$)"
 #: Units in the order in which they are looked for: the pattern that shows them in a lower-case text, and a number's suffix that does. Fixed values.
 UNITS = [
     ("%", "%|percent", None), ("$", r"\$|dollar|usd", None), ("miles", "mile", None), ("km", r"\bkm\b", None), ("day", "day", None), ("years", "year", None),
@@ -25,6 +21,24 @@ UNITS = [
 ]
 
 
+#: The forms of units that may follow a figure: fixed values.
+UNIT_FORMS = {
+    "%": ["%", "percent"], "$": ["$", "usd", "dollar", "dollars"], "miles": ["mile", "miles"], "km": ["km"], "day": ["day", "days"], "years": ["year", "years"],
+    "million": ["million", "m"], "billion": ["billion", "bn"], "thousand": ["thousand", "k"],
+}
+
+
+def one_of(words: Iterable[str]) -> str:
+    """A pattern of alternatives, a longer one before those that it begins with."""
+    return "|".join(re.escape(w) for w in sorted(words, key=lambda w: (-len(w), w)))
+
+
+#: A figure: digits, then threes of them behind commas, then a fraction.
+FIGURE = "-?[0-9]+" + "(?:,[0-9]{3})*" + "(?:[.][0-9]+)?"
+#: A figure that goes on no word or number, as group 1, and the unit right behind it as group 2.
+NUMBER = f"(?:^|[^\\w.])({FIGURE})(\\s*(?:{one_of(f for forms in UNIT_FORMS.values() for f in forms)}))?"
+
+
 def blank_to_null(x: Column) -> Column:
     return F.nullif(F.trim(x), F.lit(""))
 
@@ -37,9 +51,13 @@ def slug(x: Column) -> Column:
 def numeric_value(x: Column) -> Column:
     """The first number of a text; without one, its first number in words; null without any."""
     digits = F.nullif(F.regexp_replace(F.regexp_extract(x, NUMBER, 1), ",", ""), F.lit("")).try_cast("double")
+    # Words and what lies between them, in turn; the first that is a number counts, and one below ten that follows it.
+    pieces = F.regexp_extract_all(F.lower(x), F.lit(r"\w+|\W+"), F.lit(0))
     table = F.create_map(*[F.lit(v) for w, n in NUMBER_WORDS.items() for v in (w, float(n))])
-    said = lambda group: F.try_element_at(table, F.regexp_extract(F.lower(x), WORDED, group))
-    return F.coalesce(digits, said(1) + F.coalesce(said(2), F.lit(0.0)))
+    worth = lambda at: F.try_element_at(table, F.get(pieces, at))
+    at = F.array_position(F.transform(pieces, lambda p: F.try_element_at(table, p).isNotNull()), F.lit(True)).cast("int") - 1
+    more = F.when(F.get(pieces, at + 1).rlike(r"^[-\s]+$") & (worth(at + 2) < 10), worth(at + 2))
+    return F.coalesce(digits, F.when(at >= 0, worth(at) + F.coalesce(more, F.lit(0.0))))
 
 
 def infer_unit(*texts: Column) -> Column:

@@ -168,12 +168,17 @@ def _unit_of(text: str) -> str:
 
 
 _WORD_VALUE = "CASE {} " + " ".join(f"WHEN '{w}' THEN {v}" for w, v in fn.NUMBER_WORDS.items()) + " END"
-_FIRST_WORD, _NEXT_WORD = (_WORD_VALUE.format(f"regexp_extract(lower(text), '{fn.WORDED}', {g})") for g in (1, 2))
+# Words and what lies between them, in turn, and the place of the first number among them.
+_PIECES = r"regexp_extract_all(lower(text), '\w+|\W+')"
+_AT = f"list_position(list_transform({_PIECES}, lambda p: ({_WORD_VALUE.format('p')}) IS NOT NULL), true)"
+_FIRST_WORD = _WORD_VALUE.format(f"{_PIECES}[{_AT}]")
+_NEXT_WORD = rf"CASE WHEN regexp_full_match({_PIECES}[{_AT} + 1], '[-\s]+') AND ({_WORD_VALUE.format(f'{_PIECES}[{_AT} + 2]')}) < 10 THEN {_WORD_VALUE.format(f'{_PIECES}[{_AT} + 2]')} END"
 _FIGURE = f"TRY_CAST(replace(regexp_extract(text, '{fn.NUMBER}', 1), ',', '') AS DOUBLE)"
 # Places of matches: each is set between two control characters, and what lies between those is measured.
 _PLACED = """list_transform(range(2, len({0}) + 1, 2), lambda i: {{'a': coalesce(list_sum(list_transform({0}[1:i - 1], lambda x: length(x))), 0)::BIGINT, 't': {0}[i]}})"""
-_FIGURES = rf"string_split(regexp_replace(text, '(?i)(?:(^)|([^\w.]))(-?[0-9]+(?:,[0-9]{{3}})*(?:\.[0-9]+)?)(\s*(?:%|percent|dollars?|usd|\$|km|miles?|days?|years?|million|billion|thousand|k|m|bn))?', '\1\2' || chr(1) || '\3\4' || chr(1), 'g'), chr(1))"
-_SAID = rf"string_split(regexp_replace(text, '(?i)({narration.SAID.replace('(' + fn.ANY_WORD + ')', '(?:' + fn.ANY_WORD + ')').replace('(' + fn.ONES_WORD + ')', '(?:' + fn.ONES_WORD + ')')})', chr(1) || '\1' || chr(1), 'g'), chr(1))"
+_FIGURES = rf"string_split(regexp_replace(text, '(?i)(?:(^)|([^\w.]))({fn.FIGURE})(\s*(?:{fn.one_of(f for forms in fn.UNIT_FORMS.values() for f in forms)}))?', '\1\2' || chr(1) || '\3\4' || chr(1), 'g'), chr(1))"
+_ANY, _ONES = fn.one_of(fn.NUMBER_WORDS), fn.one_of(w for w, v in fn.NUMBER_WORDS.items() if v < 10)
+_SAID = rf"string_split(regexp_replace(text, '(?i)(\b(?:{_ANY})(?:[\s-]+(?:{_ONES}))?\b)', chr(1) || '\1' || chr(1), 'g'), chr(1))"
 _VAGUE = narration.VAGUE
 
 
@@ -185,7 +190,7 @@ def _greedy() -> str:
         names.append(f"SELECT doc_id, {i} AS i, '{entity}' AS entity, p{i}.v AS value FROM g{len(ALIASES) - 1} WHERE s{i} > 0 AND (p{i} IS NOT NULL OR vague)")
     return rf"""WITH t AS (SELECT doc_id, text, lower(text) AS low, regexp_matches(lower(text), '{_VAGUE}') AS vague, {_FIGURES} AS f, {_SAID} AS w FROM documents WHERE text IS NOT NULL),
 u AS (SELECT *, list_transform({_PLACED.format('f')}, lambda x: {{'a': x.a, 'z': x.a + length(x.t), 'v': replace(regexp_extract(x.t, '-?[0-9,]+(?:\.[0-9]+)?'), ',', '')::DOUBLE}}) AS fs,
-  list_transform({_PLACED.format('w')}, lambda x: {{'a': x.a, 'z': x.a + length(x.t), 'v': ({_WORD_VALUE.format(rf"regexp_extract(lower(x.t), '^({fn.ANY_WORD})', 1)")} + coalesce({_WORD_VALUE.format(rf"regexp_extract(lower(x.t), '^(?:{fn.ANY_WORD})[-\s]+({fn.ONES_WORD})', 1)")}, 0))::DOUBLE}}) AS ws FROM t),
+  list_transform({_PLACED.format('w')}, lambda x: {{'a': x.a, 'z': x.a + length(x.t), 'v': ({_WORD_VALUE.format(rf"regexp_extract(lower(x.t), '^({_ANY})', 1)")} + coalesce({_WORD_VALUE.format(rf"regexp_extract(lower(x.t), '^(?:{_ANY})[-\s]+({_ONES})', 1)")}, 0))::DOUBLE}}) AS ws FROM t),
 n AS (SELECT *, list_sort(list_concat(fs, ws)) AS m FROM u), {', '.join(steps)}
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n, entity, value FROM ({' UNION ALL '.join(names)})"""
 

@@ -289,3 +289,9 @@ def test_quality_layers(spark):
     assert sorted((r["clip_id"], r["severity"], r["issue_code"]) for r in told.collect()) == [("a", "needs_review", "x"), ("a", "needs_review", "y"), ("c", "needs_review", "qc_vlm_bad_response"), ("d", "needs_review", "qc_vlm_failed"), ("e", "needs_review", "qc_vlm_unavailable"), ("f", "hard_fail", "qc_vlm_flagged")]
     every = quality.all_issues(quality.rule_issues(clips), crossed, told)
     assert every.count() == 17 + 6 + 6 and {r["clip_id"]: r["status"] for r in quality.status(every.select("clip_id").distinct(), every, "clip_id").collect()}["b"] == "hard_fail"
+
+
+def test_numbers_in_words():
+    text = "Twenty-one days, one two, seventeen full miles; a hundred. two straight  years and SEVEN\npercent or someone"
+    assert [(text[a:z].strip(), v) for a, z, v in narration.spoken(text)] == [("Twenty-one days", 21), ("one two", 3), ("seventeen full miles", 17), ("two straight  years", 2), ("SEVEN\npercent", 7)]
+    assert [v for _, _, v in narration.spoken("éone six_two 3three twenty--  five")] == [1, 25]
