@@ -47,7 +47,35 @@ def _signatures():
     return automaton
 
 
-def _wav(b: memoryview, at: int) -> Found | None:
+class _Known:
+    """What walks through a value have found out: places that lead nowhere, by a bit a kind of place, and where no end marker follows.
+
+    Walks that begin at different places often come to the same ones. Each
+    place is gone on from once, so all walks together take time in
+    proportion to the value.
+    """
+
+    def __init__(self, size: int):
+        self.size, self.bits, self.endless = size, None, None
+
+    def passed(self, at: int, bit: int) -> bool:
+        """Whether a walk came by before; it was not successful then, as a success goes on behind itself."""
+        if self.bits is None:
+            self.bits = bytearray(self.size)
+        before = self.bits[at] & bit
+        self.bits[at] |= bit
+        return bool(before)
+
+    def end_of_jpeg(self, value: bytes, at: int) -> int:
+        if self.endless is not None and at >= self.endless:
+            return -1
+        found = value.find(b"\xff\xd9", at, *([] if self.endless is None else [self.endless + 1]))
+        if found < 0:
+            self.endless = at
+        return found
+
+
+def _wav(b: memoryview, at: int, known: _Known) -> Found | None:
     """RIFF/WAVE: the size holds, chunks tile it, a PCM format chunk comes before the data, whose length fits the block size."""
     if len(b) - at < 44 or b[at + 8 : at + 12] != b"WAVE":
         return None
@@ -72,7 +100,7 @@ def _wav(b: memoryview, at: int) -> Found | None:
     return Found("audio/wav", at, end - at, *data)
 
 
-def _png(b: memoryview, at: int) -> Found | None:
+def _png(b: memoryview, at: int, known: _Known) -> Found | None:
     """PNG: an IHDR first, every chunk's checksum right, up to IEND."""
     pos, first, data = at + 8, True, None
     while pos + 12 <= len(b):
@@ -89,7 +117,7 @@ def _png(b: memoryview, at: int) -> Found | None:
     return None
 
 
-def _gif(b: memoryview, at: int) -> Found | None:
+def _gif(b: memoryview, at: int, known: _Known) -> Found | None:
     """GIF87a or 89a: colour tables, blocks and sub-blocks lead to the trailer."""
     if len(b) - at < 14 or bytes(b[at + 4 : at + 6]) not in (b"7a", b"9a"):
         return None
@@ -99,6 +127,8 @@ def _gif(b: memoryview, at: int) -> Found | None:
     while pos < len(b):
         if b[pos] == 0x3B:
             return Found("image/gif", at, pos + 1 - at, start, pos - start) if images else None
+        if known.passed(pos, 2 if images else 1):
+            return None
         if b[pos] == 0x21:
             pos += 2
         elif b[pos] == 0x2C and pos + 11 < len(b):
@@ -106,12 +136,14 @@ def _gif(b: memoryview, at: int) -> Found | None:
         else:
             return None
         while pos < len(b) and b[pos]:
+            if known.passed(pos, 8 if images else 4):
+                return None
             pos += 1 + b[pos]
         pos += 1
     return None
 
 
-def _bmp(b: memoryview, at: int) -> Found | None:
+def _bmp(b: memoryview, at: int, known: _Known) -> Found | None:
     """BMP with a 40-byte header or a later one: sizes, planes, depth and the pixel rows fit."""
     if len(b) - at < 54:
         return None
@@ -123,22 +155,22 @@ def _bmp(b: memoryview, at: int) -> Found | None:
     return Found("image/bmp", at, size, data + at, size - data)
 
 
-def _jpeg(b: memoryview, at: int) -> Found | None:
+def _jpeg(b: memoryview, at: int, known: _Known) -> Found | None:
     """JPEG: marker segments with a frame and a scan, up to the end marker. The value is searched in place, nothing is copied."""
     pos, frame = at + 2, False
     while pos + 4 <= len(b) and b[pos] == 0xFF:
         mark, size = b[pos + 1], struct.unpack_from(">H", b, pos + 2)[0]
-        if size < 2 or mark in (0x00, 0xD8, 0xFF):
+        if size < 2 or mark in (0x00, 0xD8, 0xFF) or known.passed(pos, 32 if frame else 16):
             return None
         frame |= 0xC0 <= mark <= 0xCF and mark not in (0xC4, 0xC8, 0xCC)
         pos += 2 + size
         if mark == 0xDA:
-            end = b.obj.find(b"\xff\xd9", pos) if frame else -1
+            end = known.end_of_jpeg(b.obj, pos) if frame else -1
             return Found("image/jpeg", at, end + 2 - at, pos, end - pos) if end >= 0 else None
     return None
 
 
-def _gzip(b: memoryview, at: int) -> Found | None:
+def _gzip(b: memoryview, at: int, known: _Known) -> Found | None:
     """Gzip: the stream inflates to its end with the right checksum."""
     if len(b) - at < 18 or b[at + 3] & 0xE0:
         return None
@@ -165,18 +197,20 @@ def sniff(value: bytes | None, seen: Counter | None = None) -> list[Found]:
 
     Aho-Corasick proposes places by magic bytes; a place counts only if its
     format's structure and lengths hold there. The search goes on after each.
+    Values of any length are searched whole; what GIF and JPEG walks have
+    passed in vain isn't walked again, so many false heads cost no more.
     seen, if given, counts the places of each kind that were proposed.
     """
     if not value:
         return []
-    out, free, view = [], 0, memoryview(value)
+    out, free, view, known = [], 0, memoryview(value), _Known(len(value))
     for last, (kind, size) in _signatures().iter(value.decode("latin-1")):
         at = last - size + 1
         if at < free:
             continue
         if seen is not None:
             seen[kind] += 1
-        if found := _VALID[kind](view, at):
+        if found := _VALID[kind](view, at, known):
             out.append(found)
             free = at + found.length
     return out

@@ -113,3 +113,36 @@ def test_leaks_query_columns(spark):
 
     row = op12_leaks(spark, "/root/testdata/sf0.001").where("contaminated").first()
     assert row and len(row["items_sha256"]) == len(hashlib.sha256().hexdigest())
+
+
+def test_false_heads_of_media_take_time_in_proportion():
+    import time
+
+    from factframe.llm import media
+
+    rng = random.Random(1)
+    gif = lambda n: b"".join(b"GIF87a" + bytes(rng.choice([97, 110, 32, 122]) for _ in range(14)) for _ in range(n // 20))
+    jpeg = lambda n: (b"\xff\xd8\xff\xc0\x00\x04ab\xff\xda\x00\x02" + b"x" * 8) * (n // 20)
+    for make in (gif, jpeg):
+        took = []
+        for n in (200_000, 1_600_000):
+            value = make(n)
+            best = []
+            for _ in range(2):
+                began = time.process_time()
+                assert media.sniff(value) == []
+                best.append(time.process_time() - began)
+            took.append(min(best))
+        assert took[1] < 20 * took[0] + 0.2
+
+
+def test_what_walks_have_passed_changes_no_result(monkeypatch):
+    from factframe.llm import media
+
+    rng = random.Random(3)
+    parts = [b"GIF89a", b"GIF87a\x01\x00\x01\x00\x00\x00\x00", b",\0\0\0\0\1\0\1\0\0\2\2D\1\0", b"!\xfe\3abc\0", b";", b"\0", b"\xff\xd8\xff\xe0\x00\x04ab", b"\xff\xc0\x00\x04ab", b"\xff\xda\x00\x02", b"\xff\xd9", b"q"]
+    values = [b"".join(rng.choice(parts) for _ in range(rng.randrange(1, 40))) for _ in range(3000)]
+    got = [media.sniff(v) for v in values]
+    monkeypatch.setattr(media._Known, "passed", lambda *_: False)
+    monkeypatch.setattr(media._Known, "end_of_jpeg", lambda _, value, at: value.find(b"\xff\xd9", at))
+    assert got == [media.sniff(v) for v in values] and {f.kind for g in got for f in g} == {"image/gif", "image/jpeg"}
