@@ -76,7 +76,7 @@ _LAST = "com|org|net|edu|gov|info|biz|io|ai|co|uk|de|fr|es|eu|us|ca|ch|it|nl|be|
 # Where a disguise may be. Each pattern starts at a character that a run of blanks can't hold, so a text is scanned once.
 _GONE = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff]+")
 _BOXED = re.compile(rf"[\[({{<][ \t]*+(?:(?P<at>at|@|arroba|klammeraffe)|(?P<dot>{_DOTS}|\.))[ \t]*+[\])}}>]", re.IGNORECASE)
-_ENTITY = re.compile(r"&(?:(?P<at>#0*+64;|commat;)|(?P<dot>#0*+46;))", re.IGNORECASE)
+_ENTITY = re.compile(r"&(?:(?P<at>#0*+64;|#x0*+40;|commat;)|(?P<dot>#0*+46;|#x0*+2e;|period;))", re.IGNORECASE)
 _SPOKEN = re.compile(rf"(?<=[A-Za-z0-9])[ \t]++(?:(?P<at>at|arroba)|(?P<dot>{_DOTS}))(?=[ \t])", re.IGNORECASE)
 _PLUS = re.compile(rf"\bplus[ \t]++(?=(?:{_WORD}|[0-9])\b)", re.IGNORECASE)
 _LIKE = re.compile(r"(?<=[0-9])[OoIl](?=[0-9])|(?<![A-Za-z0-9])[OoIl](?=[0-9]{2})|(?<=[0-9]{2})[OoIl](?![A-Za-z0-9])", re.IGNORECASE)
