@@ -95,20 +95,21 @@ class Model:
         return out.astype(np.float32), letters
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model:
     """Learn from rows with a language, about `per_language` of each, picked by a hash of the key.
 
     The sample is bounded, so is the model: (bucket, language) sums, made in
-    each task and added up before they reach the driver, for at most
-    MAX_LANGUAGES languages; more are an error. Null texts teach
-    nothing; rows without a language are left out; without any, the model
+    each task and added up before they reach the driver, one packed row a
+    language, for at most `max_languages` languages, which bounds the model
+    at 256 KB each; more are an error, and mean a higher bound. Null texts
+    teach nothing; rows without a language are left out; without any, the model
     knows no language.
     """
     known = docs.where(F.col(lang).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    totals = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    totals = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(max_languages + 1).collect()}
     names = sorted(totals)
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if len(names) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
     if not names:
         return Model([], np.zeros((1 << BUCKET_BITS, 0)), np.zeros((len(SCRIPTS) + 1, 0), bool))
     share = F.create_map(*[F.lit(x) for name in names for x in (name, min(1.0, per_language / totals[name]))])
@@ -131,8 +132,10 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
                 yield pd.DataFrame({"lang": name, "feature": at, "n": both[at]})
 
     table = np.zeros(((1 << BUCKET_BITS) + len(SCRIPTS), len(names)))
-    for r in drawn.mapInPandas(count, "lang string, feature int, n double").groupBy("lang", "feature").agg(F.sum("n").alias("n")).collect():
-        table[r["feature"], names.index(r["lang"])] = r["n"]
+    sums = drawn.mapInPandas(count, "lang string, feature int, n double").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
+    at = {name: i for i, name in enumerate(names)}
+    for r in sums.groupBy("lang").agg(F.collect_list("feature").alias("features"), F.collect_list("n").alias("ns")).toLocalIterator():
+        table[r["features"], at[r["lang"]]] = r["ns"]
     grams, scripts = table[: 1 << BUCKET_BITS] + 0.3, table[1 << BUCKET_BITS :]
     uses = np.vstack([scripts > 0.01 * np.maximum(scripts.sum(0), 1), np.zeros(len(names), bool)])
     return Model(names, np.log(grams / grams.sum(0)), uses)

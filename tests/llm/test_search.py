@@ -146,3 +146,20 @@ def test_what_walks_have_passed_changes_no_result(monkeypatch):
     monkeypatch.setattr(media._Known, "passed", lambda *_: False)
     monkeypatch.setattr(media._Known, "end_of_jpeg", lambda _, value, at: value.find(b"\xff\xd9", at))
     assert got == [media.sniff(v) for v in values] and {f.kind for g in got for f in g} == {"image/gif", "image/jpeg"}
+
+
+def test_hex_entities_are_disguises():
+    from factframe.llm.pii import find_pii
+
+    text = "mail jane&#x40;example&#x2E;com or joe&#X0040;site&period;org now"
+    _, both = find_pii(text)
+    assert [text[a:z] for a, z in both["email"]] == ["jane&#x40;example&#x2E;com", "joe&#X0040;site&period;org"]
+
+
+def test_more_languages_than_the_bound(spark):
+    from factframe.llm.langid import fit
+
+    docs = spark.createDataFrame([(i, f"words of {i}", f"l{i % 3}") for i in range(30)], "doc_id long, text string, lang string")
+    assert fit(docs, max_languages=3).languages == ["l0", "l1", "l2"]
+    with pytest.raises(ValueError, match="more than 2"):
+        fit(docs, max_languages=2)
