@@ -19,6 +19,29 @@ def combined_score(signals: dict[str, Column]) -> Column:
     return out
 
 
+#: Chart types whose later frames are preferred: fixed values.
+LATE = ["bar", "line", "pie", "donut", "combined"]
+
+
+def best_first(chart_type: Column, late: list[str] = LATE) -> list[Column]:
+    """Sort keys of scored frames, the best one first, for ordering.first_rows().
+
+    Frames have flags target, scene_change, complete, cropped, final and
+    readable, scores completeness, finality and combined, and timestamp and
+    duration. In turn count: the chart that is looked for, no change of
+    scene, a complete one, nothing cropped, the final state, completeness and
+    finality, both within 0 and 1, readable marks, for some chart types how
+    late the frame is, and the combined score. Missing flags are false,
+    missing scores 0.
+    """
+    yes = lambda c: F.coalesce(F.col(c), F.lit(False))
+    share = lambda c: F.least(F.greatest(F.coalesce(F.col(c), F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
+    position = F.when(F.col("duration") > 0, F.col("timestamp") / F.col("duration")).otherwise(0.0)
+    lateness = F.when(F.lower(chart_type).isin(late), position).otherwise(0.0)
+    keys = [yes("target"), ~yes("scene_change"), yes("complete"), ~yes("cropped"), yes("final"), share("completeness"), share("finality"), yes("readable"), lateness, F.coalesce("combined", F.lit(0.0))]
+    return [key.desc() for key in keys]
+
+
 def motion(frames: DataFrame, by: list[str], order: str, pixels: str, chunk: int | None = None) -> DataFrame:
     """Mean difference of each frame from its neighbours: the mean over one or two of the mean absolute difference.
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import quality, visual
+from ..operators import keyframes, models, quality, visual
+from ..operators.ordering import first_rows
 from .adapters import read
 
 
@@ -60,7 +61,31 @@ def layered_status(spark: SparkSession, d: str) -> DataFrame:
     return quality.status(read(spark, d, "orders").select(F.col("o_orderkey").alias("clip_id")), issues, "clip_id")
 
 
-QUERIES = {f.__name__: f for f in (visual_records, cross_issues, model_issues, layered_status)}
+def merged_charts(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as charts that each line is a reading of, with a row of its own."""
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    none = F.lit(None).cast("string")
+    lines = read(spark, d, "lineitem").select("*", k.alias("clip_id"), (n - 1 + F.when(k % 10 == 0, 1).otherwise(0)).alias("source"))
+    part = lambda m, name: F.when((F.col("l_suppkey") + n) % m == 0, F.concat(F.lit(name), n.cast("string"))).when(n % 2 == 0, "")
+    readings = lines.select("clip_id", "source", part(2, "T").alias("title"), part(3, "U").alias("unit"), part(5, "X").alias("x_axis"), part(7, "Y").alias("y_axis"), (k % 6 == 0).alias("temporal_change"), F.lit(None).cast("boolean").alias("needs_manual_data"), F.when(n == 4, 2).otherwise(0).alias("n_manual"))
+    rows = lines.where("l_linenumber % 4 <> 1 OR l_orderkey % 3 = 0").select(
+        "clip_id", "source", F.lit(0).alias("ord"), F.when(n % 3 == 0, F.year("l_shipdate").cast("string")).alias("year"), F.when(F.col("l_linestatus") == "F", "").otherwise(none).alias("state"), F.col("l_returnflag").alias("label"),
+        *[none.alias(c) for c in ("series", "x", "y", "value", "unit", "raw_text", "source_frame", "time_seconds")],
+    )
+    return models.merged_charts(readings, rows, "clip_id")
+
+
+def keyframe_rank(spark: SparkSession, d: str) -> DataFrame:
+    """The best line of each order as a scored frame."""
+    n, q, p = F.col("l_linenumber"), F.col("l_quantity").cast("long"), F.col("l_suppkey")
+    frames = read(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", (q % 3 > 0).alias("target"), F.when(q % 5 > 0, q % 5 == 1).alias("scene_change"), (p % 2 == 0).alias("complete"), (p % 3 == 0).alias("cropped"), (q % 2 == 0).alias("final"), (q % 4 / 2).alias("completeness"), F.when(p % 4 > 0, p % 4 / 4).alias("finality"),
+        (n % 2 == 0).alias("readable"), n.cast("double").alias("timestamp"), F.when(F.col("l_orderkey") % 9 > 0, 8.0).otherwise(0.0).alias("duration"), F.col("l_discount").alias("combined"), F.when(F.col("l_orderkey") % 2 == 0, "Bar").otherwise("map").alias("chart_type"),
+    )
+    return first_rows(frames, ["l_orderkey"], [*keyframes.best_first(F.col("chart_type")), F.col("l_linenumber")]).select("l_orderkey", "l_linenumber")
+
+
+QUERIES = {f.__name__: f for f in (visual_records, cross_issues, model_issues, layered_status, merged_charts, keyframe_rank)}
 
 _CROSS = """WITH s AS (SELECT l_orderkey AS clip_id, 's' || (l_linenumber % 3) AS state_id, l_returnflag AS entity_id, CASE WHEN l_orderkey % 4 = 0 THEN 'share' ELSE 'value' END AS metric FROM lineitem),
 v AS (SELECT *, CASE WHEN state_id IS NULL THEN clip_id::VARCHAR ELSE clip_id || '-' || state_id END AS path, clip_id + coalesce(length(state_id) + ascii(state_id[2]), 0) AS m FROM (SELECT o_orderkey AS clip_id, NULL::VARCHAR AS state_id FROM orders UNION ALL SELECT DISTINCT clip_id, state_id FROM s)),
@@ -86,6 +111,15 @@ m AS (SELECT clip_id, ord, coalesce(year::VARCHAR, state) AS state_key, coalesce
 k AS (SELECT *, trim(regexp_replace(lower(entity), '[^a-z0-9]+', '-', 'g'), '-') AS entity_id FROM m WHERE entity IS NOT NULL AND NOT caption),
 s AS (SELECT clip_id, state_start, entity_id, list_sort(list(DISTINCT value)) AS vs FROM k GROUP BY ALL), x AS (SELECT *, count(*) OVER (PARTITION BY clip_id, state_start, vs) AS same FROM s WHERE len(vs) > 1)
 SELECT clip_id, ord, state_key, entity_id, entity, metric, value, unit, state_start, confidence, evidence_text FROM k WHERE NOT EXISTS (SELECT 1 FROM x WHERE same > 1 AND x.clip_id = k.clip_id AND x.state_start = k.state_start AND x.entity_id = k.entity_id)""",
+    "merged_charts": """WITH l AS (SELECT *, l_orderkey AS clip_id, l_linenumber - 1 + (l_orderkey % 10 = 0)::INTEGER AS source FROM lineitem),
+g AS (SELECT *, CASE WHEN (l_suppkey + l_linenumber) % 2 = 0 THEN 'T' || l_linenumber END AS title, CASE WHEN (l_suppkey + l_linenumber) % 3 = 0 THEN 'U' || l_linenumber END AS u, CASE WHEN (l_suppkey + l_linenumber) % 5 = 0 THEN 'X' || l_linenumber END AS x, CASE WHEN (l_suppkey + l_linenumber) % 7 = 0 THEN 'Y' || l_linenumber END AS y FROM l),
+t AS (SELECT clip_id, arg_min(title, source) FILTER (WHERE title IS NOT NULL) AS title, arg_min(u, source) FILTER (WHERE u IS NOT NULL) AS unit, arg_min(x, source) FILTER (WHERE x IS NOT NULL) AS x_axis, arg_min(y, source) FILTER (WHERE y IS NOT NULL) AS y_axis, max(l_linenumber) >= 4 AND bool_or(l_linenumber = 4) AS manual FROM g GROUP BY 1 HAVING bool_or(source = 0)),
+r AS (SELECT clip_id, source, CASE WHEN l_linenumber % 3 = 0 THEN year(l_shipdate)::VARCHAR END AS year, CASE WHEN l_linestatus = 'F' THEN '' END AS state, l_returnflag AS label FROM l WHERE l_linenumber % 4 <> 1 OR l_orderkey % 3 = 0),
+k AS (SELECT * FROM r QUALIFY source = 0 OR row_number() OVER (PARTITION BY clip_id, year, state, label ORDER BY source) = 1),
+h AS (SELECT clip_id, count(*) AS n, count(DISTINCT CASE WHEN year <> '' OR state <> '' THEN coalesce(year, '~') || '|' || coalesce(state, '~') END) AS pairs FROM k GROUP BY 1)
+SELECT clip_id, title, unit, x_axis, y_axis, coalesce(n, 0)::BIGINT AS n_rows, coalesce(n, 0) > 0 AS has_extractable_data, manual AS needs_manual_data, clip_id % 6 = 0 OR coalesce(pairs, 0) > 1 AS temporal_change FROM t LEFT JOIN h USING (clip_id)""",
+    "keyframe_rank": """SELECT l_orderkey, l_linenumber FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity::BIGINT % 3 > 0 DESC, l_quantity::BIGINT % 5 <> 1 DESC, l_suppkey % 2 = 0 DESC, l_suppkey % 3 <> 0 DESC, l_quantity::BIGINT % 2 = 0 DESC,
+  least(l_quantity::BIGINT % 4 / 2, 1) DESC, l_suppkey % 4 / 4 DESC, l_linenumber % 2 = 0 DESC, CASE WHEN l_orderkey % 2 = 0 AND l_orderkey % 9 > 0 THEN l_linenumber / 8 ELSE 0 END DESC, l_discount DESC, l_linenumber) = 1""",
     "cross_issues": f"{_CROSS} SELECT * FROM i",
     "model_issues": _MODEL,
     "layered_status": f"""{_CROSS}, al AS (SELECT clip_id, severity, issue_code FROM i UNION ALL SELECT * FROM ({_MODEL})), r AS (SELECT clip_id, count(*) AS n, bool_or(severity = 'hard_fail') AS hard, string_agg(DISTINCT issue_code, '|' ORDER BY issue_code) AS codes FROM al GROUP BY 1)
