@@ -86,7 +86,7 @@ def templates() -> list[tuple[str, list[str]]]:
 
 
 #: Bigrams of a template's start by which a line begins a run of lines, and words from which templates are met across lines.
-OPENING, RUN_WORDS = 4, 20
+OPENING, RUN_WORDS = 4, 2
 
 
 def openings() -> list[tuple[int, list[str]]]:
@@ -127,7 +127,10 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", dice
     it, and runs of lines: for each template of RUN_WORDS words or more, a
     line that holds one of the first OPENING bigrams of it starts the shortest
     run of two lines or more that has as many words, or what is left of the
-    text. So a notice is met however it is wrapped, whatever stands round it.
+    text. So a notice is met however it is wrapped, whatever stands round it,
+    as long as one of those bigrams stands in one line. Of a unit's matches
+    the best one stays, with those equal to it, as templates of a licence's
+    versions differ by a word.
     A unit is normalised; only one with an anchor word and a bigram count m
     within some template's size bounds, n dice / (2 - dice) to n (2 - dice) /
     dice, is compared, and only with the templates whose bounds hold, a run
@@ -198,6 +201,8 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", dice
         return F.filter(scored, lambda s: s["dice"] >= dice - 1e-12)
 
     out = found.select("__key", sized.alias("units")).select("__key", F.flatten(F.transform("units", against)).alias("matches"))
+    beaten = lambda m: F.exists("matches", lambda o: (o["unit"] == m["unit"]) & (o["dice"] > m["dice"]))
+    out = out.withColumn("matches", F.filter("matches", lambda m: ~beaten(m)))
     best = F.array_min(F.transform("matches", lambda s: F.struct((-s["dice"]).alias("less"), s["unit"].alias("unit"), s["license"].alias("license"))))
     return out.select(
         F.col("__key").alias(key),

@@ -210,7 +210,7 @@ m AS (
 b AS (
   SELECT r, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
     arg_min(license, (-dice, unit, license)) AS best_license, round(max(dice), 6) AS best_dice
-  FROM m WHERE dice >= 0.8 GROUP BY r)
+  FROM (SELECT * FROM m WHERE dice >= 0.8 QUALIFY dice = max(dice) OVER (PARTITION BY r, unit)) GROUP BY r)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_matches, coalesce(licenses, '') AS licenses, best_license, best_dice
 FROM l LEFT JOIN b USING (r)
 """
