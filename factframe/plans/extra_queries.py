@@ -74,7 +74,7 @@ def chart_dispatch(spark: SparkSession, d: str) -> DataFrame:
 
 def xml_texts(spark: SparkSession, d: str) -> DataFrame:
     """Conversations as XML content, those with any text."""
-    rows = read(spark, d, "conversations").where(fn.any_filled(F.col("role"), F.col("text")) & fn.kept(F.col("turn") < 6))
+    rows = read(spark, d, "conversations").where(fn.any_filled(F.col("role"), F.col("text")) & fn.kept(F.col("role") != "system"))
     return rows.select("conv_id", "turn", "role", F.sha2(fn.xml_escaped(F.col("text")), 256).alias("escaped"))
 
 
@@ -142,7 +142,7 @@ SELECT p_partkey, round(greatest(y + (c0 - x) * CASE WHEN x1 IS NOT NULL THEN (y
     "densest_attempt": "SELECT user_id, event_type, count(*) AS rows FROM events GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, event_type) = 1",
     "year_ranks": "WITH l AS (SELECT o_custkey, o_orderkey, year(o_orderdate) AS y, CASE o_orderkey % 3 WHEN 0 THEN printf('%d-%02d', year(o_orderdate), (year(o_orderdate) + 1) % 100) WHEN 1 THEN 'in ' || year(o_orderdate) ELSE o_orderpriority END AS label FROM orders) SELECT o_custkey, o_orderkey, label, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 3 = 2, CASE WHEN o_orderkey % 3 = 2 THEN 0 ELSE y END, label, o_orderkey) AS rank FROM l",
     "chart_dispatch": f"WITH t AS (SELECT o_orderkey, {_KINDS.format('o_orderkey')} AS a, {_KINDS.format('o_orderkey // 6 + o_custkey')} AS b FROM orders), f AS (SELECT *, {_FAMILY.format('a')} AS fa, {_FAMILY.format('b')} AS fb FROM t) SELECT o_orderkey, CASE WHEN fb <> 'unknown' THEN fb ELSE fa END AS processor, a AS declared_type, (fa = 'unknown' AND fb = 'unknown') OR b = '' OR fb = 'unknown' OR fa = fb AS consistent FROM f",
-    "xml_texts": "SELECT conv_id, turn, role, sha256(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(34), '&quot;'), chr(39), '&apos;')) AS escaped FROM conversations WHERE (coalesce(role, '') <> '' OR coalesce(text, '') <> '') AND coalesce(turn < 6, true)",
+    "xml_texts": "SELECT conv_id, turn, role, sha256(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(34), '&quot;'), chr(39), '&apos;')) AS escaped FROM conversations WHERE (coalesce(role, '') <> '' OR coalesce(text, '') <> '') AND coalesce(role <> 'system', true)",
     "bounded_frames": "WITH e AS (SELECT user_id, epoch_us(ts) // 3600000000 AS hour, event_type FROM events), c AS (SELECT DISTINCT user_id, hour FROM e WHERE event_type = 'click'), b AS (SELECT user_id, min(hour) AS hour FROM e GROUP BY 1 UNION SELECT user_id, max(hour) FROM e GROUP BY 1) SELECT user_id, hour, false AS added FROM c UNION ALL SELECT user_id, hour, true FROM b WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.user_id = b.user_id AND c.hour = b.hour)",
     "clip_issues": "WITH k AS (SELECT o_orderkey AS clip_id, o_orderkey AS k, coalesce(n, 0) AS n FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey) " + " UNION ALL ".join(_RULES),
 }
