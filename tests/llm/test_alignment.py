@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -71,20 +72,30 @@ def test_equal_to_whole_texts(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=repr) == want
 
 
-def test_whole_texts_where_pieces_go_across_spaces(spark, monkeypatch):
-    monkeypatch.setattr(alignment.pair(A, B), "apart", False)
-    rows = [(i, t) for i, t in enumerate(texts()[:40])]
-    got = alignment.align_tokenizers(spark.createDataFrame(rows, "doc_id long, text string"), A, B)
-    assert sorted(map(tuple, got.collect()), key=repr) == plain(rows)
+@pytest.mark.parametrize("apart", [True, False])
+def test_runs_have_the_tokens_that_whole_texts_have(monkeypatch, apart):
+    """Without Spark: runs joined or alone, and whole texts where pieces go across spaces."""
+    both = alignment.pair(A, B)
+    monkeypatch.setattr(both, "apart", apart)
+    cut = re.compile(alignment._CUT)
+    for text in filter(None, texts()[:120]):
+        whole = " " + text
+        places = [0, *(m.start() for m in cut.finditer(whole)), len(whole)] if apart else [0, len(whole)]
+        runs = [whole[a:z] for a, z in zip(places, places[1:])]
+        (ids_a, ends_a), (ids_b, ends_b) = both.encode(runs)
+        assert len(ends_a) == len(ends_b) == len(runs) + 1
+        if (ends_a[1:] > ends_a[:-1]).all():  # else some run's bytes differ, and so do the text's
+            assert ids_a.tolist() == both.a.encode(whole, add_special_tokens=False).ids and ids_b.tolist() == both.b.encode(text)
+        else:
+            assert groups_of(text) == []
 
 
 def test_empty_table(spark):
     assert alignment.align_tokenizers(spark.createDataFrame([], "doc_id long, text string"), A, B).count() == 0
 
 
-@pytest.mark.parametrize("scale", ["sf0.001"])
-def test_query_equals_the_plain_version(spark, scale):
-    d = f"/root/testdata/{scale}"
+def test_query_equals_the_plain_version(spark):
+    d = "/root/testdata/sf0.001"
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     want = [(*w[:-1], hashlib.sha256(w[-1].encode()).hexdigest() if w[-1] else "") for w in plain(rows)]
     assert sorted(map(tuple, op13_alignment(spark, d).collect()), key=repr) == sorted(want, key=repr)
