@@ -32,10 +32,15 @@ def groups_of(text: str | None) -> list[tuple[list[int], list[int]]]:
             own.append((at, i))
         ends.append(own)
     cuts = sorted({e for e, _ in ends[0]} & {e for e, _ in ends[1]})
-    out, before = [], 0
+    out, at = [], [0, 0]
     for cut in cuts:
-        out.append(tuple([i for e, i in own if before < e <= cut] for own in ends))
-        before = cut
+        group = []
+        for side, own in enumerate(ends):
+            first = at[side]
+            while at[side] < len(own) and own[at[side]][0] <= cut:
+                at[side] += 1
+            group.append([i for _, i in own[first : at[side]]])
+        out.append(tuple(group))
     return out
 
 
