@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .operators import facts as op
 from .operators import narration, quality
+from .operators import reviewed as overlay
 from .operators.visual import visual_facts, with_frames
 from .sources import config, tables
 
@@ -80,12 +81,18 @@ def check(spark: SparkSession, cfg: dict) -> None:
 
 
 def reviewed(spark: SparkSession, cfg: dict) -> None:
-    """Where the latest review sends each clip, and the final values of those accepted."""
+    """Where the latest review sends each clip, the final values of those accepted, and clips and chart rows with the review's own laid over."""
     log = tables.read_reviews(spark, cfg["reviews"], cfg["sample_id"]).withColumn("clip_id", F.get_json_object("original_value", "$.clip_id"))
-    latest = quality.latest(log.select("clip_id", "id", "decision", "reviewed_at"), "clip_id", ["reviewed_at", "id"])
-    routed = quality.route(_read(spark, cfg, "clips").select("clip_id"), latest, "clip_id", "decision")
+    latest = quality.latest(log.drop("sample_id", "stage", "original_value", "model_version", "config_hash"), "clip_id", ["reviewed_at", "id"])
+    clips = _read(spark, cfg, "clips")
+    routed = quality.route(clips.select("clip_id"), latest.select("clip_id", "id", "decision", "reviewed_at"), "clip_id", "decision")
     _write(routed, cfg, "routes")
     _write(_read(spark, cfg, "final_table").join(routed.where("route = 'accepted'").select("clip_id"), "clip_id", "left_semi"), cfg, "accepted_values")
+    fields = F.from_json(F.to_json(F.struct(*[c for c in clips.columns if c != "clip_id"])), "map<string, string>")
+    _write(overlay.judged(clips.select("clip_id", fields.alias("fields"), F.lit(None).cast("string").alias("narration_status")), latest), cfg, "judged")
+    found = _read(spark, cfg, "judged")
+    _write(overlay.overlaid(found), cfg, "reviewed_clips")
+    _write(overlay.reviewed_rows(found), cfg, "reviewed_rows")
 
 
 COMMANDS = {"context": context, "assets": assets, "quality": check, "reviewed": reviewed}

@@ -43,9 +43,9 @@ def blank_to_null(x: Column) -> Column:
     return F.nullif(F.trim(x), F.lit(""))
 
 
-def slug(x: Column) -> Column:
-    """Lower-case letters and digits joined by dashes; `unknown` where none is left."""
-    return F.coalesce(F.nullif(F.trim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", "-"), F.lit("-")), F.lit("")), F.lit("unknown"))
+def slug(x: Column, none: str = "unknown") -> Column:
+    """Lower-case letters and digits joined by dashes; `none` where nothing is left."""
+    return F.coalesce(F.nullif(F.trim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", "-"), F.lit("-")), F.lit("")), F.lit(none))
 
 
 def numeric_value(x: Column) -> Column:

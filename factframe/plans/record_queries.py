@@ -154,6 +154,9 @@ c3 AS (SELECT * FROM c2 QUALIFY NOT (bool_or(source_type = 'visual_frame_align')
 c4 AS (SELECT c3.* FROM c3 WHERE bar OR NOT EXISTS (SELECT 1 FROM c1 WHERE c1.clip_id = c3.clip_id AND c1.state = c3.state AND c1.lb = 'value')),
 c5 AS (SELECT *, count(DISTINCT entity_id) OVER (PARTITION BY clip_id, state) AS n, bool_or(bar) OVER (PARTITION BY clip_id, state) AS anybar FROM c4)"""
 
+#: The states of events, for queries elsewhere.
+STATES_SQL = _STATES
+
 ORACLES = {
     "fuse_sources": f"""{_R}, x AS (SELECT *, (source_type = 'narration')::INTEGER AS said, coalesce(value::VARCHAR, '~') || '|' || unit AS k FROM r WHERE source_type IN ('visual', 'narration')), p AS (SELECT *, row_number() OVER (PARTITION BY clip_id, entity_id ORDER BY said, ord) AS i FROM x),
 j AS (SELECT a.clip_id, a.entity_id, a.i, min(b.k) FILTER (WHERE b.i <= a.i) <> max(b.k) FILTER (WHERE b.i <= a.i) AS mixed, arg_max(b.k, b.i) FILTER (WHERE b.said = 1 AND b.i > a.i) AS last_k, bool_or(b.said = 1 AND b.i > a.i AND b.k = a.k) AS same,
