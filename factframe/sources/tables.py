@@ -37,10 +37,10 @@ def read_or_empty(spark: SparkSession, path: str, schema: str, form: str = "json
 def read_clips(spark: SparkSession, path: str) -> DataFrame:
     """Clips from annotation CSV files: rows with a link and sound bounds, the first of each clip, numbered by chart type.
 
-    Rows are ordered by file name, then by the split's place in the file and
+    A quote inside a quoted field is doubled. Rows are ordered by file name, then by the split's place in the file and
     the row's in the split, which needs no pass over the data.
     """
-    raw = spark.read.option("header", True).option("encoding", "UTF-8").schema(CLIP_CSV).csv(path)
+    raw = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"').schema(CLIP_CSV).csv(path)
     at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
     rows = raw.withColumn("at", at).where(blank_to_null(F.col("Link")).isNotNull()).select(
         "at", F.coalesce(F.nullif(F.lower(F.trim("ChartType")), F.lit("")), F.lit("unknown")).alias("chart_type"), F.trim("Title").alias("raw_video_title"),

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +31,15 @@ def kept(df: DataFrame) -> DataFrame:
     """
     with_folder(df.sparkSession)
     return df.checkpoint()
+
+
+@contextmanager
+def folder(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own within the checkpoint folder, on storage that all executors share, gone with all that is in it at the end."""
+    with_folder(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

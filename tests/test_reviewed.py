@@ -5,7 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from factframe.operators import metadata, reviewed
+from factframe.operators import metadata, narration, reviewed
+from factframe.sources import tables
 
 STATES = "clip_id bigint, place bigint, state_key string, state_label string, state_id string, entity_id string, entity string, metric string, value double, unit string, source_type string, confidence double"
 
@@ -72,3 +73,18 @@ def test_reviewed_rows_replace_a_clips_own(spark, found):
     got = sorted((r["clip_id"], r["ord"], r["row"]["label"]) for r in reviewed.corrected(own, found).collect())
     assert got == [("a", 0, "CAR"), ("a", 4, "BUS"), ("f", 0, "own"), ("f", 1, "own")]
     assert reviewed.overlaid(found.where(F.lit(False))).count() == reviewed.reviewed_rows(found.where(F.lit(False))).count() == 0
+
+
+def test_frames_of_sentences_without_bounds(spark):
+    """All frames of the clip count, those after a known end too; a long clip's frames meet by time."""
+    said = spark.createDataFrame([("a", "1", None, 1.0), ("a", "2", 2.0, None), ("a", "3", 3.0, 4.0), ("a", "4", 4.0, 3.0), ("b", "5", 0.0, 1.0)], "clip_id string, sentence_id string, start double, end double")
+    frames = spark.createDataFrame([("a", i, f"f{i}", None if i == 1 else float(i), None) for i in range(200)], "clip_id string, idx bigint, source_frame string, time_seconds double, path string")
+    for width in (None, 0.5, 60.0):
+        got = {r["sentence_id"]: [f["frame_id"] for f in r["evidence_frames"]] for r in narration.frames_during(said, frames, width=width).collect()}
+        assert got == {"1": ["f0", "f2", "f3"], "2": ["f0", "f2", "f3"], "3": ["f3", "f4"]}
+
+
+def test_clips_from_a_csv_with_quotes(spark, tmp_path):
+    (tmp_path / "c.csv").write_text('Link,Start,End,ChartType,Title,Author,Year,SourceWebsite,ID\nhttps://youtu.be/a,3,10,Bar,"The ""best"", they say",X,2001,w,1\n')
+    (clip,) = tables.read_clips(spark, str(tmp_path)).collect()
+    assert (clip["raw_video_title"], clip["channel"], clip["year"]) == ('The "best", they say', "X", 2001)
