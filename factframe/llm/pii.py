@@ -86,9 +86,15 @@ _BLANKS = re.compile(r"[ \t]*+")
 
 # What may stand between two of them.
 _LABEL = re.compile("[A-Za-z0-9-]+")
+_LABELS_OF = re.compile("[A-Za-z0-9.-]")
 _MAILBOX = re.compile("[A-Za-z0-9_-]+")
 _LABELS = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+")
 _ENDS = re.compile(rf"(?:{_LAST})\b", re.IGNORECASE)
+#: Any country's label, and a domain that has a last label already.
+_COUNTRY = re.compile(r"[A-Za-z]{2}\b")
+_ENDED = re.compile(rf"\.(?:{_LAST})\Z", re.IGNORECASE)
+#: No domain is longer.
+_DOMAIN_CHARS = 253
 _WRITTEN = re.compile(rf"(?:[A-Za-z0-9-]++\.)+(?:{_LAST})\b", re.IGNORECASE)
 #: A word before a plain `at` and a written domain that reads like a mailbox, not like prose: it holds a digit, dot or underscore.
 _NAMED = re.compile(r"[A-Za-z0-9%+-]*[0-9._][A-Za-z0-9._%+-]*")
@@ -147,7 +153,8 @@ def _places(text: str) -> list[_Mark]:
 def _marks(text: str) -> list[_Mark]:
     """The marks that are disguises: one pass from the right for what follows, one from the left for digit words.
 
-    A spoken dot counts before a last label, between the labels of a spoken
+    A spoken dot counts before a last label, which may be any two letters
+    where a sign or a certain `at` stands before the domain; between the labels of a spoken
     domain or mailbox, and before a digit. A spoken `at` counts before a
     domain with a disguised dot, or, after a mailbox, before a written one.
     Digit words count beside a digit, a digit word or another disguise.
@@ -155,6 +162,13 @@ def _marks(text: str) -> list[_Mark]:
     marks = _places(text)
     n = len(marks)
     keep = [m.sure for m in marks]
+    # Whether a dot's domain follows an @ or an at that is sure.
+    certain, p = [False] * n, -1
+    for i, m in enumerate(marks):
+        if m.kind == "dot":
+            certain[i] = _after_at(text, m.start, marks[p] if p >= 0 and (certain[p] or marks[p].kind == "at" and marks[p].sure) else None)
+        if m.kind in ("at", "dot"):
+            p = i
     # Of the next at or dot, j: whether it is a dot whose labels lead to a last label by spoken dots; one that ends a
     # domain; an at before a domain with a disguised dot; a spoken dot of a mailbox before such an at.
     j, ends, tail, domain, mailbox = n, False, False, False, False
@@ -164,7 +178,7 @@ def _marks(text: str) -> list[_Mark]:
             continue
         stop = marks[j].start if j < n else len(text)
         if m.kind == "dot":
-            last = not m.sure and bool(_ENDS.match(text, m.end))
+            last = not m.sure and bool(_ENDS.match(text, m.end) or certain[i] and _COUNTRY.match(text, m.end))
             box = (domain and not marks[j].sure or mailbox) and bool(_MAILBOX.fullmatch(text, m.end, stop))
             up = last or not m.sure and ends and not marks[j].sure and bool(_LABEL.fullmatch(text, m.end, stop))
             tail = last or m.sure and bool(_LABEL.match(text, m.end)) or tail and bool(_LABELS.fullmatch(text, m.end, stop))
@@ -183,6 +197,16 @@ def _marks(text: str) -> list[_Mark]:
     return [m for m, k in zip(marks, keep) if k]
 
 
+def _after_at(text: str, end: int, before: _Mark | None) -> bool:
+    """Whether the labels that end here follow a mailbox and its @, or the mark given, and lack a last label."""
+    start, least = end, max(0, end - _DOMAIN_CHARS)
+    while start > least and _LABELS_OF.match(text, start - 1):
+        start -= 1
+    if start == end or _ENDED.search(text, start, end):
+        return False
+    return start > 1 and text[start - 1] == "@" and bool(_LOCAL.match(text, start - 2)) or before is not None and before.end == start
+
+
 def _named(text: str, end: int) -> bool:
     """Whether the word that ends here reads like a mailbox."""
     start = end

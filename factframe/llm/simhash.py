@@ -103,14 +103,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", di
     Equal fingerprints are one class, pre-aggregated before any join, so
     thousands of copies cost one table entry. component_id is the smallest
     key in reach of links, itself included. Null and wordless texts share
-    fingerprint zero and are linked like any other. Rows with a null key keep
-    their fingerprint and take the class's component. Empty tables give no
-    rows; other columns of docs are ignored.
+    fingerprint zero and are linked like any other. Rows with a null key
+    link others as any row does, keep their fingerprint and take the
+    component's id, null where no row of the component has a key. A very long
+    text is hashed in parts, so it takes its own memory and little more.
+    Empty tables give no rows; other columns of docs are ignored.
     """
     prints = _prints(docs, key, text, shingle)
-    classes = prints.groupBy("fp").agg(F.min("__key").alias("rep")).where("rep IS NOT NULL")
-    found = connected_components(hamming_links(classes, distance, segments))
-    labels = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    classes = prints.groupBy("fp").agg(F.min("__key").alias("first"))
+    found = connected_components(hamming_links(classes.select("fp", F.col("fp").alias("rep")), distance, segments)).toDF("fp", "part")
+    parts = classes.join(found, "fp", "left").select("fp", "first", F.coalesce("part", "fp").alias("part"))
+    labels = parts.select("fp", "part").join(parts.groupBy("part").agg(F.min("first").alias("component_id")), "part").drop("part")
     return prints.join(labels, "fp", "left").select(F.col("__key").alias(key), hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 

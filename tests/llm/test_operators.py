@@ -49,6 +49,14 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
+def test_simhash_through_rows_without_a_key(spark, monkeypatch):
+    """Fingerprints that only rows without a key have link others; a component of such rows only has no id."""
+    rows = [(5, 0b0), (None, 0b111), (2, 0b111111), (None, 0xFFFF << 40), (None, 0xFFFF << 40), (9, -1)]
+    monkeypatch.setattr(simhash, "_prints", lambda *_: spark.createDataFrame(rows, "__key bigint, fp bigint"))
+    got = sorted(simhash.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).collect(), key=lambda r: (r[1], r[0] or 0))
+    assert [(r["doc_id"], r["component_id"]) for r in got] == [(5, 2), (None, 2), (2, 2), (None, None), (None, None), (9, 9)]
+
+
 def plain_fingerprint(text):
     low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     words = WORDS.findall(low)
@@ -145,6 +153,9 @@ def test_pii_base():
         ("call plus one five five five two three four five six seven eight nine", "phone", "plus one five five five two three four five six seven eight nine"),
         ("ip one nine two dot one six eight dot one dot two five", "ip", "one nine two dot one six eight dot one dot two five"),
         ("é ４111 1111 1111 1111", "card", "４111 1111 1111 1111"),
+        ("to jane@example dot se, please", "email", "jane@example dot se"),
+        ("jane (at) mail dot example dot kr", "email", "jane (at) mail dot example dot kr"),
+        ("jane&#64;firma dot no", "email", "jane&#64;firma dot no"),
     ],
 )
 def test_pii_disguises(text, kind, found):
@@ -152,6 +163,12 @@ def test_pii_disguises(text, kind, found):
     assert not base[kind] and [text[a:b] for a, b in both[kind]] == [found]
 
 
+def test_pii_two_letters_are_no_label_without_a_certain_at():
+    for t in ("jane@example.com dot is a sign", "we look at it dot se is there", "a@ dot se", "@example dot se", "x" * 300 + " dot se", "a@" + "b" * 400 + " dot se"):
+        base, both = pii.find_pii(t)
+        assert base == both, t
+
+
 @pytest.mark.parametrize(
     ("text", "kind", "found"),
     [
