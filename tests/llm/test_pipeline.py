@@ -147,7 +147,7 @@ def test_run(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, SF), con.sql(queries.ORACLES[name])
     order = [want.columns.index(c) for c in got.columns]
