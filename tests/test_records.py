@@ -2,6 +2,7 @@
 
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -226,6 +227,32 @@ def test_cleanup(spark):
     assert sorted((r["entity_id"], r["value"]) for r in got) == [("cyclists", 88.0), ("drivers", 85.0)]
 
 
+def events(spark, path, rows):
+    """A folder of an events table of (event_id, user_id, event_type, value), a minute each."""
+    made = spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string, value double").withColumn("ts", F.timestamp_seconds(F.lit(1704067200) + F.col("event_id") * 60).cast("timestamp_ntz")).withColumn("props", F.lit("{}"))
+    made.coalesce(1).write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def as_its_sql(spark, d, name):
+    """Rows of a query, and those of its SQL."""
+    import __spark_entry__ as entry
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{d}/events.parquet/*.parquet'")
+    key = lambda r: tuple((x is not None, x) for x in r)
+    got = entry.queries()[name](spark, d)
+    said = con.execute(entry.oracle_sql()[name])
+    names = [c[0] for c in said.description]
+    return sorted(map(tuple, got.select(names).collect()), key=key), sorted(said.fetchall(), key=key)
+
+
+def test_states_without_a_start_are_at_no_moment_of_the_query(spark, tmp_path):
+    made = [(53, "click", 50.0), (159, "click", 150.0), (265, "purchase", 50.0), (371, "purchase", 150.0), (300, "view", 500.0)]
+    got, said = as_its_sql(spark, events(spark, tmp_path, [(n, 7, kind, value) for n, kind, value in made]), "clean_states")
+    assert got == said and [r[3] for r in got if r[1] == "purchase"] == [0.0, 1.0]
+
+
 def chart(**more):
     import json
 
