@@ -42,13 +42,14 @@ def jsonl_clips(spark: SparkSession, d: str) -> DataFrame:
 def supplier_documents(spark: SparkSession, d: str) -> DataFrame:
     """Suppliers as a document each, in a folder each, with the files' sizes and hashes."""
     rows = read(spark, d, "supplier").select("s_suppkey", "s_name", F.struct(F.col("s_nationkey").alias("nation"), F.lit(None).cast("string").alias("note")).alias("at"))
+    own = lambda c: F.regexp_extract(c, "s_suppkey=([0-9]+)", 1).cast("long").alias("s_suppkey")
     with folder(spark) as path:
-        tables.write_documents(rows.repartition(16, "s_suppkey"), path, "s_suppkey")
-        found = tables.read_documents(spark, path, "s_suppkey bigint, s_name string, at struct<nation: int, note: string>").select("s_suppkey", "s_name", F.col("at.nation").alias("nation"), F.col("at.note").alias("note"))
-        own = lambda c: F.regexp_extract(c, "s_suppkey=([0-9]+)", 1).cast("long")
-        files = tables.clip_folders(spark, path).select(own("clip_id").alias("s_suppkey"), "n_files")
-        hashes = tables.file_hashes(spark, path).select(own("path").alias("s_suppkey"), F.col("length").alias("n_bytes"), "sha256")
-        return kept(found.join(files, "s_suppkey").join(hashes, "s_suppkey"))
+        tables.write_documents(rows.repartition(max(16, 2 * spark.sparkContext.defaultParallelism), "s_suppkey"), path, "s_suppkey")
+        files = kept(tables.read_files(spark, path))
+        found = tables.read_documents(files, "s_name string, at struct<nation: int, note: string>").select(own("path"), "s_name", F.col("at.nation").alias("nation"), F.col("at.note").alias("note"))
+        folders = tables.clip_folders(files, path).select(own("clip_id"), "n_files")
+        hashes = tables.file_hashes(files).select(own("path"), F.col("length").alias("n_bytes"), "sha256")
+        return kept(found.join(folders, "s_suppkey").join(hashes, "s_suppkey"))
 
 
 def csv_table(spark: SparkSession, d: str) -> DataFrame:

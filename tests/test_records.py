@@ -253,6 +253,18 @@ def test_states_without_a_start_are_at_no_moment_of_the_query(spark, tmp_path):
     assert got == said and [r[3] for r in got if r[1] == "purchase"] == [0.0, 1.0]
 
 
+def test_documents_of_one_key_are_files_of_their_own_and_read_once(spark, tmp_path):
+    made = [("a b/c", "é"), ("a b/c", None), (None, "x"), ("p=q", "y")]
+    root = str(tmp_path / "written")
+    for _ in range(2):
+        tables.write_documents(spark.createDataFrame(made, "k string, v string").repartition(3, "k"), root, "k")
+    files = tables.read_files(spark, root)
+    assert {(r["clip_id"], r["n_files"]) for r in tables.clip_folders(files, root).collect()} == {("k=a b%2Fc", 2), ("k=__HIVE_DEFAULT_PARTITION__", 1), ("k=p%3Dq", 1)}
+    read = tables.read_documents(files, "v string").join(tables.file_hashes(files), "path").collect()
+    assert sorted((r["v"] or "", r["length"]) for r in read) == [("", 11), ("x", 10), ("y", 10), ("é", 11)]
+    assert sorted((r["k"] or "", r["v"] or "") for r in spark.read.schema("k string, v string").option("multiLine", True).json(root).collect()) == sorted((k or "", v or "") for k, v in made)
+
+
 def chart(**more):
     import json
 
