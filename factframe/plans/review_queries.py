@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from ..operators import facts, metadata, reviewed
 from ..stages import kept
-from .adapters import micros, read, records
+from .adapters import clip_records, micros, read
 from .record_queries import STATES_SQL
 
 
 def _charts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """States of users' events, days as years and every third one of another metric; and lines of text, an event each."""
-    states = facts.with_state_ids(facts.merge_states(records(spark, d)))
+    states = facts.with_state_ids(facts.merge_states(clip_records(spark, d)))
     p = F.col("place")
     metric = F.when(F.col("clip_id") % 5 == 0, F.when(p % 3 == 0, "Click").otherwise("")).when(p % 3 == 0, "price").otherwise("Share of visits")
     year = F.concat(F.lit("20"), F.substring("state_key", -2, 2))

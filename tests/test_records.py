@@ -253,6 +253,17 @@ def test_states_without_a_start_are_at_no_moment_of_the_query(spark, tmp_path):
     assert got == said and [r[3] for r in got if r[1] == "purchase"] == [0.0, 1.0]
 
 
+def test_tasks_of_records_stay_small(spark, tmp_path, monkeypatch):
+    from factframe.plans import adapters, record_queries
+
+    d = events(spark, tmp_path, [(n, n % 40, "click" if n % 2 else "view", n % 7 * 100.0) for n in range(400)])
+    monkeypatch.setattr(adapters.parts, "__defaults__", (20,))
+    # 400 records at 20 a task: the clips' partitions hold for states, and are neither merged by size nor dealt out again.
+    assert record_queries.fact_islands(spark, d).rdd.getNumPartitions() == record_queries.state_ids(spark, d).rdd.getNumPartitions() == record_queries.change_events(spark, d).rdd.getNumPartitions() == record_queries.fuse_sources(spark, d).rdd.getNumPartitions() == 20
+    got, said = as_its_sql(spark, d, "fact_summary")
+    assert got == said and len(got) == 40
+
+
 def test_documents_of_one_key_are_files_of_their_own_and_read_once(spark, tmp_path):
     made = [("a b/c", "é"), ("a b/c", None), (None, "x"), ("p=q", "y")]
     root = str(tmp_path / "written")
