@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 MOST_BUCKETS = 1024
 
 
-def _split(rows: DataFrame, start: Column, end: Column, width: float) -> tuple[DataFrame, DataFrame]:
-    """(rows once for each `__bucket` of the width that they touch, rows of too many buckets); rows without bounds or that end before they start are in neither."""
+def _split(rows: DataFrame, start: Column, end: Column, width: float, every: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows once for each `__bucket` of the width that they touch, rows of too many buckets, unless all are to be in the first); rows without bounds or that end before they start are in neither."""
     a, z = F.floor(start / width).cast("long"), F.floor(end / width).cast("long")
     known = rows.where(F.coalesce(end >= start, F.lit(False))).withColumn("__n", z - a)
-    short = known.where(F.col("__n") < MOST_BUCKETS).withColumn("__bucket", F.explode(F.sequence(a, z))).drop("__n")
+    short = (known if every else known.where(F.col("__n") < MOST_BUCKETS)).withColumn("__bucket", F.explode(F.sequence(a, z))).drop("__n")
     return short, known.where(F.col("__n") >= MOST_BUCKETS).drop("__n")
 
 
-def overlapping(left: DataFrame, right: DataFrame, on: list[str], start: tuple[str, str], end: tuple[str, str], closed: bool = False, keep_missing: bool = False, width: float | None = None) -> DataFrame:
+def overlapping(left: DataFrame, right: DataFrame, on: list[str], start: tuple[str, str], end: tuple[str, str], closed: bool = False, keep_missing: bool = False, width: float | None = None, bounded: bool = False) -> DataFrame:
     """Rows of one key whose intervals overlap, with clip_start and clip_end of the overlap; touching counts only if `closed`.
 
     The key is an equality, so that Spark hashes or sorts by it, and the
@@ -29,8 +29,12 @@ def overlapping(left: DataFrame, right: DataFrame, on: list[str], start: tuple[s
     interval, rows meet by key and time bucket: each goes to the buckets that
     it touches, and a pair counts in the one where its overlap begins, so a
     key with any number of rows is spread out and its pairs are those of
-    neighbours. Rows with a missing bound overlap nothing, or, with
-    keep_missing, everything of their key.
+    neighbours. Intervals of over MOST_BUCKETS buckets meet all rows of their
+    key in joins of their own, for which both sides are shuffled again. Where
+    lengths are known to be a few widths, `bounded` leaves those joins out:
+    any interval then goes to all its buckets, however many, so nothing is
+    lost. Rows with a missing bound overlap nothing, or, with keep_missing,
+    everything of their key.
     """
     names = [*left.columns, *[c for c in right.columns if c not in on]]
     a, z = F.greatest(start[0], start[1]), F.least(end[0], end[1])
@@ -39,10 +43,10 @@ def overlapping(left: DataFrame, right: DataFrame, on: list[str], start: tuple[s
     clipped = lambda met: met.select(*names, a.alias("clip_start"), z.alias("clip_end"))
     if width is None:
         return clipped(left.join(right, on)).where(missing | fits if keep_missing else fits)
-    (short, long), (short_r, long_r) = _split(left, F.col(start[0]), F.col(end[0]), width), _split(right, F.col(start[1]), F.col(end[1]), width)
+    (short, long), (short_r, long_r) = _split(left, F.col(start[0]), F.col(end[0]), width, bounded), _split(right, F.col(start[1]), F.col(end[1]), width, bounded)
     near = clipped(short.join(short_r, [*on, "__bucket"]).where(F.col("__bucket") == F.floor(a / width))).where(fits)
     once = short.where(F.col("__bucket") == F.floor(F.col(start[0]) / width)).drop("__bucket")
-    out = near.unionByName(clipped(long.join(right, on)).where(fits)).unionByName(clipped(once.join(long_r, on)).where(fits))
+    out = near if bounded else near.unionByName(clipped(long.join(right, on)).where(fits)).unionByName(clipped(once.join(long_r, on)).where(fits))
     if keep_missing:
         no = lambda n: F.col(start[n]).isNull() | F.col(end[n]).isNull()
         out = out.unionByName(clipped(left.where(no(0)).join(right, on))).unionByName(clipped(left.where(~no(0)).join(right.where(no(1)), on)))

@@ -24,7 +24,7 @@ def _orders(spark: SparkSession, d: str) -> DataFrame:
 
 def closed_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Lines that touch a year from their order on; those without an end stay."""
-    return joins.overlapping(_lines(spark, d), _orders(spark, d), ["clip_id"], ("s_start", "r_start"), ("s_end", "r_end"), closed=True, keep_missing=True, width=400.0).select("clip_id", "l_linenumber")
+    return joins.overlapping(_lines(spark, d), _orders(spark, d), ["clip_id"], ("s_start", "r_start"), ("s_end", "r_end"), closed=True, keep_missing=True, width=400.0, bounded=True).select("clip_id", "l_linenumber")
 
 
 def contained_words(spark: SparkSession, d: str) -> DataFrame:

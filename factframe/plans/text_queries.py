@@ -76,12 +76,16 @@ def _orders(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return told, shown
 
 
+#: Days of a time bucket: an order's interval is a year, a line's up to 50 days.
+YEARS = 800.0
+
+
 def sentence_select(spark: SparkSession, d: str) -> DataFrame:
-    return narration.full_sentences(*_orders(spark, d), ["clip_id"]).select("clip_id", "l_linenumber", "starts_before", "ends_after")
+    return narration.full_sentences(*_orders(spark, d), ["clip_id"], width=YEARS, bounded=True).select("clip_id", "l_linenumber", "starts_before", "ends_after")
 
 
 def overlap_words(spark: SparkSession, d: str) -> DataFrame:
-    met = narration.full_sentences(*_orders(spark, d), ["clip_id"])
+    met = narration.full_sentences(*_orders(spark, d), ["clip_id"], width=YEARS, bounded=True)
     return met.select("clip_id", "l_linenumber", (F.col("clip_start") - F.col("r_start")).alias("visual_start"), (F.col("clip_end") - F.col("r_start")).alias("visual_end"))
 
 

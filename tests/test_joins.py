@@ -45,6 +45,16 @@ def test_overlaps(monkeypatch, tables, most, closed, missing):
     assert sorted((r["s"], r["r"]) for r in got.collect()) == sorted(want)
 
 
+@pytest.mark.parametrize("closed, missing", [(False, False), (True, True)])
+def test_bounded_overlap_is_one_join_and_whole(spark, monkeypatch, tables, closed, missing):
+    monkeypatch.setattr(joins, "MOST_BUCKETS", 3)
+    _, _, a, b = tables
+    args = ["clip"], ("s_a", "r_a"), ("s_z", "r_z"), closed, missing
+    got, plain = joins.overlapping(a, b, *args, width=2.0, bounded=True), joins.overlapping(a, b, *args)
+    assert got.columns == plain.columns and sorted((r["s"], r["r"]) for r in got.collect()) == sorted((r["s"], r["r"]) for r in plain.collect())
+    assert got._jdf.queryExecution().analyzed().toString().count("Join ") == (3 if missing else 1)
+
+
 @pytest.mark.parametrize("most", [1024, 3])
 def test_containment_and_cover(monkeypatch, spark, tables, most):
     monkeypatch.setattr(joins, "MOST_BUCKETS", most)
