@@ -280,9 +280,9 @@ FROM d LEFT JOIN w USING (r) LEFT JOIN t USING (r)
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests instead of the groups themselves, as those are several times the texts' size."""
     folder = scratch_folder(spark, "alignment")
-    found = align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"), folder=folder)
-    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
-    out = found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest).checkpoint()
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    found = align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"), folder=folder, shown=digest)
+    out = found.withColumnRenamed("groups", "groups_sha256").checkpoint()
     drop_folder(spark, folder)
     return out
 

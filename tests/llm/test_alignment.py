@@ -7,7 +7,9 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from factframe.llm import alignment
 from factframe.llm.queries import op13_alignment, tokenizer_path
@@ -95,6 +97,42 @@ def test_runs_have_the_tokens_that_whole_texts_have(monkeypatch, apart):
             assert groups_of(text) == []
 
 
+@pytest.mark.parametrize("keep", [0, 20, 1 << 17])
+def test_batches_after_each_other(keep):
+    """Without Spark: texts in small batches, with all, few or none of the runs known from those before."""
+    both = alignment.Pair(A, B)
+    for at in range(0, len(texts()), 41):
+        part = texts()[at : at + 41]
+        numbers, groups, ends, pairs, n = alignment.align_batch(both, pa.array(part, pa.string()), keep)
+        assert len(both.known.run) <= keep
+        for i, want in enumerate(map(groups_of, part)):
+            links = Counter((a << 32) + b for g in want for a in g[0] for b in g[1])
+            assert groups[i].as_py() == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in want)
+            assert [int(x[i]) for x in numbers] == [sum(len(g[0]) for g in want), sum(len(g[1]) for g in want), len(want), links.total()]
+            assert list(zip(pairs[ends[i] : ends[i + 1]].tolist(), n[ends[i] : ends[i + 1]].tolist())) == sorted(links.items())
+
+
+def test_tables_between_jobs_are_no_larger_than_texts(spark, tmp_path):
+    """Distinct runs, each of which was a row with its tokens, groups and links, several times the texts' size on disk."""
+    rng = random.Random(5)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghijklmnoprstuvwy", k=rng.randrange(3, 9))) if rng.random() < 0.2 else rng.choice(["the", "of", "and", "in", "was"]) for _ in range(400))) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    digest = F.sha2("groups", 256)
+    got = alignment.align_tokenizers(docs, A, B, folder=str(tmp_path / "own"), shown=digest).collect()
+    held = sum(p.stat().st_size for p in (tmp_path / "own").rglob("*.parquet"))
+    assert held < 1.5 * sum(len(t) for _, t in rows)
+    want = [(*w[:-1], hashlib.sha256(w[-1].encode()).hexdigest()) for w in plain(rows)]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("most", [0, 50, 1 << 17])
+def test_frequent_and_rare_pairs(spark, monkeypatch, most):
+    monkeypatch.setattr(alignment, "HEAD_PAIRS", most)
+    rows = list(enumerate(texts()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, alignment.align_tokenizers(docs, A, B).collect()), key=repr) == plain(rows)
+
+
 def test_empty_table(spark):
     assert alignment.align_tokenizers(spark.createDataFrame([], "doc_id long, text string"), A, B).count() == 0
 
